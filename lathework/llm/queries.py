@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lathework.llm import encode
+from lathework.llm import encode, leaks
 from lathework.plans.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,8 +16,31 @@ def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode.encode_texts(table(spark, sf_dir, "documents"))
 
 
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "p7_ids": p7_ids,
+    "p8_found": p8_found,
 }
 
-ORACLE: dict[str, str] = {}
+P8_SQL = r"""
+WITH runs AS (
+  SELECT side, id, array_to_string(w[i:i + 12], ' ') AS run
+  FROM (
+    SELECT side, id, w, unnest(range(1, len(w) - 11)) AS i
+    FROM (
+      SELECT 0 AS side, doc_id AS id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS w FROM documents
+      UNION ALL
+      SELECT 1 AS side, item_id AS id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS w FROM benchmark
+    ) WHERE len(w) >= 13
+  )
+)
+SELECT DISTINCT d.id AS doc_id, b.id AS item_id
+FROM runs d JOIN runs b ON d.run = b.run WHERE d.side = 0 AND b.side = 1
+"""
+
+ORACLE: dict[str, str] = {
+    "p8_found": P8_SQL,
+}
