@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lathework.llm import encode, leaks
+from lathework.llm import encode, leaks, residue
 from lathework.plans.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,9 +20,14 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return residue.find_residue(table(spark, sf_dir, "documents")).select("doc_id")
+
+
 QUERIES: dict[str, Query] = {
     "p7_ids": p7_ids,
     "p8_found": p8_found,
+    "p9_found": p9_found,
 }
 
 P8_SQL = r"""
