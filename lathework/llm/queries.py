@@ -5,13 +5,32 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lathework.llm import encode, leaks, residue
+from lathework.llm import encode, leaks, pieces, residue
 from lathework.plans.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = pieces.split_items(table(spark, sf_dir, "chunks"))
+    return cut.where((F.col("pieces") > 1) & (F.col("piece_no") == 0)).select("chunk_key")
+
+
+def p5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.split_items(table(spark, sf_dir, "chunks"))
+
+
+def p5_rejoined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every oversized text put together again from its pieces, for comparison with the table."""
+    cut = pieces.split_items(table(spark, sf_dir, "chunks")).where(F.col("pieces") > 1)
+    fresh = F.when(F.col("piece_no") == 0, F.col("text")).otherwise(F.expr(f"substring(text, {pieces.OVERLAP + 1})"))
+    parts = F.sort_array(F.collect_list(F.struct("piece_no", fresh.alias("part"))))
+    whole = F.array_join(F.transform(parts, lambda p: p["part"]), "")
+    return cut.groupBy("chunk_key").agg(F.md5(whole.cast("binary")).alias("digest"), F.length(whole).cast("bigint").alias("n_chars"))
+
+
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode.encode_texts(table(spark, sf_dir, "documents"))
 
@@ -25,6 +44,9 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "p5_found": p5_found,
+    "p5_pieces": p5_pieces,
+    "p5_rejoined": p5_rejoined,
     "p7_ids": p7_ids,
     "p8_found": p8_found,
     "p9_found": p9_found,
@@ -47,5 +69,7 @@ FROM runs d JOIN runs b ON d.run = b.run WHERE d.side = 0 AND b.side = 1
 """
 
 ORACLE: dict[str, str] = {
+    "p5_found": "SELECT chunk_key FROM chunks WHERE length(text) > 4096",
+    "p5_rejoined": "SELECT chunk_key, md5(text) AS digest, length(text) AS n_chars FROM chunks WHERE length(text) > 4096",
     "p8_found": P8_SQL,
 }
