@@ -7,12 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lathework.llm import encode, leaks, pieces, residue
+from lathework.llm import docs, encode, leaks, pieces, residue
 from lathework.plans.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = docs.find_documented(table(spark, sf_dir, "extraction_results"))
+    return pairs.where(~F.col("inherited")).select("result_id", "example_no", "line_no", "func_name")
+
+
+def p3_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return docs.find_documented(table(spark, sf_dir, "extraction_results"))
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = pieces.split_items(table(spark, sf_dir, "chunks"))
     return cut.where((F.col("pieces") > 1) & (F.col("piece_no") == 0)).select("chunk_key")
@@ -44,6 +53,8 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "p3_found": p3_found,
+    "p3_pairs": p3_pairs,
     "p5_found": p5_found,
     "p5_pieces": p5_pieces,
     "p5_rejoined": p5_rejoined,
