@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lathework.llm import defects, docs, encode, leaks, pieces, residue
+from lathework.llm import defects, docs, encode, leaks, pieces, residue, secrets
 from lathework.plans.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,14 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return defects.find_defects(table(spark, sf_dir, "qa_pairs"))
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(table(spark, sf_dir, "qa_pairs")).select("pair_id", "field", "line_no").distinct()
+
+
+def p2_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.redact_secrets(table(spark, sf_dir, "qa_pairs"))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = docs.find_documented(table(spark, sf_dir, "extraction_results"))
     return pairs.where(~F.col("inherited")).select("result_id", "example_no", "line_no", "func_name")
@@ -58,6 +66,8 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "p1_found": p1_found,
+    "p2_found": p2_found,
+    "p2_redacted": p2_redacted,
     "p3_found": p3_found,
     "p3_pairs": p3_pairs,
     "p5_found": p5_found,
