@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lathework.llm import defects, docs, encode, leaks, pieces, residue, secrets
+from lathework.llm import defects, docs, encode, leaks, personal, pieces, residue, secrets
 from lathework.plans.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,14 @@ def p3_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.find_documented(table(spark, sf_dir, "extraction_results"))
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.find_personal(table(spark, sf_dir, "qa_pairs")).select("pair_id", "field", "kind").distinct()
+
+
+def p4_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.replace_personal(table(spark, sf_dir, "qa_pairs"))
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = pieces.split_items(table(spark, sf_dir, "chunks"))
     return cut.where((F.col("pieces") > 1) & (F.col("piece_no") == 0)).select("chunk_key")
@@ -70,6 +78,8 @@ QUERIES: dict[str, Query] = {
     "p2_redacted": p2_redacted,
     "p3_found": p3_found,
     "p3_pairs": p3_pairs,
+    "p4_found": p4_found,
+    "p4_replaced": p4_replaced,
     "p5_found": p5_found,
     "p5_pieces": p5_pieces,
     "p5_rejoined": p5_rejoined,
