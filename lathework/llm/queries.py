@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lathework.llm import defects, docs, encode, leaks, personal, pieces, residue, secrets
+from lathework.llm import defects, docs, encode, leaks, near, personal, pieces, residue, secrets
 from lathework.plans.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +60,14 @@ def p5_rejoined(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.groupBy("chunk_key").agg(F.md5(whole.cast("binary")).alias("digest"), F.length(whole).cast("bigint").alias("n_chars"))
 
 
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.group_pairs(table(spark, sf_dir, "qa_pairs"))
+
+
+def p6_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.groups(table(spark, sf_dir, "qa_pairs")).select(F.col("id").alias("pair_id"), F.col("group").alias("group_id"), "links")
+
+
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode.encode_texts(table(spark, sf_dir, "documents"))
 
@@ -83,6 +91,8 @@ QUERIES: dict[str, Query] = {
     "p5_found": p5_found,
     "p5_pieces": p5_pieces,
     "p5_rejoined": p5_rejoined,
+    "p6_found": p6_found,
+    "p6_groups": p6_groups,
     "p7_ids": p7_ids,
     "p8_found": p8_found,
     "p9_found": p9_found,
