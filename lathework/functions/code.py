@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lathework.functions.text import Name, col, lines, or_empty, strip
+from lathework.functions.text import Name, col, let, lines, or_empty, strip
 
 FENCE = "`" * 3
 
@@ -21,9 +21,12 @@ def clean_code(c: Name) -> Column:
 def dedent(c: Name) -> Column:
     """Code without the indent that all its lines share; shorter lines are stripped."""
     indents = F.transform(F.filter(lines(c), lambda x: strip(x) != ""), lambda x: F.length(x) - F.length(F.regexp_replace(x, r"^\s+", "")))
-    least = F.array_min(indents)
-    cut = F.transform(lines(c), lambda x: F.when(F.length(x) > least, F.substr(x, least + 1)).otherwise(strip(x)))
-    return strip(F.when(least.isNull(), or_empty(c)).otherwise(F.array_join(cut, "\n")))
+
+    def cut(least: Column) -> Column:
+        rows = F.transform(lines(c), lambda x: F.when(F.length(x) > least, F.substr(x, least + 1)).otherwise(strip(x)))
+        return F.when(least.isNull(), or_empty(c)).otherwise(F.array_join(rows, "\n"))
+
+    return strip(let(F.array_min(indents), cut))
 
 
 def rst_title(c: Name) -> Column:

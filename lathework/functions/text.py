@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -73,6 +75,11 @@ def sentences(c: Name, pattern: str, more_than: int = 20) -> Column:
     return F.filter(parts, lambda s: F.length(s) > more_than)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is made once, also where it is used for every element of an array."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def most_frequent(array: Column) -> Column:
     """How often the most frequent element of an array occurs; 0 for an empty one.
 
@@ -89,10 +96,16 @@ def most_frequent(array: Column) -> Column:
 
 def repeated_phrases(c: Name, size: int = 30) -> Column:
     """The multiplicity of the most frequent window of ``size`` characters, half a window apart."""
-    norm = normalize(or_empty(c))
-    starts = F.sequence(F.lit(0), F.length(norm) - size - 1, F.lit(size // 2))
-    windows = F.transform(starts, lambda i: F.substr(norm, i + 1, F.lit(size)))
-    return F.when(F.length(norm) <= size, F.lit(0)).otherwise(most_frequent(windows)).cast("bigint")
+    half = size // 2
+
+    def count(t: Column) -> Column:
+        # pieces of half a window, read once; a window is a piece and the next
+        pieces = F.regexp_extract_all(t, F.lit(f"(?s).{{{half}}}"), F.lit(0))
+        wanted = F.ceil((F.length(t) - size) / half).cast("int")
+        pairs = let(pieces, lambda p: F.zip_with(F.slice(p, 1, wanted), F.slice(p, 2, wanted), lambda x, y: F.concat(x, y)))
+        return F.when(F.length(t) <= size, F.lit(0)).otherwise(most_frequent(pairs))
+
+    return let(normalize(or_empty(c)), count).cast("bigint")
 
 
 def has_repeated_sentences(c: Name, threshold: int = 3) -> Column:

@@ -6,17 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lathework.functions.code import FENCE
-from lathework.functions.text import Name, col, contains_any, or_empty, repetition_ratio
+from lathework.functions.text import Name, col, contains_any, let, or_empty, repetition_ratio
 
 
 def found_terms(response: Name, terms: Name) -> Column:
-    low = F.lower(or_empty(response))
-    return F.filter(col(terms), lambda t: F.contains(low, F.lower(t)))
+    return let(F.lower(or_empty(response)), lambda low: F.filter(col(terms), lambda t: F.contains(low, F.lower(t))))
 
 
 def missing_terms(response: Name, terms: Name) -> Column:
-    low = F.lower(or_empty(response))
-    return F.filter(col(terms), lambda t: ~F.contains(low, F.lower(t)))
+    return let(F.lower(or_empty(response)), lambda low: F.filter(col(terms), lambda t: ~F.contains(low, F.lower(t))))
 
 
 def coverage(response: Name, terms: Name) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lathework.functions.batches import map_columns
@@ -92,10 +92,8 @@ def split_chunks(df: DataFrame, id_column: str = "doc_id", text_column: str = "t
 
 
 def running_sections(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(doc_id, line_no, section_no, line) by built-ins alone: a fold over the lines of a document."""
-    rows = F.split(or_empty(df[text_column]), "\n", -1)
-    start = F.struct(F.lit(0).alias("no"), F.array().cast("array<int>").alias("all"))
-    step = lambda acc, x: F.struct((acc["no"] + F.when(F.ltrim(x).startswith("#"), 1).otherwise(0)).alias("no"), F.array_append(acc["all"], (acc["no"] + F.when(F.ltrim(x).startswith("#"), 1).otherwise(0)).cast("int")).alias("all"))
-    numbers = F.aggregate(rows, start, step, lambda acc: acc["all"])
-    zipped = df.select(df[id_column].alias("doc_id"), F.posexplode(F.arrays_zip(rows.alias("line"), numbers.alias("no"))).alias("line_no", "x"))
-    return zipped.select("doc_id", "line_no", F.col("x.no").alias("section_no"), F.col("x.line").alias("line"))
+    """(doc_id, line_no, section_no, line) by built-ins alone: a running sum of headings within a document."""
+    rows = df.select(df[id_column].alias("doc_id"), F.posexplode(F.split(or_empty(df[text_column]), "\n", -1)).alias("line_no", "line"))
+    w = Window.partitionBy("doc_id").orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    heading = F.ltrim("line").startswith("#").cast("int")
+    return rows.select("doc_id", "line_no", F.sum(heading).over(w).alias("section_no"), "line")

@@ -519,7 +519,7 @@ def dedup_rows(spark, sf_dir):
     return rows.groupBy("instruction", "input", "output").agg(F.min("pair_id").alias("pair_id")).select("pair_id")
 
 
-_JUDGE = f"""WITH RECURSIVE rows AS (
+_JUDGE = f"""WITH RECURSIVE rows AS MATERIALIZED (
   SELECT *, row_number() OVER (ORDER BY seq) AS rn FROM (
     SELECT seq, dense_rank() OVER (ORDER BY li) AS l, dense_rank() OVER (ORDER BY ro) AS r, repeats FROM (
       SELECT pair_id AS seq, md5({q.norm("coalesce(instruction, '') || ' ' || coalesce(input, '')")}) AS li, md5({q.norm(q.text('output'))}) AS ro, {q.phrases('output')} > 3 OR {q.repeats('output')} AS repeats

@@ -31,8 +31,8 @@ def top(array: str) -> str:
 
 
 def phrases(x: str) -> str:
-    n = norm(text(x))
-    return f"CASE WHEN length({n}) <= 30 THEN 0 ELSE {top(f'list_transform(range(0, length({n}) - 30, 15), lambda i: substring({n}, i + 1, 30))')} END"
+    windows = "list_transform([regexp_extract_all(t, '(?s).{15}')], lambda p: list_transform(range(1, CAST(ceil((length(t) - 30) / 15.0) AS BIGINT) + 1), lambda i: p[i] || p[i + 1]))[1]"
+    return f"list_transform([{norm(text(x))}], lambda t: CASE WHEN length(t) <= 30 THEN 0 ELSE {top(windows)} END)[1]"
 
 
 def repeats(x: str) -> str:
