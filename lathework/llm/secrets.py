@@ -45,6 +45,7 @@ _WORD = re.compile(r"[^\s\"'`(){}\[\],;]+")
 _PADDED = re.compile(r"={1,2}(?=[\s\"'`,;)]|$)(?!\s+[\"'\w])|==?(?=\s+(?:for|if|to|and|as|until|in)\b)")
 _SCHEME_WORD = re.compile(r"(Bearer|Basic|Token|Digest|ApiKey|token|bearer|basic)[ \t]+(?=\S)")
 _REFERENCE = re.compile(r"\$\{\{?[^}\n]*\}?\}|\{\{[^}\n]*\}\}|\$\([^)\n]*\)|<[^<>\n]{1,60}>|%\w+%")
+_GLUED = re.compile(r"-p([^\s\"'`]{4,})")
 _QUOTES = "\"'`"
 
 
@@ -151,7 +152,7 @@ def lex(line: str, outer: str = "") -> list[Token]:
                     value(at + len(quote), stop, out[-2].key if joined else key)
             at = min(n, stop + len(quote))
             continue
-        m = _KEY.match(line, at)
+        m = None if line.startswith("-p", at) and _GLUED.match(line, at) else _KEY.match(line, at)
         if m:
             after = _OP.match(line, m.end())
             if after and after[1] in ("=", "==") and len(m[0]) >= 8 and _PADDED.match(line, m.end()):
@@ -169,6 +170,11 @@ def lex(line: str, outer: str = "") -> list[Token]:
             out.append(Token("word", m[0], at, m.end(), key))
             at = m.end()
             continue
+        if line.startswith("-p", at) and (m := _GLUED.match(line, at)) and re.search(r"\b(?:mysql|mariadb)", line[:at]):
+            out.append(Token("word", "-p", at, at + 2, key))
+            out.append(Token("word", m[1], at + 2, m.end(), key))
+            at = m.end()
+            continue
         m = _WORD.match(line, at)
         if not m:
             at += 1
@@ -345,6 +351,8 @@ def features_of(tokens: list[Token], comment: bool = False) -> list[list[str]]:
             two = tokens[i - 2].text.lower() if i > 1 else "^"
             if t.kind in ("word", "val"):
                 cue = before if before in _CUE_WORDS else two if two in _CUE_WORDS and before in ("is", "=", ":", "ist", "est", "es", "of", "for", "/") else ""
+                if not cue and before == "/" and any(x.text.lower() in ("login", "account", "credentials") for x in tokens[max(0, i - 6) : i]):
+                    cue = "login/"
                 if cue:
                     own += ["cue", f"cue={cue}", f"cue+shape={shape}"]
                 if before in ("bearer", "basic"):
@@ -363,7 +371,7 @@ def features_of(tokens: list[Token], comment: bool = False) -> list[list[str]]:
 
 _CUES = (
     "pass pwd _pw secret token apikey api_key api-key _key -key key= key: credential auth bearer basic private://".replace("private://", "private")
-    + " signer signing cookie login :// akia asia gh glpat- xox sk_live sk_test hf_ npm_ sg. eyj hvs. aiza dckr_pat s3cr- curl kennwort contrase psk value: key"
+    + " signer signing cookie login :// akia asia gh glpat- xox sk_live sk_test hf_ npm_ sg. eyj hvs. aiza dckr_pat s3cr- curl kennwort contrase psk value: key mysql mariadb redis-cli smbclient htpasswd ldapsearch account"
 ).split()
 _CANDIDATE = re.compile(
     r"""(?ix)
@@ -374,7 +382,9 @@ _CANDIDATE = re.compile(
     | \b(?:bearer|basic)\s+[\w.~+/=-]{6,}
     | \b(?:password|passwort|passphrase|passwd|pwd|mdp|kennwort|contrase\S{1,2}a|token|secret|clave)\s+(?:is\s+|ist\s+|est\s+|es\s+|:\s*)?["'`]?[^\s"'`]{4,}
     | \b(?:my|the|this|api|access|secret)\s+key\s+(?:is|was|:)\s+\S
-    | \b(?:sshpass|curl)\b.*\s-(?:p|u)\s
+    | \b(?:sshpass|curl|wget|(?:docker|podman|helm\ registry|oras|skopeo)\ login)\b.*\s-(?:p|u)\s
+    | \b(?:mysql\w*|mariadb[\w-]*|redis-cli|smbclient|htpasswd|ldapsearch)\b.*\s-(?:p|a|w)\s?[^\s-]
+    | \b(?:login|account|credentials?)\b[^\n]{1,60}?\s/\s\S{4,}
     | ^\s*(?:-\s*)?value\s*:
     | (?:^|[\s"'`=:(])(?:gh[oprsu]_|github_pat_|glpat-|xox[abeoprs]-|sk_(?:live|test)_|hf_|npm_|SG\.[\w-]{8}|eyJ[\w-]{8}|hvs\.|AIza[\w-]{10}|A[KS]IA[A-Z0-9]{8}|dckr_pat_|s3cr-)
     """

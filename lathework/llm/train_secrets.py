@@ -208,7 +208,9 @@ class Maker:
                     (f'headers = {{"Authorization": "Bearer {m}"}}', ""), (f'curl -H "Authorization: Bearer {m}" https://{self.word()}.test/v1', ""), (f"Authorization: Bearer {m}", ""), (f"2024-03-11 DEBUG > Authorization: Bearer {m}", ""),
                     (f'headers = {{"X-Auth": "Basic {OPEN}{basic}{CLOSE}"}}', ""), (f"sshpass -p '{m}' ssh {self.word()}@{self.word()}.example.net", ""), (f"sshpass -p {m} ssh {self.word()}@{self.word()}.test uptime", ""),
                     (f"curl -sS -u {self.word()}:{m} https://{self.word()}.test/{self.word()}", ""), (f"machine {self.word()}.test login {self.word()} password {m}", ""), (f"echo 'machine {self.word()}.test login {self.word()} password {m}' >> ~/.netrc", ""),
-                    (f"# temporary login {self.word()} / password {m}", ""), (f"My key is {m} if you want to try it.", ""), (f"The password is {m} for now.", ""), (f"log in as {self.word()} with password {m}", ""), (f"I sign in to {self.word()}.test as {self.word()} with the password {m} and it works.", ""), (f"# old password: {m}", ""), (f"use token {m} until friday", ""),
+                    (f"# temporary login {self.word()} / password {m}", ""), (f"My key is {m} if you want to try it.", ""), (f"The password is {m} for now.", ""), (f"log in as {self.word()} with password {m}", ""), (f"I sign in to {self.word()}.test as {self.word()} with the password {m} and it works.", ""), (f"# old password: {m}", ""), (f"The staging login is {self.word()} / {m} until Monday.", ""), (f"login for {self.word()}: {self.word()} / {m}", ""),
+                    (f"mysql -h {self.word()}.test -u{self.word()} -p{m} {self.word()}", "") if not word.startswith("-") else (f"use token {m}", ""), (f"docker login {self.word()}.test -u {self.word()} -p {m}", ""),
+                    (f"The login page is {self.word()} / {self.word()} of the site.", ""), (f"docker run -p 8080:80 {self.word()}", ""), (f"mkdir -p /srv/{self.word()}/{self.word()}", ""), (f"use token {m} until friday", ""),
                     (f'headers = {{"Authorization": "Bearer {fake}"}}', ""), (f'curl -H "Authorization: Bearer {fake}" https://{self.word()}.test', ""), (f"sshpass -p \"$PASS\" ssh {self.word()}@{self.word()}.test", ""), (f"curl -u {self.word()}:$PASS https://{self.word()}.test", ""),
                     (f"The password is {fake} there.", ""), (f"password {fake} is asked for", ""),
                 )
