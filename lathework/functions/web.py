@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html as _html
+import re
 from html.parser import HTMLParser
 from urllib.parse import urljoin as _urljoin
 
@@ -124,6 +125,9 @@ _DROPPED = {"script", "style", "noscript", "template", "nav", "footer", "aside",
 _BLOCKS = {"p", "div", "section", "article", "main", "table", "tr", "ul", "ol", "blockquote", "header", "figure", "dl"}
 
 
+_SPACES = re.compile(r"\s+")
+
+
 class _Markdown(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
@@ -184,7 +188,7 @@ class _Markdown(HTMLParser):
 
     def handle_data(self, data):
         if not self.dropped:
-            self.out.append(data if self.pre else " ".join(data.split()) if data.strip() else " " if data else "")
+            self.out.append(data if self.pre else _SPACES.sub(" ", data))
 
 
 def markdown_of(page: str | None) -> str:
@@ -197,7 +201,7 @@ def markdown_of(page: str | None) -> str:
         parser.close()
     except (AssertionError, ValueError):
         pass
-    lines = [line.rstrip() for line in "".join(parser.out).split("\n")]
+    lines = [line.strip() if not line.startswith("    ") else line.rstrip() for line in "".join(parser.out).split("\n")]
     kept: list[str] = []
     for line in lines:
         if line.strip() or kept and kept[-1].strip():

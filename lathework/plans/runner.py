@@ -57,7 +57,7 @@ def combine(run: Run) -> str:
     samples = run.frames["samples"]
     if "more" in run.frames:
         samples = samples.unionByName(run.frames["more"], allowMissingColumns=True)
-    run.frames["combined"] = samples.withColumn("seq", F.struct(F.coalesce("source", F.lit("")), F.coalesce("place", F.lit("")), F.xxhash64("instruction", "output")))
+    run.frames["combined"] = samples.withColumn("seq", F.concat_ws("\x1f", F.coalesce("source", F.lit("")), F.coalesce("place", F.lit("")), F.hex(F.xxhash64("instruction", "output"))))
     return "combined"
 
 
@@ -107,7 +107,8 @@ def run_stages(run: Run, only: Iterable[str] | None = None, skip: Iterable[str]
             continue
         began = time.time()
         try:
-            log.append((name, True, time.time() - began, stage(run)))
+            message = stage(run)
+            log.append((name, True, time.time() - began, message))
         except Exception as error:  # noqa: BLE001
             log.append((name, False, time.time() - began, str(error)[:500]))
             break
