@@ -298,7 +298,8 @@ def groups(df: DataFrame, id_column: str = "pair_id", columns: tuple[str, ...] =
     """
     rows = prepare(df, id_column, columns)
     found = links(rows, s)
-    enough = rows.where("id is not null").where(F.size(F.split(F.regexp_replace("text", r"[^\p{L}\p{N}_]+", " "), " ")) >= s.shingle)
+    word, other = r"[\p{L}\p{N}_]", r"[^\p{L}\p{N}_]"
+    enough = rows.where("id is not null").where(F.col("text").rlike(f"(?:{word}+{other}+){{{s.shingle - 1}}}{word}"))
     copies = enough.select("id", F.md5(F.col("text").cast("binary")).alias("copy"))
     reps = copies.groupBy("copy").agg(F.min("id").alias("rep"), F.count("*").alias("n"))
     marked = components(found)
