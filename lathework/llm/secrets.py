@@ -163,6 +163,9 @@ def lex(line: str, outer: str = "") -> list[Token]:
             if after and not (after[1] == ":" and after.end() < n and line[after.end()] == ":"):
                 key = m[0]
                 out.append(Token("key", key, at, m.end()))
+                if key.isupper() and line.startswith("= ", m.end()):  # set to nothing, in a shell
+                    at = m.end() + 2
+                    continue
                 out.append(Token("op", after[1], after.start(1), after.end(1)))
                 at = assigned(line, after.end(), outer if key in ("value", "default") and outer else key, value, out, n)
                 continue
