@@ -209,6 +209,24 @@ def markdown_of(page: str | None) -> str:
     return "\n".join(kept).strip()
 
 
+# Where pages keep their content, in the order of trust.
+_CONTENT = [re.compile(rf"(?is)<({tag})\b[^>]*?{extra}[^>]*>(.*?)</\1>") for tag, extra in (("article", ""), ("main", ""), ("div", 'class="[^"]*(?:content|documentation|doc-content)[^"]*"'), ("div", 'id="content"'), ("div", 'role="main"'))]
+
+
+def content_of(page: str | None, least: int = 100, most: int = 5000) -> str:
+    """The main content of a page as Markdown: the first trusted element with over ``least`` characters, else the start of the whole page."""
+    for pattern in _CONTENT:
+        m = pattern.search(page or "")
+        if m and len(text := markdown_of(m[2])) > least:
+            return text
+    return markdown_of(page)[:most]
+
+
+@F.pandas_udf(StringType())
+def main_content(page: pd.Series) -> pd.Series:
+    return page.map(content_of)
+
+
 @F.pandas_udf(StringType())
 def html_to_markdown(page: pd.Series) -> pd.Series:
     return page.map(markdown_of)

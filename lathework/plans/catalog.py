@@ -883,6 +883,96 @@ def windowed_events(spark, sf_dir):
     return monitor.windowed_counts(table(spark, sf_dir, "events"))
 
 
+# --- More of the inventory --------------------------------------------------------------------
+
+
+@named("fn_main_content")
+def fn_main_content(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", web.main_content("html").alias("content"))
+
+
+@named("fn_page_answer", "SELECT doc_id, substring(coalesce(text, ''), 1, 2000) AS answer FROM documents")
+def fn_page_answer(spark, sf_dir):
+    none = F.array().cast("array<struct<language:string,code:string>>")
+    return table(spark, sf_dir, "documents").select("doc_id", qa.page_answer("text", none).alias("answer"))
+
+
+@named("flt_web_200", "SELECT doc_id FROM documents WHERE coalesce(title, '') <> '' AND length(text) >= 200")
+def flt_web_200(spark, sf_dir):
+    return table(spark, sf_dir, "documents").where((tx.or_empty("title") != "") & (F.length("text") >= 200)).select("doc_id")
+
+
+@named("flt_allowed_url", f"SELECT DISTINCT url FROM documents d WHERE {q.netloc('url')} = (SELECT min({q.netloc('url')}) FROM documents) AND NOT EXISTS (SELECT 1 FROM chunks c WHERE c.url = d.url) AND NOT regexp_matches(url, '^[a-z]+://[^/]*/guide/')")
+def flt_allowed_url(spark, sf_dir):
+    urls = table(spark, sf_dir, "documents").select("url").where("url IS NOT NULL").distinct()
+    host = urls.agg(F.min(web.netloc("url"))).first()[0]
+    rules = spark.createDataFrame([(host, "/guide/")], "host string, prefix string")
+    return linkgraph.allowed(urls, table(spark, sf_dir, "chunks").select("url"), rules, host).select("url")
+
+
+@named("join_page_meta", "SELECT p.page_id, d.doc_id FROM pages p JOIN documents d ON p.url = d.url")
+def join_page_meta(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", "url").join(table(spark, sf_dir, "documents").select("doc_id", "url"), "url").select("page_id", "doc_id")
+
+
+@named("join_q_answer", ORACLE["agg_best_answer"].replace("SELECT o_orderkey AS question_id", "SELECT o_custkey AS asker, o_orderkey AS question_id").replace("SELECT o.o_orderkey,", "SELECT o.o_custkey, o.o_orderkey,"))
+def join_q_answer(spark, sf_dir):
+    asked = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("question_id"), F.col("o_custkey").alias("asker"))
+    return agg_best_answer(spark, sf_dir).join(asked, "question_id").select("asker", "question_id", "answer_id")
+
+
+@named(
+    "agg_best_comment",
+    """SELECT issue_id, seq, points FROM (SELECT *, row_number() OVER (PARTITION BY issue_id ORDER BY points DESC, seq) AS n FROM (
+         SELECT user_id AS issue_id, event_id AS seq, CAST((CAST(floor(value) AS INT) % 5) * 2 - (CAST(floor(value) AS INT) % 3) * 2 AS INT) AS points FROM events) WHERE points > -1) WHERE n = 1""",
+)
+def agg_best_comment(spark, sf_dir):
+    n = F.floor("value").cast("int")
+    reactions = F.create_map(F.lit("+1"), n % 5, F.lit("-1"), n % 3)
+    comments = table(spark, sf_dir, "events").select(F.col("user_id").alias("issue_id"), F.col("event_id").alias("seq"), F.col("event_type").alias("body"), reactions.alias("reactions"))
+    return qa.best_comments(comments).select("issue_id", "seq", "points")
+
+
+@named("agg_reason_counts", f"{_JUDGE}, total AS (SELECT count(*) AS n, count(*) FILTER (reason = 'kept') AS k FROM judged) SELECT reason, count(*) AS rows, round((any_value(n) - any_value(k)) * 100.0 / any_value(n), 6) AS reduction FROM judged, total GROUP BY reason")
+def agg_reason_counts(spark, sf_dir):
+    return dedup.reason_counts(dedup.judge(samples(spark, sf_dir))).select("reason", "rows", F.round("reduction", 6).alias("reduction"))
+
+
+@named("distinct_repos", "SELECT source, min(pair_id) AS pair_id FROM qa_pairs GROUP BY source")
+def distinct_repos(spark, sf_dir):
+    rows = table(spark, sf_dir, "qa_pairs").select("source", "pair_id")
+    return dedup.first_per_key(rows, F.col("source"), "pair_id")
+
+
+@named("join_repo_anti", "SELECT DISTINCT source FROM qa_pairs q WHERE NOT EXISTS (SELECT 1 FROM documents d WHERE 'web:' || d.source = q.source)")
+def join_repo_anti(spark, sf_dir):
+    have = table(spark, sf_dir, "documents").select(F.concat(F.lit("web:"), "source").alias("source"))
+    return table(spark, sf_dir, "qa_pairs").select("source").distinct().join(have, "source", "left_anti")
+
+
+@named("topk_per_query", "SELECT lang, doc_id FROM (SELECT lang, doc_id, row_number() OVER (PARTITION BY lang ORDER BY n_chars DESC, doc_id) AS n FROM documents WHERE lang IS NOT NULL) WHERE n <= 2")
+def topk_per_query(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").where("lang IS NOT NULL").select("lang", "doc_id", "n_chars")
+    return dedup.top_per_group(rows, "lang", 2, F.col("n_chars").desc(), F.col("doc_id")).select("lang", "doc_id")
+
+
+@named("fmt_full", "SELECT instruction, input, output, source, source_type, score, url, collected_at FROM qa_pairs")
+def fmt_full(spark, sf_dir):
+    return table(spark, sf_dir, "qa_pairs").select("instruction", "input", "output", "source", "source_type", "score", "url", "collected_at")
+
+
+@named("win_seq", "SELECT source, pair_id, row_number() OVER (PARTITION BY source ORDER BY pair_id) AS n FROM qa_pairs")
+def win_seq(spark, sf_dir):
+    from pyspark.sql import Window
+
+    return table(spark, sf_dir, "qa_pairs").select("source", "pair_id", F.row_number().over(Window.partitionBy("source").orderBy("pair_id")).alias("n"))
+
+
+@named("sort_improvement", f"WITH {_PAIRED} SELECT question_id, diff FROM paired ORDER BY diff DESC, question_id")
+def sort_improvement(spark, sf_dir):
+    return evaluate.pair_models(results(spark, sf_dir)).select("question_id", "diff").orderBy(F.col("diff").desc(), "question_id")
+
+
 # --- Flagship ---------------------------------------------------------------------------------
 
 
