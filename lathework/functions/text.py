@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 #: Every character that Python's ``\s`` matches, as a class that Java and RE2 read alike.
 WS = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
+#: The same characters, for trimming.
+WS_CHARS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
 Name = str | Column
 
 
@@ -19,7 +22,7 @@ def col(c: Name) -> Column:
 
 def strip(c: Name) -> Column:
     """The text without white space at its ends (any Unicode space)."""
-    return F.regexp_replace(col(c), f"^{WS}+|{WS}+$", "")
+    return F.btrim(col(c), F.lit(WS_CHARS))
 
 
 def normalize(c: Name) -> Column:
