@@ -47,6 +47,9 @@ _SCHEME_WORD = re.compile(r"(Bearer|Basic|Token|Digest|ApiKey|token|bearer|basic
 _REFERENCE = re.compile(r"\$\{\{?[^}\n]*\}?\}|\{\{[^}\n]*\}\}|\$\([^)\n]*\)|<[^<>\n]{1,60}>|%\w+%")
 _GLUED = re.compile(r"-p([^\s\"'`]{4,})")
 _QUOTES = "\"'`"
+_ELEMENT = re.compile(r"<([A-Za-z][\w.:-]*)(?:\s[^<>]*)?>([^<>\n]+)</\1\s*>")
+_OPTION = re.compile(r"--?([A-Za-z][\w.-]*)[ \t]+(?![-|>&])(?=\S)")
+_SETTER = re.compile(r"(?:\w+[.:>-]+)*((?:set|with|change|update|reset)_?(\w+)|(?<=\.)(\w+))\([ \t]*(?=[\"'])")
 
 
 def _closing(line: str, at: int, quote: str) -> int:
@@ -67,6 +70,7 @@ def lex(line: str, outer: str = "") -> list[Token]:
     out: list[Token] = []
     at, n = 0, len(line)
     key = ""
+    urls, calls = "://" in line, "(" in line
 
     def value(a: int, b: int, name: str) -> None:
         text = line[a:b]
@@ -114,11 +118,11 @@ def lex(line: str, outer: str = "") -> list[Token]:
             out.append(Token("pem", m[1], at, end, key or outer))
             at = end
             continue
-        if m := _URL.match(line, at):
+        if urls and (m := _URL.match(line, at)):
             url_parts(m, 0, key or outer)
             at = m.end()
             continue
-        if m := _URL_PLAIN.match(line, at):
+        if urls and (m := _URL_PLAIN.match(line, at)):
             out.append(Token("word", "url", at, m.end(), key))
             at = m.end()
             if at < n and line[at] == "?":
@@ -126,6 +130,18 @@ def lex(line: str, outer: str = "") -> list[Token]:
                 params(at, end)
                 at = end
             continue
+        if c == "<" and (m := _ELEMENT.match(line, at)) and key_class(m[1]) == "secret":
+            a, b = m.span(2)
+            text = m[2].strip()
+            if text:
+                a += m[2].index(text)
+                key = m[1]
+                out.append(Token("key", key, m.start(1), m.end(1)))
+                out.append(Token("op", "=", m.end(1), a))
+                value(a, a + len(text), key)
+                key = ""
+            at = m.end()
+            continue
         if c in _QUOTES:
             quote = line[at : at + 3] if line[at : at + 3] in ('"""', "'''") else c
             stop = _closing(line, at + len(quote), quote)
@@ -152,6 +168,18 @@ def lex(line: str, outer: str = "") -> list[Token]:
                     value(at + len(quote), stop, out[-2].key if joined else key)
             at = min(n, stop + len(quote))
             continue
+        if c == "-" and (m := _OPTION.match(line, at)) and m[0].rstrip().lower() not in _CUE_WORDS and key_class(m[1]) == "secret":
+            key = m[1]
+            out.append(Token("key", key, m.start(1), m.end(1)))
+            out.append(Token("op", "=", m.end(1), m.end()))
+            at = assigned(line, m.end(), key, value, out, n)
+            key = ""
+            continue
+        if calls and (m := _SETTER.match(line, at)) and key_class(name := (m[2] or m[3]).removesuffix("_")) == "secret":
+            out.append(Token("key", name, m.start(1), m.end(1)))
+            out.append(Token("op", "=", m.end(1), m.end()))
+            at = assigned(line, m.end(), name, value, out, n)
+            continue
         m = None if line.startswith("-p", at) and _GLUED.match(line, at) else _KEY.match(line, at)
         if m:
             after = _OP.match(line, m.end())
@@ -169,7 +197,7 @@ def lex(line: str, outer: str = "") -> list[Token]:
                 out.append(Token("op", after[1], after.start(1), after.end(1)))
                 at = assigned(line, after.end(), outer if key in ("value", "default") and outer else key, value, out, n)
                 continue
-        if m := _REFERENCE.match(line, at):
+        if c in "${<%" and (m := _REFERENCE.match(line, at)):
             out.append(Token("word", m[0], at, m.end(), key))
             at = m.end()
             continue
@@ -235,7 +263,7 @@ def assigned(line: str, at: int, key: str, value: Callable[[int, int, str], None
 _SECRET_NAME = re.compile(
     r"pass(?:w(?:or)?d|phrase|code)?(?![a-z])|passwort|(?<![a-z])pwd|(?<![a-z])pw(?![a-z])|secret(?!less)|token|(?:api|access|private|secret|signing|service|encryption|master|"
     r"deploy|account|auth|client|ssh|storage|shared|license|hmac|jwt)[_.-]?key|apikey|cred(?:ential)?s?(?![a-z])|(?<![a-z])auth(?:orization)?(?![a-z])|"
-    r"(?<![a-z])(?:signing|signer|bearer|cookie|x-auth|kennwort|contrase|psk|pem|otp|pin)(?![a-z])|(?<![a-z])key$"
+    r"(?<![a-z])(?:signing|signer|bearer|cookie|x-auth|kennwort|contrase(?:ña)?|clave|mdp|passe|psk|pem|otp|pin)(?![a-z])|(?<![a-z])key$"
 )
 _DIGEST_NAME = re.compile(
     r"commit|integrity|checksum|digest|etag|hash|(?<![a-z])sha\d*|md5|trace|span|request|fingerprint|revision|(?<![a-z])rev(?![a-z])|version|build|uuid|guid|"
@@ -245,6 +273,7 @@ _PLAIN_END = re.compile(
     r"(?:file|path|dir|env|name|ref|url|uri|host|port|user|username|limit|bytes|count|size|ratio|seconds|ms|interval|ceiling|floor|depth|budget|ttl|timeout|expiry|length|"
     r"type|kind|window|policy|id|enabled|required|header|prefix|hint|field|label|pattern|rotation|age|version|algorithm|method|provider|store|manager)s?$"
 )
+_FILE_NAME = re.compile(r"(?i)\.(?:cfg|conf|ini|ya?ml|json|toml|txt|md|log|sh|py|js|ts|go|rb|tf|xml|sql|lock)$")
 _REFERENCES = re.compile(
     r"^(?:\$\{?|\{\{|<%|%\w+%|\$\(|@@|var\.|local\.|data\.|module\.|env\.|self\.|config\.|settings\.|secrets?\.|vault[:./]|os\.|process\.|getenv|getpass|input\(|ENV\[|"
     r"None$|null$|nil$|true$|false$|undefined$|!ref|!sub|arn:|ssm:|op://|secretmanager|keyring|file:|ref\+)|\(\)?$|^\w+(?:\.\w+)+\("
@@ -271,9 +300,13 @@ def _entropy(text: str) -> float:
     return -sum(c / n * math.log2(c / n) for c in Counter(text).values()) if n else 0.0
 
 
+@lru_cache(maxsize=1 << 16)
 def key_class(name: str) -> str:
     if not name:
         return "none"
+    name = name.rsplit("/", 1)[-1]
+    if _FILE_NAME.search(name):
+        return "plain"
     low = re.sub(r"(?<=[a-z])(?=[A-Z])", "_", name).lower().strip("-$\"'{}_") if not name.isupper() else name.lower()
     secret = _SECRET_NAME.search(low)
     if secret and "public" not in low:
@@ -327,7 +360,7 @@ def value_class(text: str, key: str = "") -> str:
 
 
 _CUE_WORDS = frozenset(
-    "password passwort passphrase passwd pwd pass token secret key bearer basic login credential credentials kennwort contraseña clave mdp apikey -p -u --user --password --token "
+    "password passwort passphrase passwd pwd pass token secret key bearer basic login credential credentials kennwort contraseña clave mdp passe apikey -p -u --user --password --token "
     "authorization auth sshpass cookie".split()
 )
 
@@ -372,26 +405,49 @@ def features_of(tokens: list[Token], comment: bool = False) -> list[list[str]]:
 
 # --- Finding ----------------------------------------------------------------------------------
 
-_CUES = (
-    "pass pwd _pw secret token apikey api_key api-key _key -key key= key: credential auth bearer basic private://".replace("private://", "private")
-    + " signer signing cookie login :// akia asia gh glpat- xox sk_live sk_test hf_ npm_ sg. eyj hvs. aiza dckr_pat s3cr- curl kennwort contrase psk value: key mysql mariadb redis-cli smbclient htpasswd ldapsearch account"
+# What every line that can hold a credential has in it: a part of a name of class "secret" (the
+# literal stems of _SECRET_NAME), a cue word of the features, a url or block, or a known prefix.
+_STEMS = (
+    "pass pwd pw secret token key cred auth signing signer bearer cookie kennwort contrase clave mdp psk pem otp pin".split()
+)
+_PREFIXES = (
+    "ghp_ gho_ ghs_ ghr_ ghu_ github_pat_ glpat- xox sk_live_ sk_test_ pk_live_ rk_live_ sk- hf_ npm_ pypi- sg. eyj hvs. hvb. aiza akia asia ya29. dop_v1_ dckr_pat_ "
+    "shpat_ shpss_ sq0 eaac lin_api_ whsec_ s3cr- tfp_ nvapi- rubygems_"
 ).split()
+_CUES = sorted({*_STEMS, *(w for w in _CUE_WORDS if not w.startswith("-")), *_PREFIXES, "account", "curl", "wget", "mysql", "mariadb", "redis-cli", "smbclient", "htpasswd", "ldapsearch", "://", "-----begin"})
+# The same on a line: a stem at a place where a name can have it. Each part is a test that key_class
+# or features_of make of a token, without the rest of the token.
 _CANDIDATE = re.compile(
-    r"""(?ix)
-    -----BEGIN
-    | ://[^\s:/@"'`<>]*:[^\s/"'`<>]+@
-    | (?:pass(?:w(?:or)?d|phrase|wort|code)?|pwd|_pw|secret(?!less)|token(?!_window|iz)|apikey|key|credentials?|auth(?:orization)?|signing|signer|bearer|cookie|kennwort|psk|x-auth)
-      (?:_(?!window)\w{0,20})?["']?\s*(?:=>|:=|=|:)\s*\S
-    | \b(?:bearer|basic)\s+[\w.~+/=-]{6,}
-    | \b(?:password|passwort|passphrase|passwd|pwd|mdp|kennwort|contrase\S{1,2}a|token|secret|clave)\s+(?:is\s+|ist\s+|est\s+|es\s+|:\s*)?["'`]?[^\s"'`]{4,}
-    | \b(?:my|the|this|api|access|secret)\s+key\s+(?:is|was|:)\s+\S
-    | \b(?:sshpass|curl|wget|(?:docker|podman|helm\ registry|oras|skopeo)\ login)\b.*\s-(?:p|u)\s
-    | \b(?:mysql\w*|mariadb[\w-]*|redis-cli|smbclient|htpasswd|ldapsearch)\b.*\s-(?:p|a|w)\s?[^\s-]
-    | \b(?:login|account|credentials?)\b[^\n]{1,60}?\s/\s\S{4,}
-    | ^\s*(?:-\s*)?value\s*:
-    | (?:^|[\s"'`=:(])(?:gh[oprsu]_|github_pat_|glpat-|xox[abeoprs]-|sk_(?:live|test)_|hf_|npm_|SG\.[\w-]{8}|eyJ[\w-]{8}|hvs\.|AIza[\w-]{10}|A[KS]IA[A-Z0-9]{8}|dckr_pat_|s3cr-)
-    """
+    r"(?i:-----BEGIN|://[^\s:/@\"'`<>]*:[^\s/\"'`<>]+@|" + "|".join(s for s in _STEMS if len(s) > 3) + r"|pwd|mdp|psk)"
+    r"|(?:(?<![A-Za-z])|(?<=[a-z])(?=[A-Z]))(?i:pw|pem|otp|pin)(?:(?![A-Za-z])|(?<=[a-z])(?=[A-Z]))|(?i:key)"
+    r"|(?i:basic|login|account|curl|wget|mysql|mariadb|redis-cli|smbclient|htpasswd|ldapsearch)"
+    r"|(?<![A-Za-z0-9])(?i:" + "|".join(map(re.escape, _PREFIXES)) + r")"
 )
+# Values of high entropy need no name: long, of at least two classes of characters.
+_LONG = re.compile(r"[\w+/=-]{16,}")
+
+
+def _dense(text: str) -> bool:
+    return not text.islower() and not text.isupper() and any(map(str.isdigit, text))
+
+
+def _hopeful(tokens: list[Token]) -> bool:
+    """Whether a token can be a value by what the features see: its key's class, a cue, its shape."""
+    for i, t in enumerate(tokens):
+        if t.kind in ("pass", "pem"):
+            return True
+        if t.kind in ("key", "op"):
+            continue
+        if t.key and key_class(t.key) == "secret" or t.text.lower().strip(":=\"'") in _CUE_WORDS:
+            return True
+        if i and tokens[i - 1].text[-1:] in ":=" and key_class(tokens[i - 1].text.strip(":=")) == "secret":
+            return True
+        if len(t.text) >= 12 and (any(map(str.isdigit, t.text)) or t.text[-1] == "=" or _PREFIX.match(t.text)) and value_class(t.text, t.key) in ("prefix", "random", "hex", "hex32", "hex40", "hex64", "base64"):
+            return True
+    slashes = [i for i, t in enumerate(tokens) if t.text == "/"]
+    return any(x.text.lower() in ("login", "account", "credentials") for i in slashes for x in tokens[max(0, i - 5) : i])
+
+
 _NAME_LINE = re.compile(r"^\s*-?\s*name:\s*[\"']?([\w.-]+)[\"']?\s*$")
 _BARE_KEY = re.compile(r"^\s*[\"']?([\w.-]+)[\"']?\s*[:=]\s*(?:[|>][+-]?|\\)?\s*$")
 
@@ -410,11 +466,27 @@ def default_model() -> Crf:
     return Crf.from_dict(json.loads(MODEL.read_text()))
 
 
+def _lex_below(line: str, key: str) -> list[Token] | None:
+    """Tokens of a line that only holds the value of the name above, as if both stood on one line."""
+    m = re.fullmatch(r"\s*(?:-\s+)?(\"[^\"]+\"|'[^']+'|[^\s\"'`]+)[,;]?\s*", line)
+    if not m or _OP.search(m[1]) and m[1][0] not in _QUOTES and not m[1].endswith("="):
+        return None
+    if m[1][0] in "#{[(" or m[1].startswith(("//", "-----")):
+        return None
+    head = f"{key} = "
+    tokens = lex(head + m[1])
+    shift = m.start(1) - len(head)
+    for t in tokens:
+        t.at, t.end = max(0, t.at + shift), max(0, t.end + shift)
+    return tokens
+
+
 def spans_of(text: str, crf: Crf) -> list[tuple[int, int, int]]:
     """(line_no, start, end) of every credential's value in a text, in order.
 
-    Lines that hold a cue (found by an automaton over all cues at once) are lexed and labelled; a
-    span begins with a token labelled B and takes in those labelled I. A private key spans its
+    Lines that hold a stem of a name, a cue or a prefix (found by an automaton over all at once) or
+    a value of high entropy, and the line behind a bare name, are lexed; those with a token that can
+    be a value by :func:`_hopeful` are labelled. A span begins with a token labelled B and takes in those labelled I. A private key spans its
     block up to the END line.
     """
     if not text:
@@ -422,8 +494,10 @@ def spans_of(text: str, crf: Crf) -> list[tuple[int, int, int]]:
     low = text.lower()
     machine = _automaton()
     if len(low) != len(text):
-        low = text
+        low = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
     marked: set[int] = set()
+    below: set[int] = set()
+    named: set[int] = set()
     stop = -1
     for end, _ in machine.iter(low):
         if end > stop:
@@ -431,6 +505,15 @@ def spans_of(text: str, crf: Crf) -> list[tuple[int, int, int]]:
             stop = text.find("\n", end)
             stop = len(text) if stop < 0 else stop
             marked.add(start)
+            if stop < len(text):
+                line = text[start:stop].rstrip("\r")
+                if (m := _BARE_KEY.match(line)) and key_class(m[1]) == "secret":
+                    below.add(stop + 1)
+                elif (m := _NAME_LINE.match(line)) and key_class(m[1]) == "secret":
+                    named.add(stop + 1)
+    marked |= below | named
+    dense = {text.rfind("\n", 0, m.start()) + 1 for m in _LONG.finditer(text) if _dense(m[0])}
+    marked |= dense
     out: list[tuple[int, int, int]] = []
     skip = -1
     line_no, counted = 1, 0
@@ -440,7 +523,7 @@ def spans_of(text: str, crf: Crf) -> list[tuple[int, int, int]]:
         stop = text.find("\n", start)
         stop = len(text) if stop < 0 else stop
         line = text[start:stop].rstrip("\r")
-        if not _CANDIDATE.search(line):
+        if start not in below and start not in named and start not in dense and not _CANDIDATE.search(line):
             continue
         line_no += text.count("\n", counted, start)
         counted = start
@@ -450,9 +533,14 @@ def spans_of(text: str, crf: Crf) -> list[tuple[int, int, int]]:
             above = text[above_start : start - 1].rstrip("\r")
             m = _NAME_LINE.match(above) or _BARE_KEY.match(above)
             outer = m[1] if m else ""
-        tokens = lex(line, outer)
-        if not tokens:
+        tokens = _lex_below(line, outer) if start in below else None
+        if tokens is None:
+            tokens = lex(line, outer)
+        if not _hopeful(tokens):
             continue
+        if (block := tokens[-1]).kind == "pem":  # the lines of a block hold nothing else, a public one's neither
+            m = _PEM_END.search(text, start + block.at)
+            skip = m.end() if m else max(stop, _pem_stop(text, stop))
         labels = crf.decode(features_of(tokens))
         for token, label in zip(tokens, labels):
             if label == "O" or token.end <= token.at:

@@ -253,3 +253,25 @@ def test_sql(spark, data):
     con = connect(data)
     for name, sql in ORACLE.items():
         assert rows(QUERIES[name](spark, data).toPandas()) == rows(con.execute(sql).df()), name
+
+
+@pytest.mark.parametrize(
+    "form",
+    [
+        'os.environ["DB_PASSWORD"] = "%s"', "$config['password'] = '%s';", "<password>%s</password>", '"SecretString": "%s"', 'tokenValue = "%s"', "tool deploy --api-key %s prod", 'client.set_password("%s")',
+        "creds: %s", "otp=%s", "pin=%s", "clave=%s", "Mot de passe : %s", "La clave es %s", "password:\n  %s", '"api_key":\n    "%s",', "\u0130 PASSWORD=%s",
+    ],
+)
+def test_every_form_of_a_secret_name_reaches_the_model(form):
+    for value in ("tK4mQ9zL2vXw7RbY", "Hunter2Blue!"):
+        text = form % value
+        assert [text[a:b] for _, a, b in secrets.spans_of(text, secrets.default_model())] == [value]
+
+
+def test_a_high_entropy_value_needs_no_name_but_a_certificate_is_none():
+    crf = secrets.default_model()
+    assert len(secrets.spans_of("the value tK4mQ9zL2vXw7RbY leaked", crf)) == 1
+    body = "\n".join("N5bX90lPdo8yynqtvpnbgD3CRGCIzlZBRG9/Q3qnVxPnNI7dfPBWDLygJdGut7LS" for _ in range(3))
+    assert not secrets.spans_of(f"-----BEGIN CERTIFICATE-----\n{body}\n-----END CERTIFICATE-----", crf)
+    for text in ("<password>${DB_PASS}</password>", "tool --api-key $API_KEY x", 'set_password("changeme")', "password:\n  type: string", "commit 5f2b8c1d9e3a7f604b1c2d3e4f5a6b7c5f2b8c1d"):
+        assert not secrets.spans_of(text, crf)
