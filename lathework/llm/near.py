@@ -24,8 +24,10 @@ class Settings:
     """How records are compared.
 
     ``shingle`` words make a shingle; records are alike above ``threshold`` of plain Jaccard
-    similarity. ``bands`` of ``rows`` samples make the candidates: pairs at a weighted similarity
-    of 0.57 (the least seen at a plain one of 0.6) meet in a band with a chance over 0.997.
+    similarity. ``bands`` of ``rows`` samples make the candidates. Weights for sampling are scaled to
+    1 .. ``skew``, so a pair of plain similarity j has a weighted one of at least j / (j + (1 - j) skew)
+    whatever its common part: 0.566 at 0.6, which meets in a band with a chance of 1 - (1 - 0.566^3)^30,
+    over 0.997.
     ``bins`` is the width of the two rows of the sketch of document frequencies, ``pool`` the number
     of rows of random parameters that shingles share. Buckets of up to ``all_pairs`` records
     compare all pairs; larger ones go the way of :func:`links`. Up to ``broadcast_rows`` candidate
@@ -36,6 +38,7 @@ class Settings:
     threshold: float = 0.8
     bands: int = 30
     rows: int = 3
+    skew: float = 1.15
     bins: int = 1 << 18
     pool: int = 8192
     all_pairs: int = 64
@@ -124,11 +127,17 @@ class Weights:
         idf = np.log((total + 1) / (cells + 1)) + 1.0
         idf = np.maximum(idf, 0.1)
         self.bins, self.one, self.two = bins, idf[:bins].astype(np.float32), idf[bins:].astype(np.float32)
+        self.low, self.high = float(idf.min()), float(idf.max())
 
     def of(self, hashes: np.ndarray) -> np.ndarray:
         one, two = _bins(hashes, self.bins)
         return np.maximum(self.one[one], self.two[two])  # the smaller count
 
+    def flat(self, hashes: np.ndarray, skew: float) -> np.ndarray:
+        """The same in their order, but from 1 to ``skew``."""
+        low, span = self.low, max(self.high - self.low, 1e-6)
+        return (1.0 + (skew - 1.0) * (self.of(hashes) - low) / span).astype(np.float32)
+
 
 class Sampler:
     """Improved consistent weighted sampling: two records draw the same with the chance of their
@@ -183,7 +192,7 @@ def signatures(rows: DataFrame, s: Settings, shared) -> DataFrame:
                 if len(hashes) and key is not None:
                     keys.append(xxhash.xxh3_128_digest(text))
                     kept.append(key)
-                    bands.append(sampler.bands_of(hashes, weights.of(hashes)))
+                    bands.append(sampler.bands_of(hashes, weights.flat(hashes, s.skew)))
             flat = np.concatenate(bands) if bands else np.empty(0, dtype=np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(kept) + 1) * s.bands, pa.int32()), pa.array(flat, pa.int64()))
             return keys, kept, lists.cast(pa.list_(pa.field("element", pa.int64())))

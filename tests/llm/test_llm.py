@@ -275,3 +275,17 @@ def test_a_high_entropy_value_needs_no_name_but_a_certificate_is_none():
     assert not secrets.spans_of(f"-----BEGIN CERTIFICATE-----\n{body}\n-----END CERTIFICATE-----", crf)
     for text in ("<password>${DB_PASS}</password>", "tool --api-key $API_KEY x", 'set_password("changeme")', "password:\n  type: string", "commit 5f2b8c1d9e3a7f604b1c2d3e4f5a6b7c5f2b8c1d"):
         assert not secrets.spans_of(text, crf)
+
+
+def test_pairs_alike_only_by_frequent_text_are_found(spark):
+    rng = random.Random(8)
+    parts = [" ".join(f"p{n}x{k}" for k in range(12)) for n in range(40)]
+    rows = []
+    for n in range(60):  # a third of all rows has each part; two rows of a pair have the same parts
+        own = " ".join(p for p in parts if rng.random() < 1 / 3)
+        words = len(own.split())
+        rows += [(2 * n + side, own, " ".join(f"r{n}s{side}w{k}" for k in range(int(words * 0.27)))) for side in (0, 1)]
+    df = spark.createDataFrame(rows, "pair_id bigint, instruction string, output string")
+    want = brute_groups(rows)
+    assert len(want) >= 50
+    assert {(r["pair_a"], r["pair_b"]) for r in near.group_pairs(df).collect()} == want
