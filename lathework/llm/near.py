@@ -291,16 +291,78 @@ def _across(hot: DataFrame, found: DataFrame) -> DataFrame:
     return joined.select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct()
 
 
+def _alike(sets: list[np.ndarray], threshold: float) -> np.ndarray:
+    """Whether each two of some shingle sets are alike, by products of blocks of their incidence."""
+    n = len(sets)
+    sizes = np.array([len(x) for x in sets], dtype=np.int64)
+    owner = np.repeat(np.arange(n), sizes)
+    values, place, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = counts > 1  # others are in no intersection
+    number = np.cumsum(shared) - 1
+    keep = shared[place]
+    owner, column = owner[keep], number[place[keep]]
+    common = np.zeros((n, n), dtype=np.int64)
+    for start in range(0, int(shared.sum()), 8192):
+        part = (column >= start) & (column < start + 8192)
+        block = np.zeros((n, 8192), dtype=np.float32)
+        block[owner[part], column[part] - start] = 1.0
+        common += np.rint(block @ block.T).astype(np.int64)
+    return common > threshold * (sizes[:, None] + sizes[None, :] - common)
+
+
+def degrees(rows: DataFrame, found: DataFrame, marked: DataFrame, s: Settings, block: int = 256) -> DataFrame:
+    """(rep, links): with how many other distinct texts each text is alike, counted over all pairs.
+
+    ``found`` has the links that made the components ``marked``. All texts that are alike with one are
+    in its component. Where every pair of a component is a link already, it is counted from those;
+    of other components the members are compared block by block, all pairs of two blocks in a task.
+    """
+    sizes = marked.groupBy("component").agg(F.count("*").alias("n"))
+    ends = found.select("a", "b").distinct()
+    edges = ends.join(marked.select(F.col("node").alias("a"), "component"), "a")
+    sizes = sizes.join(edges.groupBy("component").agg(F.count("*").alias("edges")), "component")
+    sizes = cut_lineage(sizes)
+    full = F.col("edges") * 2 == F.col("n") * (F.col("n") - 1)
+    whole = marked.join(sizes.where(full), "component").select(F.col("node").alias("rep"), (F.col("n") - 1).alias("links"))
+    open_ = marked.join(sizes.where(~full), "component")
+    blocks = F.ceil(F.col("n") / block).cast("int")
+    placed = open_.select(F.col("node").alias("id"), "component", blocks.alias("blocks"))
+    placed = cut_lineage(placed.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")))
+    texts = rows.join(placed.select("id"), "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
+
+    def make_sets() -> Callable[..., tuple]:
+        table = WordNumbers()
+        return lambda keys, bodies: (keys, [h.tobytes() for h in shingles_of(bodies, s.shingle, table)])
+
+    sets = map_columns(texts, ["id", "text"], make_sets, "id bigint, shingles binary")
+    members = placed.join(cut_lineage(sets), "id").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    members = members.select("component", "id", "block", "shingles", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"))
+
+    def compare(frame):
+        import pandas as pd
+
+        alike = _alike([np.frombuffer(x, np.uint64) for x in frame["shingles"]], s.threshold)
+        np.fill_diagonal(alike, False)
+        if frame["one"].iloc[0] != frame["two"].iloc[0]:  # pairs within a block are counted in its own group
+            at = frame["block"].to_numpy()
+            alike &= at[:, None] != at[None, :]
+        return pd.DataFrame({"rep": frame["id"], "links": alike.sum(axis=1).astype(np.int64)})
+
+    counted = members.groupBy("component", "one", "two").applyInPandas(lambda f: compare(f), "rep bigint, links bigint")
+    return whole.unionByName(counted.groupBy("rep").agg(F.sum("links").alias("links")))
+
+
 def prepare(df: DataFrame, id_column: str, columns: tuple[str, ...]) -> DataFrame:
     """(id, text): the columns of a record joined by a space, null as empty."""
     parts = [F.coalesce(df[c], F.lit("")) for c in columns]
     return df.select(df[id_column].cast("bigint").alias("id"), F.concat_ws(" ", *parts).alias("text"))
 
 
-def groups(df: DataFrame, id_column: str = "pair_id", columns: tuple[str, ...] = ("instruction", "output"), s: Settings = PAIRS) -> DataFrame:
+def groups(df: DataFrame, id_column: str = "pair_id", columns: tuple[str, ...] = ("instruction", "output"), s: Settings = PAIRS, counted: bool = True) -> DataFrame:
     """(id, group, links) of every record with a near duplicate; the group is its least id.
 
-    ``links`` is the number of different texts its text is alike with. Groups are chains of alike
+    ``links`` is the number of different texts its text is alike with, see :func:`degrees`; without ``counted``
+    it is null, and the count is not made. Groups are chains of alike
     records; exact copies belong to one group. Records with fewer words than a shingle have nothing
     to share and are in no group, nor are null ids. Ties, repeated rows and empty tables are fine;
     other columns are not read. Ids must tell rows apart; rows of one id count as one record.
@@ -312,15 +374,18 @@ def groups(df: DataFrame, id_column: str = "pair_id", columns: tuple[str, ...] =
     copies = enough.select("id", F.md5(F.col("text").cast("binary")).alias("copy"))
     reps = copies.groupBy("copy").agg(F.min("id").alias("rep"), F.count("*").alias("n"))
     marked = components(found)
-    degree = found.select(F.col("a").alias("rep")).unionByName(found.select(F.col("b").alias("rep"))).groupBy("rep").agg(F.count("*").alias("links"))
-    labelled = reps.join(marked, reps["rep"] == marked["node"], "left").join(degree, "rep", "left")
+    labelled = reps.join(marked, reps["rep"] == marked["node"], "left")
+    if counted:
+        labelled = labelled.join(degrees(rows, found, marked, s), "rep", "left")
+    else:
+        labelled = labelled.withColumn("links", F.lit(None).cast("bigint"))
     labelled = labelled.where((F.col("n") > 1) | F.col("component").isNotNull())
-    labelled = labelled.select("copy", F.coalesce("component", "rep").alias("group"), F.coalesce("links", F.lit(0)).alias("links"))
+    labelled = labelled.select("copy", F.coalesce("component", "rep").alias("group"), (F.coalesce("links", F.lit(0)) if counted else F.col("links")).alias("links"))
     return copies.join(labelled, "copy").select("id", "group", "links")
 
 
 def group_pairs(df: DataFrame, id_column: str = "pair_id", columns: tuple[str, ...] = ("instruction", "output"), s: Settings = PAIRS) -> DataFrame:
     """(pair_a, pair_b) of all pairs within a group, the smaller id first; see :func:`groups`."""
-    members = cut_lineage(groups(df, id_column, columns, s).select("id", "group").distinct())
+    members = cut_lineage(groups(df, id_column, columns, s, counted=False).select("id", "group").distinct())
     other = members.select(F.col("id").alias("pair_b"), "group")
     return members.join(other, "group").where("id < pair_b").select(F.col("id").alias("pair_a"), "pair_b")

@@ -289,3 +289,26 @@ def test_pairs_alike_only_by_frequent_text_are_found(spark):
     want = brute_groups(rows)
     assert len(want) >= 50
     assert {(r["pair_a"], r["pair_b"]) for r in near.group_pairs(df).collect()} == want
+
+
+def test_links_of_hot_buckets_are_counted_over_all_pairs(spark):
+    rng = random.Random(6)
+    base = [f"w{n}" for n in range(60)]
+    rows = []
+    for n in range(70):  # edits of one text: one component, many pairs that no bucket of 3 compares
+        t = list(base)
+        for k in range(rng.randint(1, 4)):
+            t[rng.randrange(len(t))] = f"e{n}x{k}"
+        rows.append((n, " ".join(t), ""))
+    rows += [(100, rows[0][1], ""), (101, "some other text of five words", ""), (102, "some other text of five words", None)]
+    sets = {key: {tuple(w[n : n + 3]) for n in range(len(w) - 2)} for key, i, o in rows for w in [words_of(i)]}
+    texts = {i: key for key, i, o in reversed(rows)}
+    want = {key: sum(len(sets[key] & sets[x]) > 0.6 * len(sets[key] | sets[x]) for x in texts.values() if x != texts[i]) for key, i, o in rows}
+    df = spark.createDataFrame(rows, "pair_id bigint, instruction string, output string")
+    got = {r["id"]: r["links"] for r in near.groups(df, s=near.Settings(shingle=3, threshold=0.6, all_pairs=3)).collect()}
+    assert got == {key: n for key, n in want.items() if n or key > 100}
+    found = near.prepare(df, "pair_id", ("instruction", "output"))
+    pairs = spark.createDataFrame([(0, n) for n in range(1, 70)], "a bigint, b bigint")
+    marked = spark.createDataFrame([(n, 0) for n in range(70)], "node bigint, component bigint")
+    by_block = near.degrees(found, pairs, marked, near.PAIRS, block=16)  # several blocks
+    assert {r["rep"]: r["links"] for r in by_block.collect()} == {n: want[n] for n in range(70)}
