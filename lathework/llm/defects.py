@@ -5,6 +5,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Callable
+from itertools import islice
 
 from pyspark.sql import DataFrame
 
@@ -91,121 +92,92 @@ def is_copy(answer: list[str], question: list[str], extra: list[str]) -> bool:
 
 # --- Refusals ---------------------------------------------------------------------------------
 
-# Templates of refusals; * stands for up to six words. The answer's sentences are
-# aligned to them by longest common subsequence.
+# Families of words, in the languages that are told apart. A word can be in several.
+FAMILIES = """
+SELF: i we ourselves myself assistant model ai bot chatbot program ich wir je j'ai nous m'est moi yo nosotros eu noi assistent asistente assistente modell modèle modelo ki ia puedo podemos prefiero daré daremos debo debemos tengo estoy voy niego peux préfère dois posso prefiro estou
+MINE: me my us our makers creators developers mir mich uns mein meine meinen meiner meinem me mes ma mon mi mis nos
+NEG: not no never nothing none without unable nicht kein keine keinen keiner nichts impossible imposible unmöglich nie ne n'est n'ai pas rien jamais aucun aucune ni no nunca nada ningún ninguna não non
+ABLE: can could may able unable allowed allow permitted permit authorized authorised cleared clear equipped capable licensed position free will way let kann könnte können darf dürfen möglich erlaubt befugt lage imstande möchte werde peux puis peut pouvons autorisé autorisée permis permet mesure puedo podemos puede permitido permite autorizado capaz condiciones voy impossible imposible unmöglich posso possiamo possível pode podem
+ACT: help assist answer answers answered answering respond reply provide discuss discussed talk speak comment comply fulfil fulfill engage tell say advise instructions weigh explain describe helfen hilfe beantworten beantwortet antworten antworte antwort auskunft sprechen sagen äußern weiterhelfen bearbeiten erfüllen aider répondre parler dire fournir discuter renseigner traiter donner ayudar ayudarle ayudarte responder contestar hablar decir proporcionar atender dar ajudar responder falar aiutare rispondere parlare daré daremos instrucciones
+DECLINE: decline declines declined refuse refuses refused reject rejected deny denied withhold withheld skip abstain unanswered ablehnen abgelehnt lehne verweigern verweigere verweigert unbeantwortet refuser refuse refusée décliner décline renoncer rechazar rechazo rechazada negar niego declinar declino recusar rifiutare
+TOPIC: this that it these those such request requests question questions topic subject prompt prompts matter query content one anfrage frage fragen thema dies diese dieser dieses das dazu damit darüber dabei hierzu inhalt demande question questions sujet cela ça ceci ce cette contenu solicitud pregunta preguntas tema eso esto ello petición contenido pergunta isso isto tema pedido domanda questo
+RULE: policy policies guideline guidelines rules rule safety security terms ethics principles limits scope richtlinien regeln sicherheitsgründen vorgaben grundsätze règles consignes sécurité politique limites normas reglas política seguridad directrices
+AGAINST: against violates violate violating break breaks prohibits prohibited forbids forbidden outside beyond off appropriate comfortable verstößt gegen verboten untersagt außerhalb contre interdit interdisent enfreint hors contra viola prohíben prohibido fuera
+PREFER: rather prefer lieber ungern préfère préférerais prefiero preferiría prefiro preferisco
+KNOW: knowledge access idea clue information know tell wissen kenntnis zugriff weiß connaissance accès sais conocimiento acceso sé
+SORRY: sorry apologies apologise apologize unfortunately regret afraid leider leid bedaure bedauere désolé désolée malheureusement regrette siento lamento lamentablemente desculpe infelizmente dispiace
+ASK: ask contact consult try reach turn check please feel fragen fragt stellen wenden bitte versuchen posez demandez contactez consultez adressez veuillez essayez haga pregunte consulte contacte pruebe póngase puede
+ELSE: else elsewhere other another different others anybody somebody someone somewhere something anything anderes andere anderen anderer sonst jemand woanders autre autres ailleurs quelqu'un otra otro otras otros alguien outra outro altro
+CHANGE: change let's talk wechseln reden changeons parlons cambiemos hablemos
+""".strip().splitlines()
+# Templates of refusals, as families in their order; the answer's sentences are aligned
+# to them by longest common subsequence. A template must be found whole.
 REFUSALS = """
-i am sorry but i can not help with *
-sorry i can not assist you with that request
-unfortunately i can not assist with that request
-i am unable to fulfil this request
-i am unable to help with *
-i am not able to answer questions about *
-as an ai language model i am not able to *
-as an ai i can not provide *
-i can not answer this question
-i can not provide instructions for *
-i can not comply with this request
-i can not help with that
-i can not do that
-i won't be able to give you an answer on *
-i will not provide instructions for *
-i will not answer this
-i won't help with *
-i must decline to *
-i have to decline this request
-i must refuse this request
-i would rather not * this one
-i would rather not *
-i prefer not to answer *
-i would prefer not to discuss *
-this is not a topic i engage with
-this is not something i can help with
-that is not something i am allowed to discuss
-i am not allowed to talk about *
-i am not permitted to answer this
-i am not comfortable answering this
-i have been instructed to skip prompts such as yours
-i have been told not to answer *
-for safety reasons the content you asked for is withheld
-this content is not available for safety reasons
-it would not be appropriate for me to respond to this question
-you will have to ask somebody else * is off limits for me
-* is off limits for me
-that topic is off limits
-request declined the assistant does not answer prompts about *
-request denied
-the assistant can not answer this
-this goes against my guidelines so i will not provide instructions for *
-this goes against my guidelines
-that violates the usage policy
-answering this is outside of what i can do
-my apologies but answering this is outside of what i can do
-this is outside the scope of what i can do
-no comment on * from me the usage policy rules it out
-no comment on *
-let's talk about something other than *
-let us change the subject
-i do not have access to * so there is nothing i can tell you here
-there is nothing i can tell you about *
-i have nothing to say about *
-being only a chat program i have no way to * what you ask about *
-i have no way to answer what you ask about *
-i am afraid that i lack the knowledge to * this and must leave it unanswered
-i must leave this unanswered
-i do not know the answer to this
-i do not feel able to answer this
-diese anfrage muss ich leider ablehnen
-tut mir leid dabei kann ich nicht helfen
-es tut mir leid aber ich kann ihnen damit nicht helfen
-dabei kann ich leider nicht helfen
-darüber möchte ich nicht sprechen bitte stellen sie eine andere frage
-darüber möchte ich nicht sprechen
-dazu möchte ich nichts sagen
-zu * gebe ich aus sicherheitsgründen keine auskunft
-dazu gebe ich keine auskunft
-als ki modell darf ich fragen zu * nicht beantworten
-als ki kann ich diese frage nicht beantworten
-diese frage kann ich nicht beantworten
-ich kann diese anfrage nicht bearbeiten
-das darf ich nicht beantworten
-ich muss das ablehnen
-das verstößt gegen meine richtlinien
-je suis désolé je ne peux pas répondre à cette demande
-désolé je ne peux pas vous aider avec *
-je ne peux pas répondre à cette question
-je ne peux pas aider avec *
-en tant que modèle d'ia je ne peux pas aider avec *
-je préfère ne rien dire au sujet de *
-je préfère ne pas répondre
-je dois refuser cette question
-je dois refuser cette demande
-je dois décliner *
-ce contenu ne m'est pas permis posez moi une autre question
-je ne suis pas autorisé à répondre
-je ne suis pas en mesure de répondre à *
-cela va à l'encontre de mes règles
-lo siento no puedo ayudar con *
-lo siento pero no puedo responder a *
-no puedo responder a esta pregunta
-no puedo ayudar con eso
-debo rechazar esta solicitud
-tengo que rechazar esta petición
-prefiero no hablar de *
-prefiero no responder
-por normas de uso no daré instrucciones sobre * haga otra pregunta
-no daré instrucciones sobre *
-como modelo de ia no me está permitido responder a esto
-no me está permitido hablar de *
-no estoy autorizado a responder
-no estoy en condiciones de responder a *
-desculpe não posso ajudar com *
-não posso responder a esta pergunta
-mi dispiace non posso aiutare con *
-non posso rispondere a questa domanda
+SELF ABLE NEG ACT
+SELF NEG ABLE ACT
+SELF NEG ABLE TOPIC
+ABLE SELF NEG ACT
+ABLE SELF TOPIC NEG ACT
+ABLE SELF NEG TOPIC
+ABLE NEG ACT you
+NEG ABLE MINE ACT
+NEG ABLE MINE TOPIC
+SELF NEG ACT TOPIC
+TOPIC ABLE SELF NEG
+TOPIC ACT SELF NEG
+TOPIC SELF NEG ACT
+TOPIC SELF NEG ABLE
+TOPIC NEG MINE ABLE
+TOPIC NEG ABLE MINE
+RULE NEG ABLE MINE
+TOPIC ABLE NEG ACT
+TOPIC NEG ABLE ACT
+TOPIC NEG SELF ABLE
+TOPIC NEG SELF ACT
+SELF DECLINE
+SELF TOPIC DECLINE
+TOPIC SELF DECLINE
+DECLINE TOPIC
+TOPIC DECLINE
+SELF PREFER NEG ACT
+SELF PREFER NEG TOPIC one
+TOPIC PREFER SELF NEG
+SELF PREFER NEG this one
+PREFER SELF NEG ACT
+PREFER NEG ACT
+AGAINST MINE RULE
+TOPIC AGAINST RULE
+TOPIC AGAINST SELF ABLE
+NEG AGAINST MINE ACT
+RULE NEG SELF ACT
+RULE SELF NEG ACT
+SELF RULE NEG ACT
+SELF NEG auskunft
+NEG MINE ABLE ACT
+NEG ACT MINE
+NEG ACT RULE
+NEG SELF ABLE ACT
+NEG SELF KNOW
+SELF NEG KNOW ACT
+SELF NEG KNOW TOPIC
+SELF NEG TOPIC ACT
+TOPIC NEG SELF ACT
+SELF NEG ACT RULE
+TOPIC AGAINST for MINE
+NEG AGAINST MINE TOPIC
+off limits
+CHANGE ELSE TOPIC
+CHANGE TOPIC
+CHANGE ELSE than
+SELF NEG way
 """.strip().splitlines()
 
 # What may stand beside a refusal without making it an answer.
 PLEASANTRIES = """
+no
+nope
+nein
+non
 hello
 hi there
 hi
@@ -272,7 +244,7 @@ póngase en contacto con *
 _TOKEN = re.compile(r"[^\W_]+(?:['’][^\W_]+)*(?:-[^\W_]+)*")
 _SENTENCES = re.compile(r"(?<=[.!?])[\"'”’)*]*\s+|\n+")
 _CONTRACTED = {
-    "can't": "can not", "cannot": "can not", "i'm": "i am", "i'd": "i would", "i've": "i have", "isn't": "is not", "don't": "do not",
+    "can't": "can not", "cannot": "can not", "i'm": "i am", "i'd": "i would", "i've": "i have", "isn't": "is not", "won't": "will not", "wouldn't": "would not", "aren't": "are not", "didn't": "did not", "haven't": "have not", "hasn't": "has not", "wasn't": "was not", "don't": "do not",
     "doesn't": "does not", "that's": "that is", "there's": "there is", "it's": "it is", "couldn't": "could not", "i'll": "i will",
     "ki-modell": "ki modell", "chat-programm": "chat programm", "posez-moi": "posez moi",
 }
@@ -320,26 +292,111 @@ class Templates:
         return False
 
 
-_REFUSE = Templates(REFUSALS)
 _PLEASE = Templates(PLEASANTRIES)
-#: A lead-in before a refusal's first words.
-_LEAD = re.compile(r"^(?:well|note|hmm|ok|okay|so|sorry|unfortunately|leider|désolé|lo siento)\b[\s,:.!-]*", re.I)
-def is_refusal(output: str) -> bool:
-    """Whether an answer declines and gives nothing else: every sentence aligns to a template."""
-    if "`" in output:
+_FAMILY: dict[str, list[str]] = {}
+for _line in FAMILIES:
+    _name, _, _words = _line.partition(": ")
+    for _word in _words.split():
+        if _name not in _FAMILY.setdefault(_word, []):
+            _FAMILY[_word].append(_name)
+_PATTERNS = [line.split() for line in REFUSALS]
+#: Places that one alignment may span, and words of a sentence that are in no family and not in the question.
+REACH = 14
+FREE = 9
+#: The same where a template only names a refusal, which a system can make as well.
+BARE = 2
+#: A sentence goes on to an answer behind these.
+_TURN = frozenset("but however instead though here following aber jedoch stattdessen sondern hier mais cependant plutôt voici pero sino aunque aquí".split())
+
+
+def refuses(words: list[str], question: set[str]) -> bool:
+    """Whether a sentence is a refusal: a template of families is aligned whole within ``REACH`` words.
+
+    Words of the question are its topic and count for nothing; a sentence with more than ``FREE``
+    other words, or that turns to something else after the alignment, says more than no.
+    """
+    places = [(at, name) for at, word in enumerate(words) for name in (*_FAMILY.get(word, ()), word)]
+    names = [name for _, name in places]
+    free = sum(word not in _FAMILY and word not in question and word not in _SMALL for word in words)
+    if free > FREE:
+        return False
+    have = set(names)
+    for pattern in _PATTERNS:
+        if not have.issuperset(pattern) or lcs_length(pattern, names) < len(pattern):
+            continue
+        end = _tightest(pattern, places)
+        if end is not None and (free <= BARE or "DECLINE" not in pattern):
+            behind = words[end + 1 :]
+            turn = next((i for i, w in enumerate(behind) if w in _TURN), None)
+            if turn is None or len(behind) - turn <= 4 or any(n in ("SELF", "ELSE") for w in behind[turn:] for n in _FAMILY.get(w, ())):
+                return True
+    return False
+
+
+def _tightest(pattern: list[str], places: list[tuple[int, str]]) -> int | None:
+    """Where the alignment of a pattern within ``REACH`` words ends, if there is one."""
+    for start, (first, name) in enumerate(places):
+        if name != pattern[0]:
+            continue
+        k, last = 1, first
+        for at, other in places[start + 1 :]:
+            if at - first >= REACH or k == len(pattern):
+                break
+            if other == pattern[k]:
+                k, last = k + 1, at
+        if k == len(pattern):
+            return last
+    return None
+
+
+# Words without a meaning of their own beside a refusal.
+_SMALL = frozenset(
+    "a an the to of in on at for with about from by as am is are be been was were do does did have has had would should must and or if so any there what which you your out give given get go "
+    "zu der die den dem ein eine einen einer im am an auf von für mit über bin ist sind habe hat muss und oder sie ihnen ihre ihr es "
+    "le la les l un une des de d du à au aux sur pour avec en suis est sont ai et ou vous votre que qui il "
+    "el la los las un una de del al a en sobre para con por es son he tengo y o que se le su usted lo "
+    "o os as um uma do da em il lo di che".split()
+)
+_FENCED = re.compile(r"```.*?(?:```|\Z)", re.S)
+_CODE_SPAN = re.compile(r"`[^`\n]*`")
+CODE_WORD = "codespan"
+#: Refusals are short; in a sentence of more words than this nothing is aligned.
+SENTENCE_MOST = 60
+
+
+def is_refusal(output: str, question: str = "") -> bool:
+    """Whether an answer declines and gives nothing else: every sentence aligns to a template.
+
+    A code span stands for a name; a block of code is an answer.
+    """
+    if "```" in output and _FENCED.search(output):
         return False
+    if "`" in output:
+        output = _CODE_SPAN.sub(f" {CODE_WORD} ", output)
     refused = False
+    topic: set[str] | None = None
     for sentence in _SENTENCES.split(output.strip()):
         words = _tokens(sentence)
         if not words:
             continue
-        if _REFUSE.fits(words) or (lead := _LEAD.sub("", sentence)) != sentence and _REFUSE.fits(_tokens(lead)):
+        if len(words) > SENTENCE_MOST:
+            return False
+        if topic is None:
+            topic = set(_tokens(question)) | {CODE_WORD}
+        if refuses(words, topic):
             refused = True
-        elif not (_PLEASE.fits(words) or len(words) == 1 and words[0] in _PLEASE.by_word):
+        elif not (_PLEASE.fits(words) or len(words) == 1 and words[0] in _PLEASE.by_word or _is_side(words, topic)):
             return False
     return refused
 
 
+def _is_side(words: list[str], topic: set[str]) -> bool:
+    """Whether a sentence only regrets or sends one elsewhere."""
+    names = {n for w in words for n in _FAMILY.get(w, ())}
+    free = sum(w not in _FAMILY and w not in topic and w not in _SMALL for w in words)
+    return free <= 3 and ("ELSE" in names and ("ASK" in names or "ACT" in names) or "SORRY" in names and len(words) <= 4)
+
+
 # --- Truncated answers ------------------------------------------------------------------------
 
 # Notices that a text was cut, and words no sentence ends on.
@@ -480,12 +537,13 @@ def defect_of(instruction: str | None, extra: str | None, output: str | None) ->
     """The defect of a pair, or None; the first that holds, in the order of ``KINDS``."""
     if is_empty(output):
         return "empty_answer"
-    question = (len(instruction) if instruction else 0) + (len(extra) if extra else 0)
-    if len(output) <= 2 * question + 60:
-        answer = WORD.findall(output.lower())
-        if is_copy(answer, WORD.findall((instruction or "").lower()), WORD.findall((extra or "").lower())):
-            return "copied_question"
-    if is_refusal(output):
+    asked, more = WORD.findall((instruction or "").lower()), WORD.findall((extra or "").lower())
+    # the answer can hold both twice, and labels; marks and spacing are no words
+    most = 2 * (len(asked) + len(more) + 3) + len(_LABELS)
+    answer = [m[0] for m in islice(WORD.finditer(output.lower()), most + 1)]
+    if len(answer) <= most and is_copy(answer, asked, more):
+        return "copied_question"
+    if is_refusal(output, f"{instruction or ''} {extra or ''}"):
         return "refusal"
     if is_truncated(output):
         return "truncated_answer"
@@ -504,7 +562,8 @@ def find_defects(
     sentence aligns to a refusal template or a pleasantry, and one to a refusal),
     ``truncated_answer`` (a notice of cutting, an open code block or bracket, a sentence that
     stops short) and ``wrong_language`` (function words and script of the prose against the
-    question's). The first that holds is given. Null and empty questions make no defect of their
+    question's). A copy and a refusal are told by their words; marks, spacing and code spans make no
+    difference. The first that holds is given. Null and empty questions make no defect of their
     own; whole texts are read; repeated rows come out repeated; other columns are not read.
     """
     kind = df.schema[id_column].dataType.simpleString()

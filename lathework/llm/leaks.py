@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,9 +14,14 @@ from lathework.llm.words import WordNumbers, numbers, run_hashes, words_of
 
 SHARED_WORDS = 13
 GRAM = 6
-#: Evaluation sets up to this many words (16 bytes each on a worker) are broadcast whole; larger
-#: ones are joined to the corpus by a shuffle on the fingerprint.
+#: Evaluation sets up to this many words (8 bytes each, and 24 a fingerprint) are broadcast as arrays;
+#: larger ones are joined to the corpus by a shuffle on the fingerprint.
 BROADCAST_WORDS = 4_000_000
+#: Bits of the filter of item fingerprints that goes before that shuffle, as a power of two. A fuller
+#: filter lets more corpus fingerprints through and loses none.
+FILTER_BITS = 26
+#: Parts that the corpus side of a fingerprint is spread over in the join.
+SPREAD = 8
 
 
 def window_of(shared_words: int, gram: int) -> int:
@@ -105,10 +111,12 @@ def find_leaks(
 
     Null, empty and short texts give no rows; repeated rows give one row per id pair; empty tables
     give none; other columns are not read. Where the evaluation set is under ``broadcast_words``
-    words (counted first), it is broadcast and the corpus is read once without a shuffle;
-    beyond that both sides are joined by fingerprint, the corpus side carrying the words around it.
+    words (counted first, as words of any script), its arrays are built once and broadcast, and the
+    corpus is read once without a shuffle; beyond that both sides are joined by fingerprint, after a
+    filter of the items' fingerprints has kept the corpus fingerprints that can match.
     """
-    size = items.select(F.sum(F.size(F.split(F.coalesce(items[text], F.lit("")), r"\W+")))).first()[0] or 0
+    count = F.regexp_count(F.coalesce(items[text], F.lit("")), F.lit(r"[\p{L}\p{N}_]+"))
+    size = items.select(F.sum(count.cast("bigint"))).first()[0] or 0
     if size <= broadcast_words:
         return _by_broadcast(documents, items, doc_id, item_id, text, shared_words, gram)
     return _by_join(documents, items, doc_id, item_id, text, shared_words, gram)
@@ -117,12 +125,12 @@ def find_leaks(
 def _by_broadcast(documents, items, doc_id, item_id, text, shared_words, gram) -> DataFrame:
     spark = documents.sparkSession
     rows = items.select(items[item_id], items[text]).distinct().collect()  # size was checked
-    shared = spark.sparkContext.broadcast(([r[0] for r in rows], [r[1] for r in rows]))
+    shared = spark.sparkContext.broadcast(Items([r[0] for r in rows], [r[1] for r in rows], shared_words, gram))
     kinds = [d.schema[c].dataType.simpleString() for d, c in ((documents, doc_id), (items, item_id))]
 
     def make() -> Callable[..., tuple]:
-        ids, texts = shared.value
-        known = Items(ids, texts, shared_words, gram)
+        known = shared.value
+        ids = known.ids
         table = WordNumbers()
 
         def work(keys: list, bodies: list) -> tuple:
@@ -167,19 +175,74 @@ def _members(values: np.ndarray, marks: np.ndarray) -> np.ndarray:
     return marks[at] == values
 
 
+def _places(marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two places of every fingerprint in the filter."""
+    shift, mask = np.uint64(64 - FILTER_BITS), np.uint64((1 << FILTER_BITS) - 1)
+    return (marks >> shift).astype(np.int64), (marks & mask).astype(np.int64)
+
+
+BLOCK = 1 << 16
+
+
+def filter_of(items: DataFrame, text: str, shared_words: int, gram: int) -> np.ndarray:
+    """A bitmap of fixed size with two bits of every kept fingerprint of the items.
+
+    Every task marks its own input in a bitmap and sends the blocks that aren't empty; blocks are
+    joined in two steps, per block and part of the tasks, then per block. What reaches the driver is
+    one bitmap, for any input.
+    """
+    window = window_of(shared_words, gram)
+
+    def mark(batches):
+        table = WordNumbers()
+        seen = np.zeros(1 << FILTER_BITS, dtype=bool)
+        for batch in batches:
+            for body in batch.column(0).to_pylist():
+                grams = run_hashes(numbers(words_of(body), table), gram)
+                for places in _places(grams[winnow(grams, window)]):
+                    seen[places] = True
+        from pyspark import TaskContext
+
+        packed = np.packbits(seen).reshape(-1, BLOCK)
+        full = np.flatnonzero(packed.any(axis=1))
+        part = TaskContext.get().partitionId() % 64
+        blocks = {"block": pa.array(full, pa.int32()), "part": pa.array([part] * len(full), pa.int32()), "bits": pa.array([packed[i].tobytes() for i in full], pa.binary())}
+        yield pa.RecordBatch.from_pydict(blocks)
+
+    def add(frame):
+        import pandas as pd
+
+        total = np.bitwise_or.reduce([np.frombuffer(b, np.uint8) for b in frame["bits"]], axis=0)
+        return pd.DataFrame({"block": [frame["block"].iloc[0]], "part": [frame["part"].iloc[0]], "bits": [total.tobytes()]})
+
+    schema = "block int, part int, bits binary"
+    sent = items.select(text).mapInArrow(mark, schema)
+    joined = sent.groupBy("block", "part").applyInPandas(add, schema).groupBy("block").applyInPandas(add, schema)
+    out = np.zeros((1 << FILTER_BITS) // 8, dtype=np.uint8).reshape(-1, BLOCK)
+    for row in joined.select("block", "bits").toLocalIterator():
+        out[row["block"]] = np.frombuffer(row["bits"], np.uint8)
+    return out.reshape(-1)
+
+
+def _set(bits: np.ndarray, places: np.ndarray) -> np.ndarray:
+    return (bits[places >> 3] >> (7 - (places & 7)).astype(np.uint8)) & 1 == 1
+
+
 def fingerprints(
-    df: DataFrame, id_column: str, text: str, shared_words: int, gram: int, name: str
+    df: DataFrame, id_column: str, text: str, shared_words: int, gram: int, name: str, wanted=None
 ) -> DataFrame:
     """(mark, <name>, before, after): every kept fingerprint with the words on both sides of it.
 
     ``before`` holds up to ``shared_words`` word numbers left of the gram, nearest first;
     ``after`` as many from its first word on. That is all an extension to the needed length asks.
+    With ``wanted``, a broadcast of :func:`filter_of`, only those are made whose bits it has.
     """
     kind = df.schema[id_column].dataType.simpleString()
     window = window_of(shared_words, gram)
 
     def make() -> Callable[..., tuple]:
         table = WordNumbers()
+        bits = wanted.value if wanted else None
 
         def work(keys: list, bodies: list) -> tuple:
             marks, ids, before, after = [], [], [], []
@@ -187,7 +250,11 @@ def fingerprints(
                 values = numbers(words_of(body), table)
                 grams = run_hashes(values, gram)
                 signed = values.view(np.int64)
-                for at in winnow(grams, window):
+                kept = winnow(grams, window)
+                if bits is not None:
+                    one, two = _places(grams[kept])
+                    kept = kept[_set(bits, one) & _set(bits, two)]
+                for at in kept:
                     marks.append(int(grams[at].view(np.int64)))
                     ids.append(key)
                     before.append(signed[max(0, at - shared_words) : at][::-1])
@@ -201,8 +268,12 @@ def fingerprints(
 
 
 def _by_join(documents, items, doc_id, item_id, text, shared_words, gram) -> DataFrame:
-    left = fingerprints(documents, doc_id, text, shared_words, gram, "doc_id")
+    wanted = documents.sparkSession.sparkContext.broadcast(filter_of(items, text, shared_words, gram))
+    left = fingerprints(documents, doc_id, text, shared_words, gram, "doc_id", wanted)
     right = fingerprints(items, item_id, text, shared_words, gram, "item_id")
+    # a frequent passage is spread over tasks by its documents, the items repeated to match
+    left = left.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(SPREAD)).cast("int"))
+    right = right.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
 
     def equal_from_start(a: str, b: str):
         same = F.zip_with(a, b, lambda x, y: F.coalesce(x == y, F.lit(False)))
@@ -210,4 +281,4 @@ def _by_join(documents, items, doc_id, item_id, text, shared_words, gram) -> Dat
         return F.when(first_gap > 0, first_gap - 1).otherwise(F.least(F.size(a), F.size(b)).cast("bigint"))
 
     length = equal_from_start("before_doc_id", "before_item_id") + equal_from_start("after_doc_id", "after_item_id")
-    return left.join(right, "mark").where(length >= shared_words).select("doc_id", "item_id").distinct()
+    return left.join(right, ["mark", "part"]).where(length >= shared_words).select("doc_id", "item_id").distinct()
