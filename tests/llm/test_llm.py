@@ -312,3 +312,248 @@ def test_links_of_hot_buckets_are_counted_over_all_pairs(spark):
     marked = spark.createDataFrame([(n, 0) for n in range(70)], "node bigint, component bigint")
     by_block = near.degrees(found, pairs, marked, near.PAIRS, block=16)  # several blocks
     assert {r["rep"]: r["links"] for r in by_block.collect()} == {n: want[n] for n in range(70)}
+
+
+# Refusals in wordings that were written after the templates, and sound answers that sound like them.
+HELD_OUT_REFUSALS = """
+My makers did not clear me for this one. Ask elsewhere.
+I can not help with `kubectl`.
+I am sorry, but I can't help with setting up the retry policy for your payment gateway.
+Sorry, this is something our rules do not let me discuss.
+I'm afraid that's beyond what I may talk about.
+We are not permitted to reply to such prompts.
+Apologies. Answering that would break the terms I work under.
+I must withhold a response here.
+That one I will leave unanswered.
+Please find someone else for this, I am not allowed to advise on it.
+No. I refuse.
+Regrettably I am not in a position to comment on that.
+Dazu darf ich leider nichts sagen.
+Ich bin nicht befugt, diese Frage zu beantworten.
+Leider kann ich Ihnen hierbei nicht weiterhelfen.
+Auf solche Fragen antworte ich nicht.
+Je regrette, mais je ne suis pas autorisé à en parler.
+Il m'est impossible de répondre à cette demande.
+Je refuse de répondre à ce genre de question.
+Lamentablemente no se me permite responder a eso.
+No voy a contestar esta pregunta.
+Me niego a responder.
+Desculpe, não estou autorizado a responder.
+I decline.
+Can't help you there, sorry.
+As an assistant I do not discuss such matters; kindly try something else.
+This request was rejected for safety reasons.
+I do not have permission to answer that.
+The model has been told not to respond to this topic.
+""".strip().splitlines()
+SOUND_ANSWERS = """
+Yes.
+No, it does not.
+You can not do that with a single key.
+I could not reproduce this on 2.4, what version are you on?
+We do not support this before version 3; upgrade first.
+It is not possible to rename a topic.
+I would not do that in production.
+The server can not answer requests while it restarts.
+That is not allowed by the schema; use a list instead.
+The request is denied because the token expired.
+Access was refused: check the policy.
+I do not know of a limit, the default is 30 seconds.
+The policy does not permit anonymous reads.
+Do not ask the primary, try another replica.
+This question was answered in the docs.
+I can not recommend this: set the timeout to 30 instead.
+Sorry for the late reply. Set `retries` to 5.
+Das geht nicht, weil der Port belegt ist.
+Das ist nicht erlaubt, nutze stattdessen eine Liste.
+Ich kann das nicht nachstellen, welche Version ist es?
+Ce n'est pas possible avant la version 3.
+No se puede cambiar el nombre de una cola.
+The rule is not applied to other requests.
+The safety policy does not answer this request.
+Our proxy rejects this request without a header.
+We refuse connections over the limit.
+I prefer not to set it.
+My cluster denied the request until I raised the limit.
+""".strip().splitlines()
+
+
+def test_refusals_in_other_wordings():
+    question = "How do I rotate the lease?"
+    assert [x for x in HELD_OUT_REFUSALS if defects.defect_of(question, None, x) != "refusal"] == []
+    assert [x for x in SOUND_ANSWERS if defects.defect_of(question, None, x) == "refusal"] == []
+    assert defects.defect_of(question, None, "I can not help with `kubectl`.") == "refusal"
+    assert defects.defect_of(question, None, "I can not help with that.\n```\nkubectl get pods\n```") is None
+
+
+def test_copies_whatever_stands_between_the_words():
+    question = "Why does the lease of the queue expire before the batch is committed"
+    spaced = ("\n" * 20).join(question.split())
+    for output in (spaced, question + "\n" + "-" * 400, "* " * 200 + question.upper() + "?!" * 100, "Question: " + question, question + " " + question):
+        assert defects.defect_of(question, None, output) == "copied_question", output[:40]
+    assert defects.defect_of(question, None, question + ". It expires since the clock drifts by more than the grace.") is None
+
+
+def test_defects_in_wordings_of_their_own():
+    question = "How do I drain a node before the upgrade?"
+    for kind, outputs in {
+        "empty_answer": ["<p>&nbsp;</p>", "N/A", "\u200b", "<div><br/></div>", "- - -", "keine Antwort"],
+        "truncated_answer": ["Cordon the node. Then evict the pods and", "Run this:\n```\nkubectl drain", "Cordon it first. [truncated]", "1. Cordon the node.\n2. Evict the", "Evict all pods. After that you must (see"],
+        "wrong_language": ["Zuerst muss der Knoten gesperrt werden, danach werden alle Dienste auf einen anderen verschoben.", "Il faut d'abord marquer le noeud, puis vider les services avant de lancer la mise à jour."],
+    }.items():
+        assert [x for x in outputs if defects.defect_of(question, None, x) != kind] == [], kind
+
+
+# --- p6: nothing depends on the size of a bucket ---
+
+
+@pytest.mark.parametrize("all_pairs", [1000, 64, 4])
+def test_ninety_alike_texts_have_all_their_links(spark, all_pairs):
+    base = [f"w{n}" for n in range(200)]
+    rows = [(n, " ".join([*base[:n], "edit", *base[n + 1 :]]), None) for n in range(90)]
+    df = spark.createDataFrame(rows, "pair_id bigint, instruction string, output string")
+    got = near.groups(df, s=near.Settings(shingle=3, threshold=0.6, all_pairs=all_pairs)).collect()
+    assert len(got) == 90 and {r["group"] for r in got} == {0}
+    assert sum(r["links"] for r in got) == 90 * 89
+
+
+def test_unlike_texts_of_one_hot_bucket_are_compared_exactly(spark):
+    rng = random.Random(12)
+    shared = [f"s{n}" for n in range(60)]  # boilerplate that puts all in the same buckets
+    rows = []
+    for n in range(40):
+        own = [f"o{n}x{k}" for k in range(45)]
+        rows.append((2 * n, " ".join(shared), " ".join(own)))
+        own[rng.randrange(45)] = "edit"
+        rows.append((2 * n + 1, " ".join(shared), " ".join(own)))
+    df = spark.createDataFrame(rows, "pair_id bigint, instruction string, output string")
+    got = {(r["pair_a"], r["pair_b"]) for r in near.group_pairs(df, s=near.Settings(shingle=3, threshold=0.6, all_pairs=2)).collect()}
+    assert got == brute_groups(rows) and len(got) == 40
+
+
+def test_recall_of_the_buckets_by_similarity():
+    s = near.PAIRS
+    rng = random.Random(3)
+    weights = near.Weights(near.np.array([1] * (2 << 10)), 1000, 1 << 10, s)
+    sampler, table = near.sampler_of(s), near.WordNumbers()
+    met = {}
+    for band, (low, high) in {0.6: (0.6, 0.65), 0.65: (0.65, 0.7), 0.7: (0.7, 0.8), 0.8: (0.8, 1.0), 0.2: (0.1, 0.2)}.items():
+        hits = tries = 0
+        while tries < 150:
+            n = rng.randint(40, 160)
+            a = [f"{rng.random()}" for _ in range(n)]
+            edits = rng.randint(1, n // 3) if band > 0.2 else int(n * 0.45)
+            b = list(a)
+            for at in rng.sample(range(n), edits):
+                b[at] = f"{rng.random()}"
+            (x, cx), (y, cy) = near.shingles_of([" ".join(a).replace(".", ""), " ".join(b).replace(".", "")], 3, table)
+            common = len(near.np.intersect1d(x, y))
+            if low < common / (len(x) + len(y) - common) <= high:
+                tries += 1
+                hits += bool((sampler.bands_of(x, weights.levels_of(x, cx), [len(x)]) == sampler.bands_of(y, weights.levels_of(y, cy), [len(y)])).any())
+        met[band] = hits / tries
+    assert met[0.6] >= 0.98 and min(met[0.65], met[0.7], met[0.8]) >= 0.99 and met[0.2] <= 0.3
+
+
+# --- p8: evaluation sets of any script and size ---
+
+
+def test_words_of_other_scripts_count_for_the_guard(spark, monkeypatch):
+    text = " ".join(f"слово{n}" for n in range(1800))
+    docs_ = spark.createDataFrame([(1, text), (2, "мало")], "doc_id bigint, text string")
+    items = spark.createDataFrame([(7, " ".join(text.split()[100:130]))] + [(8, text)], "item_id bigint, text string")
+    called = []
+    real = leaks._by_join
+    monkeypatch.setattr(leaks, "_by_join", lambda *a: called.append(1) or real(*a))
+    got = {(r["doc_id"], r["item_id"]) for r in leaks.find_leaks(docs_, items, broadcast_words=1000).collect()}
+    assert got == {(1, 7), (1, 8)} and called == [1]
+    assert {(r["doc_id"], r["item_id"]) for r in leaks.find_leaks(docs_, items).collect()} == got and called == [1]
+
+
+# --- p3: documentation over a hierarchy of several files and runs ---
+
+BASE_PY = """
+class Store:
+    def put(self, key):
+        \"\"\"Write one value under its key and wait for the disk.\"\"\"
+
+    def drop(self, key):
+        \"\"\"Remove one value and all of its older versions.\"\"\"
+
+    def bare(self):
+        pass
+"""
+MIDDLE_PY = """
+from base.store import Store as Root
+
+class Cached(Root):
+    def put(self, key):
+        \"\"\"{@inheritDoc}\"\"\"
+
+    def bare(self):
+        pass
+"""
+LEAF_PY = """
+from .cached import Cached
+import other
+
+class Small(Cached):
+    def put(self, key):
+        return 1
+
+    def drop(self, key):
+        \"\"\"todo\"\"\"
+
+    def bare(self):
+        return 2
+
+class Loop(Loop):
+    def spin(self):
+        pass
+
+class Foreign(other.Store):
+    def put(self, key):
+        return 3
+"""
+BASE_JS = """
+export class Queue {
+  /** Take the next message and mark it as seen. */
+  next() { return 1 }
+}
+"""
+LEAF_JS = """
+import { Queue as Q } from './queue.js'
+class Fast extends Q {
+  next() { return 2 }
+}
+"""
+
+
+def test_documentation_comes_down_a_hierarchy_over_files_and_runs(spark):
+    schema = "result_id bigint, source_name string, examples array<struct<instruction:string,input:string,output:string,path:string>>, path string"
+    file = lambda path, text: ("", "", text, path)
+    rows = [
+        (1, "repo", [file("src/base/store.py", BASE_PY), file("web/queue.js", BASE_JS)], "clash"),
+        (2, "repo", [file("src/mid/cached.py", MIDDLE_PY)], "clash"),
+        (3, "repo", [file("src/mid/leaf.py", LEAF_PY), file("web/fast.js", LEAF_JS)], "clash"),
+        (4, "elsewhere", [file("src/mid/leaf.py", LEAF_PY)], "clash"),
+        (5, None, [file("a.py", BASE_PY + MIDDLE_PY.replace("from base.store import Store as Root", "").replace("Root", "Store"))], "clash"),
+        (6, "repo", None, "clash"),
+    ]
+    df = spark.createDataFrame(rows, schema)
+    got = {(r["result_id"], r["example_no"], r["func_name"], r["inherited"], r["documentation"].split()[0]) for r in docs.find_documented(df).collect()}
+    assert got == {
+        (1, 0, "put", False, "Write"), (1, 0, "drop", False, "Remove"), (1, 1, "next", False, "Take"), (2, 0, "put", True, "Write"),
+        (3, 0, "put", True, "Write"), (3, 0, "drop", True, "Remove"), (3, 1, "next", True, "Take"),
+        (5, 0, "put", False, "Write"), (5, 0, "drop", False, "Remove"), (5, 0, "put", True, "Write"),
+    }
+    assert docs.find_documented(df.limit(0)).count() == 0
+
+
+def test_classes_of_one_name_stay_apart_by_file_and_folder(spark):
+    schema = "result_id bigint, source_name string, examples array<struct<instruction:string,input:string,output:string,path:string>>"
+    base = 'class Base:\n    def run(self):\n        """Run the job in the {} queue of workers."""\n'
+    leaf = "from {} import Base\nclass Leaf(Base):\n    def run(self):\n        pass\n"
+    files_ = [("", "", base.format(n), f"{n}/{n}.py") for n in ("red", "blue")] + [("", "", leaf.format(f"pkg.{n}"), f"leaves/of_{n}.py") for n in ("red", "blue")]
+    rows = docs.find_documented(spark.createDataFrame([(1, "r", files_)], schema)).where("inherited").select("path", "documentation").collect()
+    assert {r["path"]: r["documentation"].split()[5] for r in rows} == {"leaves/of_red.py": "red", "leaves/of_blue.py": "blue"}
