@@ -7,12 +7,14 @@ import inspect
 import re
 import warnings
 from bisect import bisect_right
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from lathework.functions.batches import map_columns
+from lathework.session import cut_lineage
 
 MIN_WORDS = 5
 
@@ -27,15 +29,15 @@ class Function:
     end: int
     doc: str | None
     owner: str = ""
-    inherited: bool = False
 
 
 @dataclass(slots=True)
 class Source:
-    """The functions of a file, and the bases of its classes by name."""
+    """The functions of a file, its classes, and their bases with the module each is taken from, if one."""
 
     functions: list[Function] = field(default_factory=list)
-    bases: dict[str, list[str]] = field(default_factory=dict)
+    classes: list[str] = field(default_factory=list)
+    bases: list[tuple[str, str, str]] = field(default_factory=list)
 
 
 class Lines:
@@ -64,6 +66,7 @@ def python_source(text: str) -> Source:
     # The parser also ends lines at lone carriage returns (and takes form feeds for blanks).
     begins = [0, *(m.end() for m in re.finditer(r"\r\n|\r|\n", text))]
     lines = Lines(text)
+    imported: dict[str, tuple[str, str]] = {}
     walk: list[tuple[ast.AST, str]] = [(tree, "")]
     while walk:
         node, owner = walk.pop()
@@ -71,7 +74,12 @@ def python_source(text: str) -> Source:
             inside = owner
             if isinstance(child, ast.ClassDef):
                 inside = child.name
-                out.bases.setdefault(child.name, [ast.unparse(b).rpartition(".")[2] for b in child.bases])
+                out.classes.append(child.name)
+                out.bases += [(child.name, *base) for b in child.bases if (base := _python_base(b))]
+            elif isinstance(child, ast.ImportFrom):
+                imported.update({a.asname or a.name: ((child.module or "").rpartition(".")[2] or a.name, a.name) for a in child.names})
+            elif isinstance(child, ast.Import):
+                imported.update({a.asname or a.name.partition(".")[0]: (a.name.rpartition(".")[2], "") for a in child.names})
             elif isinstance(child, (ast.FunctionDef, ast.AsyncFunctionDef)):
                 doc = ast.get_docstring(child, clean=False)
                 start, end = begins[child.lineno - 1], begins[child.end_lineno] if child.end_lineno < len(begins) else len(text)
@@ -80,9 +88,32 @@ def python_source(text: str) -> Source:
                 out.functions.append(Function(child.name, line, start, end, inspect.cleandoc(doc) if doc is not None else None, method))
                 inside = ""
             walk.append((child, inside))
+    out.bases = [(name, *_imported(base, module, imported)) for name, base, module in out.bases]
     return out
 
 
+def _python_base(node: ast.AST) -> tuple[str, str] | None:
+    """The name of a base class and what stands before its dot."""
+    if isinstance(node, ast.Subscript):
+        node = node.value
+    if isinstance(node, ast.Name):
+        return node.id, ""
+    if isinstance(node, ast.Attribute):
+        return node.attr, ast.unparse(node.value)
+    return None
+
+
+def _imported(base: str, module: str, imported: dict[str, tuple[str, str]]) -> tuple[str, str]:
+    """A base by its own name, with the last part of the module it is imported from."""
+    if module:
+        known = imported.get(module)
+        return base, (known[1] or known[0]) if known else module.rpartition(".")[2]
+    if base in imported:
+        of, name = imported[base]
+        return name or base, of
+    return base, ""
+
+
 # --- JavaScript -------------------------------------------------------------------------------
 
 _JS_TOKEN = re.compile(
@@ -183,9 +214,31 @@ def _doc_above(text: str, tokens: list[Token], at: int) -> str | None:
     return "\n".join(re.sub(r"^[ \t]*\*(?!/) ?", "", line.rstrip("\r")) for line in body.split("\n")).strip()
 
 
+_JS_IMPORT = re.compile(
+    r"""\bimport\s+(?P<one>[\w$]+)?\s*,?\s*(?:\{(?P<many>[^{}]*)\}|\*\s*as\s+(?P<all>[\w$]+))?\s*from\s*["'](?P<from>[^"'\n]+)["']
+      | \b(?:const|let|var)\s+(?:(?P<own>[\w$]+)|\{(?P<parts>[^{}]*)\})\s*=\s*require\(\s*["'](?P<of>[^"'\n]+)["']\s*\)""",
+    re.VERBOSE,
+)
+
+
+def _js_imports(text: str) -> dict[str, tuple[str, str]]:
+    out: dict[str, tuple[str, str]] = {}
+    for m in _JS_IMPORT.finditer(text):
+        module = re.sub(r"(?:/index)?(?:\.\w+)?$", "", m["from"] or m["of"]).rpartition("/")[2]
+        for name in (m["one"], m["all"], m["own"]):
+            if name:
+                out[name] = (module, "")
+        for part in (m["many"] or m["parts"] or "").split(","):
+            given, _, alias = (x.strip() for x in re.sub(r"\s+as\s+|:", "=", part).partition("="))
+            if given:
+                out[alias or given] = (module, given)
+    return out
+
+
 def js_source(text: str) -> Source:
     """Named functions, methods and arrow functions of a JavaScript file."""
     out = Source()
+    imported = _js_imports(text) if "extends" in text else {}
     everything = js_tokens(text)
     real = [i for i, t in enumerate(everything) if t.kind not in ("block", "line")]
     tokens = [everything[i] for i in real]
@@ -233,8 +286,9 @@ def js_source(text: str) -> Source:
                 j += 1
             if j < n:
                 class_at[j] = name or (word(i - 2) if word(i - 1) == "=" else "")
-                base = [k for k in range(i + 1, j) if word(k) == "extends"]
-                out.bases.setdefault(class_at[j], [word(j - 1)] if base else [])
+                out.classes.append(class_at[j])
+                if word(j - 1) != "extends" and any(word(k) == "extends" for k in range(i + 1, j)):
+                    out.bases.append((class_at[j], *_imported(word(j - 1), word(j - 3) if word(j - 2) == "." else "", imported)))
         if t.text == "{":
             before = word(i - 1)
             if i in class_at:
@@ -324,7 +378,8 @@ def go_source(text: str) -> Source:
                 comments[lines.number(m.end() - 1)] = (lines.number(m.start()), m[0])
     code = "".join([*parts, text[last:]])
     for m in _GO_EMBED.finditer(code):
-        out.bases[m[1]] = re.findall(r"^\s*\*?(?:\w+\.)?(\w+)\s*$", m[2], re.M)
+        out.classes.append(m[1])
+        out.bases += [(m[1], base, package) for package, base in re.findall(r"^\s*\*?(?:(\w+)\.)?(\w+)\s*$", m[2], re.M)]
     found = list(_GO_FUNC.finditer(code))
     for m in found:
         line = lines.number(m.start())
@@ -447,96 +502,149 @@ def is_meaningful(doc: str | None, name: str, least: int = MIN_WORDS) -> bool:
     return words_beyond(text, name) >= least
 
 
-# --- Inherited documentation ------------------------------------------------------------------
+# --- Parsing a run ------------------------------------------------------------------------------
+
+
+def waits(doc: str | None, name: str) -> bool:
+    """Whether a method has no words of its own: no meaningful comment, or one that only says that it inherits."""
+    if not is_meaningful(doc, name):
+        return True
+    return bool(_INHERIT.search(doc)) and len(_INHERIT.sub("", doc).split()) < MIN_WORDS
 
 
-def resolve_inherited(sources: list[Source]) -> None:
-    """Give methods that only point to a base's documentation the nearest documented ancestor's.
+def parse_files(df: DataFrame, id_column: str, examples_column: str, source_column: str, with_code: bool) -> DataFrame:
+    """One row a source file, with its functions, classes and bases, each file parsed once.
 
-    Methods and classes of all files of one repository are joined on (class, method), one step up
-    the hierarchy at a time, until nothing changes; cycles end since only resolved texts move.
+    Without ``with_code`` neither code nor the comments of plain functions are kept.
     """
-    methods: dict[tuple[str, str], Function] = {}
-    bases: dict[str, list[str]] = {}
-    for source in sources:
-        for name, above in source.bases.items():
-            bases.setdefault(name, above)
-        for f in source.functions:
-            if f.owner:
-                methods.setdefault((f.owner, f.name), f)
-    waiting = [f for f in methods.values() if f.doc and _INHERIT.search(f.doc) and len(_INHERIT.sub("", f.doc).split()) < MIN_WORDS]
-    above = {id(f): list(bases.get(f.owner, [])) for f in waiting}
-    seen = {id(f): {f.owner} for f in waiting}
-    while waiting:
-        left, moved = [], False
-        for f in waiting:
-            step: list[str] = []
-            for base in above[id(f)]:
-                if base in seen[id(f)]:
-                    continue
-                seen[id(f)].add(base)
-                other = methods.get((base, f.name))
-                if other is not None and other.doc and not (_INHERIT.search(other.doc) and not other.inherited):
-                    f.doc, f.inherited = other.doc, True
-                    break
-                step += bases.get(base, [])
-            if f.inherited:
-                moved = True
-            elif step:
-                above[id(f)] = step
-                moved = True
-                left.append(f)
-        if not moved:
-            break
-        waiting = left
-
-
-def pairs_of(examples: list[dict] | None) -> Iterator[tuple[int, str, Function, str]]:
-    """(example_no, path, function, code) of the meaningful functions of one extraction run."""
-    parsed: list[tuple[int, str, str, Source]] = []
-    for number, example in enumerate(examples or []):
-        if not example or not example["output"] or not example["path"]:
-            continue
-        parse = LANGUAGES.get(example["path"].rpartition(".")[2].lower())
-        if parse:
-            parsed.append((number, example["path"], example["output"], parse(example["output"])))
-    resolve_inherited([p[3] for p in parsed])
-    for number, path, text, source in parsed:
-        for f in sorted(source.functions, key=lambda f: f.start):
-            if is_meaningful(f.doc, f.name):
-                yield number, path, f, text[f.start : f.end]
+    kind = df.schema[id_column].dataType.simpleString()
+    if source_column not in df.columns:
+        df = df.withColumn(source_column, F.lit(None).cast("string"))
 
+    def make() -> Callable[..., tuple]:
+        def work(keys: list, names: list, runs: list) -> tuple:
+            rows = []
+            for key, name, examples in zip(keys, names, runs):
+                for number, example in enumerate(examples or []):
+                    if not example or not example["output"] or not example["path"]:
+                        continue
+                    parse = LANGUAGES.get(example["path"].rpartition(".")[2].lower())
+                    if not parse:
+                        continue
+                    text = example["output"]
+                    source = parse(text)
+                    functions = []
+                    for f in sorted(source.functions, key=lambda f: f.start):
+                        waiting = waits(f.doc, f.name)
+                        if waiting and not f.owner:
+                            continue
+                        kept = not waiting and (with_code or f.owner)
+                        functions.append(
+                            {
+                                "line_no": f.line, "func_name": f.name, "owner": f.owner, "waiting": waiting, "documentation": f.doc if kept else None,
+                                "description": description(f.doc) if kept else None, "code": text[f.start : f.end] if with_code else None,
+                            }
+                        )
+                    bases = [{"owner": a, "at": n, "base": b, "module": c} for n, (a, b, c) in enumerate(source.bases)]
+                    rows.append((key, name if name is not None else f"#{key}", number, example["path"], functions, source.classes, bases))
+            return tuple(map(list, zip(*rows))) if rows else ([],) * 7
 
-def find_documented(df: DataFrame, id_column: str = "result_id", examples_column: str = "examples") -> DataFrame:
+        return work
+
+    schema = (
+        f"result_id {kind}, source string, example_no int, path string, "
+        "functions array<struct<line_no:int,func_name:string,owner:string,waiting:boolean,documentation:string,description:string,code:string>>, "
+        "classes array<string>, bases array<struct<owner:string,at:int,base:string,module:string>>"
+    )
+    return map_columns(df, [id_column, source_column, examples_column], make, schema)
+
+
+# --- Inherited documentation ------------------------------------------------------------------
+
+METHOD = ["source", "path", "owner", "func_name"]
+#: Tables of the hierarchy of up to so many rows (counted first) are broadcast to joins.
+BROADCAST_ROWS = 100_000
+
+
+def _small(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def hierarchy(files: DataFrame) -> DataFrame:
+    """(source, path, owner, at, to_path, to_owner): every class with the classes it is derived from.
+
+    A base is a class of the same file, or else, where it is imported, one of a file or folder of the
+    module's name, or else, where it is not, one of that name anywhere in the source; of several the
+    one of the least path. Every join has one row a name on its right side, so names that many
+    files share make no product.
+    """
+    classes = files.select("source", "path", F.explode("classes").alias("owner")).distinct()
+    wanted = files.select("source", "path", F.explode("bases").alias("b")).select("source", "path", "b.*").where("base <> ''").distinct()
+    stem = F.regexp_extract("path", r"([^/]*?)(?:\.[^./]*)?$", 1)
+    folders = F.transform(F.slice(F.split("path", "/"), 1, F.greatest(F.size(F.split("path", "/")) - 1, F.lit(0))), lambda x: F.struct(F.lit(1).alias("rank"), x.alias("module")))
+    places = F.concat(F.array(F.struct(F.lit(0).alias("rank"), stem.alias("module"))), folders)
+    by_module = classes.select("source", "path", "owner", F.explode(places).alias("m")).groupBy("source", F.col("m.module").alias("module"), F.col("owner").alias("base"))
+    by_module = by_module.agg(F.min(F.struct("m.rank", "path"))["path"].alias("by_module"))
+    anywhere = classes.groupBy("source", F.col("owner").alias("base")).agg(F.min("path").alias("anywhere"))
+    same = classes.select("source", "path", F.col("owner").alias("base"), F.col("path").alias("same"))
+    joined = wanted.join(same, ["source", "path", "base"], "left").join(by_module, ["source", "module", "base"], "left").join(anywhere, ["source", "base"], "left")
+    to = F.when(F.col("module") == "", F.coalesce("same", "anywhere")).otherwise(F.col("by_module"))
+    return joined.select("source", "path", "owner", "at", to.alias("to_path"), F.col("base").alias("to_owner")).where("to_path is not null")
+
+
+def resolve_inherited(files: DataFrame) -> DataFrame:
+    """(source, path, owner, func_name, documentation, description) of methods that get a base's documentation.
+
+    Methods without words of their own are joined to the classes above theirs, one step up the
+    hierarchy a round, until no class is left; the nearest documented method of the name wins, the
+    first base of several. A class is passed once on a way up, so cycles end.
+    """
+    methods = files.select("result_id", "source", "path", "example_no", F.explode("functions").alias("f")).select("result_id", "source", "path", "example_no", "f.*").where("owner <> ''")
+    edges = cut_lineage(hierarchy(files))
+    waiting = methods.where("waiting").select(*METHOD).distinct()
+    ways = waiting.join(edges.select("source", "path", "owner").distinct(), ["source", "path", "owner"], "left_semi")
+    schema = "source string, path string, owner string, func_name string, documentation string, description string"
+    if not ways.limit(1).count():
+        return files.sparkSession.createDataFrame([], schema)
+    known = methods.where(~F.col("waiting")).groupBy(*METHOD).agg(F.min_by(F.struct("documentation", "description"), F.struct("result_id", "example_no", "line_no")).alias("text"))
+    known = cut_lineage(known.select("source", F.col("path").alias("to_path"), F.col("owner").alias("to_owner"), "func_name", "text"))
+    known, steps = _small(known), _small(edges.select("source", F.col("path").alias("at_path"), F.col("owner").alias("at_owner"), "at", "to_path", "to_owner"))
+    place = lambda path, owner: F.concat_ws("\n", path, owner)
+    now = ways.select(*METHOD, F.col("path").alias("at_path"), F.col("owner").alias("at_owner"), F.array().cast("array<int>").alias("way"), F.array(place("path", "owner")).alias("seen"))
+    out = None
+    while True:
+        up = now.join(steps, ["source", "at_path", "at_owner"]).where(~F.array_contains("seen", place(F.col("to_path"), F.col("to_owner"))))
+        up = up.select(*METHOD, "to_path", "to_owner", F.concat("way", F.array("at")).alias("way"), F.concat("seen", F.array(place(F.col("to_path"), F.col("to_owner")))).alias("seen"))
+        up = up.groupBy(*METHOD, "to_path", "to_owner").agg(F.min(F.struct("way", "seen")).alias("w")).select(*METHOD, "to_path", "to_owner", "w.*")
+        up = cut_lineage(up.join(known, ["source", "to_path", "to_owner", "func_name"], "left"))
+        found = up.where("text is not null").groupBy(*METHOD).agg(F.min_by("text", "way").alias("text")).select(*METHOD, "text.*")
+        out = found if out is None else out.unionByName(found)
+        now = up.where("text is null").join(found.select(*METHOD), METHOD, "left_anti")
+        now = now.select(*METHOD, F.col("to_path").alias("at_path"), F.col("to_owner").alias("at_owner"), "way", "seen")
+        if not now.limit(1).count():
+            return cut_lineage(out)
+
+
+def find_documented(df: DataFrame, id_column: str = "result_id", examples_column: str = "examples", source_column: str = "source_name", with_code: bool = True) -> DataFrame:
     """Code and description of every function with a meaningful documentation comment.
 
     Columns: ``result_id``, ``example_no`` (from 0), ``path``, ``line_no`` (from 1, where the name
     stands), ``func_name``, ``inherited`` (the text comes from an overridden method), ``description``
-    (without parameter, result and example sections), ``documentation`` (whole), ``code``.
+    (without parameter, result and example sections), ``documentation`` (whole), ``code``; without
+    ``with_code`` the last three aren't filled.
 
     Files are Python (parsed by the standard parser; invalid files give nothing), JavaScript and Go
     (tokenised, so text in strings and comments is no code); others give none. Documentation is
     dropped if it is blank, a stand-in or has under five words beyond the function's name. A method
-    whose comment only says that it inherits gets the text of the nearest documented method it
-    overrides, over the class hierarchy of all files of the run; unresolved ones are dropped. Null
-    and empty ``examples``, null structs, outputs and paths give no rows; repeated runs come out
-    repeated. One row of the table is handled at a time, without a shuffle.
+    without such documentation, or whose comment only says that it inherits, gets that of the
+    nearest documented method it overrides: classes of all files and runs of one source are joined
+    to their bases (see :func:`hierarchy`) until nothing changes; what stays unresolved is dropped.
+    Null and empty ``examples``, null structs, outputs and paths give no rows; a null source (or
+    no such column) makes every run one of its own; repeated runs come out repeated; empty tables give none; other columns are not read.
     """
-    kind = df.schema[id_column].dataType.simpleString()
-
-    def make() -> Callable[..., tuple]:
-        def work(keys: list, runs: list) -> tuple:
-            rows = [
-                (key, number, path, f.line, f.name, f.inherited, description(f.doc), f.doc, code)
-                for key, examples in zip(keys, runs)
-                for number, path, f, code in pairs_of(examples)
-            ]
-            return tuple(map(list, zip(*rows))) if rows else ([],) * 9
-
-        return work
-
-    schema = (
-        f"result_id {kind}, example_no int, path string, line_no int, func_name string, inherited boolean, "
-        "description string, documentation string, code string"
-    )
-    return map_columns(df, [id_column, examples_column], make, schema)
+    files = cut_lineage(parse_files(df, id_column, examples_column, source_column, with_code))
+    functions = files.select("result_id", "source", "path", "example_no", F.explode("functions").alias("f")).select("result_id", "source", "path", "example_no", "f.*")
+    resolved = resolve_inherited(files).select(*METHOD, F.struct("documentation", "description").alias("above"))
+    joined = functions.join(_small(resolved), METHOD, "left").where(~F.col("waiting") | F.col("above").isNotNull())
+    pick = lambda name: F.when(F.col("waiting"), F.col("above")[name]).otherwise(F.col(name)).alias(name) if with_code else F.lit(None).cast("string").alias(name)
+    return joined.select("result_id", "example_no", "path", "line_no", "func_name", F.col("waiting").alias("inherited"), pick("description"), pick("documentation"), "code")

@@ -26,7 +26,7 @@ def p2_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = docs.find_documented(table(spark, sf_dir, "extraction_results"))
+    pairs = docs.find_documented(table(spark, sf_dir, "extraction_results"), with_code=False)
     return pairs.where(~F.col("inherited")).select("result_id", "example_no", "line_no", "func_name")
 
 
