@@ -87,6 +87,17 @@ def _build(cls: type, raw: Mapping):
     return cls(**values)
 
 
+def env_file(path: str | Path, environ: Mapping[str, str] = os.environ) -> dict[str, str]:
+    """The environment with the settings of a file (``KEY=value`` lines, ``#`` comments) that it doesn't have itself."""
+    out: dict[str, str] = {}
+    if Path(path).exists():
+        for line in Path(path).read_text(encoding="utf-8").splitlines():
+            key, sign, value = line.strip().partition("=")
+            if sign and not key.startswith("#"):
+                out.setdefault(key.strip(), value.strip())
+    return out | dict(environ)
+
+
 def load(path: str | Path | None = None, profile: str | None = None, environ: Mapping[str, str] = os.environ) -> Config:
     """The configuration of a file (none: defaults), with a profile of its ``profiles`` over it."""
     raw: dict = {}

@@ -166,16 +166,43 @@ def with_failover(providers: Sequence[Provider]) -> Callable[[Column], Column]:
 
 
 def stub_provider(prompt: pd.Series) -> pd.Series:
-    """A deterministic stand-in for a model: one sample that quotes the prompt's first line."""
+    """A deterministic stand-in for a model: one sample that asks for the prompt's first line and quotes it whole."""
     import json
 
     def reply(text: str | None) -> str:
         first = next((x.strip() for x in (text or "").splitlines() if x.strip()), "")
-        return json.dumps([{"instruction": f"What does this say: {first[:80]}", "input": "", "output": first}])
+        return json.dumps([{"instruction": f"What does this say: {first}", "input": "", "output": (text or "").strip()}])
 
     return prompt.map(reply)
 
 
+def with_context(df: DataFrame, found: DataFrame, query: str, most: int = 3) -> DataFrame:
+    """``df`` with ``context``: the abstract and up to ``most`` related texts found for a query, a line each.
+
+    ``found`` has (query, abstract, related array<string>), one row a query; where nothing was found
+    for it, or only empty texts, the context is null.
+    """
+    lines = F.concat(F.array("abstract"), F.slice(F.coalesce("related", F.array().cast("array<string>")), 1, most))
+    text = F.nullif(F.array_join(F.filter(lines, lambda x: x.isNotNull() & (x != "")), "\n"), F.lit(""))
+    return df.join(found.select(F.col("query").alias("_query"), text.alias("context")), df[query] == F.col("_query"), "left").drop("_query")
+
+
+#: Questions and answers of the library's own, by domain.
+TEMPLATES = (
+    ("containers", "How do I keep a container image small?", "Build in one stage and copy only the result into a second, slim one. Put the steps that change least first, so that their layers are reused, and delete package caches in the step that fills them."),
+    ("containers", "Why does my container stop at once?", "A container lives as long as its first process. If that goes to the background or ends with an error, the container ends too: start the program in the foreground and read its log for the exit code."),
+    ("clusters", "How do I roll back a bad rollout?", "Look at the history of the deployment, pick the last revision that worked and undo to it. The old pods come up before the new ones are removed, provided that readiness checks are set."),
+    ("infrastructure", "Where should the state of an infrastructure tool live?", "In a remote store with locking and versions, never in the repository. Everyone then plans against the same state, two runs can not write at once, and a broken state can be restored."),
+    ("pipelines", "How do I make a slow pipeline faster?", "Measure the stages first. Cache dependencies by the digest of their lock file, run independent jobs side by side, and stop early on the checks that fail most often."),
+)
+
+
+def template_pairs(spark: SparkSession, score: int = 100) -> DataFrame:
+    """(instruction, input, output, source, source_type, score, tags) of the library's templates."""
+    rows = [(question, "", answer, f"template:{domain}:{n}", "template", score, [domain]) for n, (domain, question, answer) in enumerate(TEMPLATES)]
+    return spark.createDataFrame(rows, "instruction string, input string, output string, source string, source_type string, score int, tags array<string>")
+
+
 def supervision(chunks: DataFrame, prompt: Column, ask: Callable[[Column], Column]) -> DataFrame:
     """Samples of all chunks (doc_id, chunk_id, url, text), with where they come from.
 

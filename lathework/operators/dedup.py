@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections import deque
+from difflib import SequenceMatcher
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,34 +38,42 @@ def first_per_key(df: DataFrame, key: Column, order: str) -> DataFrame:
 # --- Two keys, in order -----------------------------------------------------------------------
 
 
-def greedy_matching(edges: DataFrame, finish_rows: int = 100_000, most_rounds: int = 200) -> DataFrame:
+def greedy_matching(edges: DataFrame, finish_rows: int = 100_000, rounds: int = 60) -> DataFrame:
     """(left, right, seq) of the edges that a pass in order of ``seq`` keeps.
 
     An edge is kept if neither of its ends is taken by an edge kept before. Every round keeps the
     edges that come first at both of their ends, and drops all that touch them; each of the steps
-    is an aggregation with map-side combine or an equi-join, and every round is checkpointed. What
-    is left below ``finish_rows`` is finished by one ordered pass in one task, so a chain of edges
-    that would take half its length in rounds ends at once; a longer rest goes on in rounds.
+    is an aggregation with map-side combine or an equi-join, and every round is written. What is
+    left below ``finish_rows`` is finished by one ordered pass in one task, so a chain of edges that
+    would take half its length in rounds ends at once. A rest that is larger after ``rounds`` rounds
+    is made of long chains; it is passed over in the order of ``seq`` by slices of ``finish_rows``
+    edges, each against the ends that are taken so far.
     """
     left = cut_lineage(edges.groupBy("left", "right").agg(F.min("seq").alias("seq")))
     kept: DataFrame | None = None
-    for _ in range(most_rounds):
+    for _ in range(rounds):
         n = left.count()
         if n == 0:
-            break
+            return kept if kept is not None else left
         if n <= finish_rows:
             last = _finish(left)
-            kept = last if kept is None else kept.unionByName(last)
-            break
-        by_left = left.groupBy("left").agg(F.min("seq").alias("first_left"))
+            return last if kept is None else kept.unionByName(last)
+        # one row an end: an end that holds a third of all edges is its first edge from here on
+        first = left.groupBy("left").agg(F.min_by(F.struct("right", "seq"), "seq").alias("x")).select("left", "x.*")
         by_right = left.groupBy("right").agg(F.min("seq").alias("first_right"))
-        marked = left.join(by_left, "left").join(by_right, "right")
-        now = cut_lineage(marked.where("seq = first_left AND seq = first_right").select("left", "right", "seq"))
+        now = cut_lineage(first.join(by_right, "right").where("seq = first_right").select("left", "right", "seq"))
         kept = now if kept is None else kept.unionByName(now)
         rest = left.join(now.select("left"), "left", "left_anti").join(now.select("right"), "right", "left_anti")
         left = cut_lineage(rest.select("left", "right", "seq"))
-    else:
-        raise RuntimeError("greedy_matching: too many rounds")
+    n = left.count()
+    parts = max(1, -(-n // finish_rows))
+    rest = cut_lineage(left.repartitionByRange(parts, "seq").withColumn("slice", F.spark_partition_id()))
+    for part in range(parts):
+        own = rest.where(F.col("slice") == part).drop("slice")
+        if part:
+            own = own.join(kept.select("left"), "left", "left_anti").join(kept.select("right"), "right", "left_anti")
+        last = cut_lineage(_finish(own))
+        kept = last if kept is None else kept.unionByName(last)
     return kept if kept is not None else left
 
 
@@ -129,38 +140,176 @@ def reason_counts(judged: DataFrame) -> DataFrame:
 
 # --- Similar to recent rows -------------------------------------------------------------------
 
+#: Rows that are passed over in order by one task.
+BLOCK_ROWS = 2_000
 
-def near_recent(
-    df: DataFrame, order: str = "seq", output: str = "output", threshold: float = 0.85, window: int = 100, group: str | None = None, most_rows: int = 50_000
-) -> DataFrame:
-    """Rows whose output is not too similar to one of the last ``window`` kept outputs before it.
 
-    What is kept depends on what was kept, so a group is one ordered pass; ``group`` names a column
-    whose values are passed over apart. Groups of over ``most_rows`` rows are refused (ValueError):
-    use the near-duplicate groups of the training-data subpackage or a finer column for those.
+class _Grams:
+    """Counts of runs of characters, by which most texts are known not to be similar.
+
+    A ratio above t of two texts of S characters together means over t S / 2 matched characters in
+    at most (1 - t) S + 1 blocks, so their common runs of n characters are over
+    (2 n - 1) t S / 2 - (n - 1) (S + 1). Runs that share a place can only raise a count.
     """
-    key = df[group] if group else F.lit("all")
-    packed = df.select(key.cast("string").alias("_group"), df[order].alias("_order"), or_empty(df[output]).alias("_text"))
-    largest = packed.groupBy("_group").count().agg(F.max("count")).first()[0] or 0
-    if largest > most_rows:
-        raise ValueError(f"a group of {largest} rows; at most {most_rows} are passed over in order")
 
-    def walk(frame):
-        import pandas as pd
-        from difflib import SequenceMatcher
+    def __init__(self, threshold: float) -> None:
+        self.steps = [(1, 128), (3, 2048), (2, 1024)]
+        self.threshold = threshold
+
+    def of(self, text: str) -> list:
+        import numpy as np
+
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+        out = []
+        for n, places in self.steps:
+            runs = np.zeros(max(0, len(codes) - n + 1), dtype=np.uint64)
+            for i in range(n):
+                runs = runs * np.uint64(1_000_003) + codes[i : i + len(runs)]
+            out.append(np.bincount((runs % np.uint64(places)).astype(np.int64), minlength=places))
+        return out
+
+    def similar(self, length: int, grams: list, kept: deque) -> list[int]:
+        """Places in ``kept`` of (length, grams, matcher) that can be similar, the last first."""
+        import numpy as np
+
+        t, left = self.threshold, [i for i, k in enumerate(kept) if 2 * min(length, k[0]) > self.threshold * (length + k[0])]
+        for step, (n, _) in enumerate(self.steps):
+            if not left:
+                break
+            common = np.minimum(np.stack([kept[i][1][step] for i in left]), grams[step]).sum(axis=1)
+            total = np.array([length + kept[i][0] for i in left])
+            left = [i for i, ok in zip(left, common >= (2 * n - 1) * t * total / 2 - (n - 1) * (total + 1) - 1e-9) if ok]
+        return left[::-1]
+
+
+def _masks(text: str) -> dict[str, int]:
+    """The places of every character of a text, as bits."""
+    out: dict[str, int] = {}
+    for i, c in enumerate(text):
+        out[c] = out.get(c, 0) | 1 << i
+    return out
+
+
+def _common(masks: dict[str, int], size: int, text: str) -> int:
+    """Length of the longest common subsequence of a text with one of ``size`` characters, in bits."""
+    full = (1 << size) - 1
+    row = full
+    for c in text:
+        hit = row & masks.get(c, 0)
+        row = (row + hit | row - hit) & full
+    return size - row.bit_count()
+
+
+def _pass_over(rows, recent: list[str], threshold: float, window: int) -> tuple[list, list[str]]:
+    """The ordered pass over one block: which rows are kept, and the last kept outputs behind it.
+
+    ``rows`` are (order, key, text, skip, seen) of one group; ``seen`` tells that a block before kept the key.
+    """
+    grams = _Grams(threshold)
+    kept: deque = deque(maxlen=window)
+
+    def add(text: str, own: list) -> None:
+        matcher = SequenceMatcher(None)
+        matcher.set_seq2(text)
+        kept.append((len(text), own, matcher, text, _masks(text)))
+
+    for text in recent[-window:] if window else []:
+        add(text, grams.of(text))
+    keys, out = set(), []
+    for order, key, text, skip, seen in sorted(rows, key=lambda r: r[0]):
+        good = not (skip or seen or key is not None and key in keys)
+        if good:
+            own = grams.of(text)
+            for i in grams.similar(len(text), own, kept):
+                size, _, matcher, _, masks = kept[i]
+                # matched characters are a common subsequence
+                if 2 * _common(masks, size, text) <= threshold * (size + len(text)):
+                    continue
+                matcher.set_seq1(text)
+                if matcher.ratio() > threshold:
+                    good = False
+                    break
+            else:
+                add(text, own)
+                if key is not None:
+                    keys.add(key)
+        out.append((order, good))
+    return out, [k[3] for k in kept]
 
-        recent: list[str] = []
-        keep = []
-        for key, text in sorted(zip(frame["_order"], frame["_text"])):
-            low = text.lower()
-            if not any(SequenceMatcher(None, low, old).ratio() > threshold for old in recent[-window:]):
-                recent.append(low)
-                keep.append(key)
-        return pd.DataFrame({"_order": keep})
 
+def near_recent(
+    df: DataFrame, order: str = "seq", output: str = "output", threshold: float = 0.85, window: int = 100, key: Column | None = None, skip: Column | None = None, block_rows: int = BLOCK_ROWS, group: str | None = None
+) -> DataFrame:
+    """Rows that are kept by one pass in order, as if one task made it.
+
+    A row is dropped if ``skip`` holds, or a row kept before has its ``key``, or its output (in lower
+    case) has a similarity above ``threshold`` to one of the last ``window`` kept outputs before.
+
+    What is kept depends on what was kept. The rows are cut in blocks by ``order``; every block is
+    passed over at once, with what the block before has left behind as far as it is known; blocks
+    for which that has changed are passed over again, until nothing changes. After n rounds the
+    first n blocks are right whatever was assumed, and mostly two or three rounds do, since a block
+    of many rows ends with outputs of its own. No task ever sees more than a block and a window.
+    ``group`` names a column whose values are passed over apart; a large one goes over many blocks.
+    ``order`` must be unique; null outputs count as empty; null keys are no keys.
+    """
     kind = df.schema[order].dataType.simpleString()
-    kept = packed.groupBy("_group").applyInPandas(lambda f: walk(f), f"_order {kind}")
-    return df.join(kept, df[order] == kept["_order"], "left_semi")
+    apart = or_empty(df[group].cast("string")) if group else F.lit("")
+    packed = df.select(
+        df[order].alias("at"), apart.alias("grp"), (key if key is not None else F.lit(None)).cast("string").alias("key"), F.lower(or_empty(df[output])).alias("text"), F.coalesce(skip, F.lit(False)).alias("skip") if skip is not None else F.lit(False).alias("skip")
+    )
+    parts = max(1, -(-df.count() // block_rows))
+    rows = cut_lineage(packed.repartitionByRange(parts, "grp", "at").withColumn("block", F.spark_partition_id()))
+    before = Window.orderBy("block")  # over one short row a block
+    chain = cut_lineage(rows.select("block").distinct().withColumn("before", F.lag("block").over(before)))
+    twice = cut_lineage(rows.where("key IS NOT NULL").groupBy("grp", "key").agg(F.count("*").alias("n")).where("n > 1").select("grp", "key"))
+    doubtful = cut_lineage(rows.join(twice, ["grp", "key"]).select("block", "at", "grp", "key"))
+    result = f"block int, at {kind}, kept boolean, recent array<string>, given string"  # recent begins with its group
+
+    def walk(frame, state):
+        import pandas as pd
+
+        recent, given = ([], "") if state.empty else (list(state["recent"].iloc[0]), state["given"].iloc[0])
+        made, left = [], recent
+        for name, part in frame.groupby("grp"):  # in order
+            before = left[1:] if left and left[0] == name else []
+            own, left = _pass_over(part[["at", "key", "text", "skip", "seen"]].itertuples(index=False, name=None), before, threshold, window)
+            made += own
+            left = [name, *left]
+        block = int(frame["block"].iloc[0])
+        out = pd.DataFrame({"block": block, "at": [a for a, _ in made] + [None], "kept": [k for _, k in made] + [None], "recent": [None] * len(made) + [left], "given": [None] * len(made) + [given]})
+        return out.astype({"at": frame["at"].dtype.name.replace("int64", "Int64"), "kept": "boolean"})
+
+    done: DataFrame | None = None
+    while True:
+        if done is None:
+            state = chain.select("block", F.array().cast("array<string>").alias("recent"), F.lit("").alias("given"))
+            seen = doubtful.select("at").limit(0)
+        else:
+            first = done.where("kept").join(doubtful.select("at", "grp", "key"), "at").groupBy("grp", "key").agg(F.min("block").alias("first"))
+            marked = doubtful.join(first, ["grp", "key"]).where("first < block")
+            seen = marked.select("at")
+            flags = marked.groupBy("block").agg(F.md5(F.array_join(F.sort_array(F.collect_list(F.col("at").cast("string"))), ",").cast("binary")).alias("flags"))
+            left = done.where("recent IS NOT NULL").select(F.col("block").alias("before"), "recent")
+            state = chain.join(left, "before", "left").join(flags, "block", "left").select("block", F.coalesce("recent", F.array().cast("array<string>")).alias("recent"), F.coalesce("flags", F.lit("")).alias("flags"))
+            given = F.when((F.size("recent") == 0) & (F.col("flags") == ""), "").otherwise(F.md5(F.concat_ws("\x1e", "flags", F.to_json("recent")).cast("binary")))
+            old = done.where("recent IS NOT NULL").select("block", F.col("given").alias("old"))
+            state = cut_lineage(state.select("block", "recent", given.alias("given")).join(old, "block").where("given <> old").drop("old"))
+            if not state.limit(1).count():
+                break
+        now = rows.join(state.select("block"), "block", "left_semi").join(seen.select("at", F.lit(True).alias("seen")), "at", "left").withColumn("seen", F.coalesce("seen", F.lit(False)))
+        fresh = now.groupBy("block").cogroup(state.groupBy("block")).applyInPandas(lambda a, b: walk(a, b), result)
+        done = cut_lineage(fresh if done is None else done.join(state.select("block"), "block", "left_anti").unionByName(fresh))
+    kept = done.where("kept").select(F.col("at").alias("_at"))
+    return df.join(kept, df[order] == kept["_at"], "left_semi")
+
+
+def legacy_keep(df: DataFrame, order: str = "seq", threshold: float = 0.85, window: int = 100, repeats: int = 3, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """The rows that the one-pass deduplication keeps: no row kept before has the same normalised
+    instruction, input and output, no sentence of the output repeats ``repeats`` times, and the output
+    is not similar to one of the last ``window`` kept."""
+    whole = hash_normalized(F.concat_ws(" ", or_empty(df["instruction"]), or_empty(df["input"]), or_empty(df["output"])))
+    return near_recent(df, order, "output", threshold, window, whole, has_repeated_sentences(df["output"], repeats), block_rows)
 
 
 def top_per_group(df: DataFrame, group: str, k: int, *orders: Column) -> DataFrame:

@@ -106,9 +106,33 @@ def top_improved(paired: DataFrame, k: int = 3) -> DataFrame:
     return paired.orderBy(F.col("diff").desc(), F.col("question_id")).limit(k)
 
 
-def markdown_report(categories: DataFrame, overall: DataFrame, title: str = "Evaluation") -> str:
-    """A report as Markdown; both inputs are aggregates of a few rows."""
-    one = overall.first().asDict()
-    lines = [f"# {title}", "", f"Questions: {one['questions']}", f"Mean: {one['base_mean']:.1f} -> {one['tuned_mean']:.1f} ({one['gain']:+.1f})", "", "| category | base | tuned | diff |", "|---|---|---|---|"]
-    lines += [f"| {r['category']} | {r['base_mean']:.1f} | {r['tuned_mean']:.1f} | {r['diff_mean']:+.1f} |" for r in categories.orderBy("category").collect()]
-    return "\n".join(lines) + "\n"
+def markdown_report(categories: DataFrame, overall: DataFrame, title: str = "Evaluation") -> DataFrame:
+    """(place, line) of a report as Markdown: the overall figures, then a line a category, in the order of ``place``."""
+    number = lambda c: F.format_string("%.1f", F.col(c))
+    signed = lambda c: F.concat(F.when(F.col(c) >= 0, "+").otherwise(""), number(c))
+    head = overall.select(
+        F.array(
+            F.lit(f"# {title}"), F.lit(""), F.concat(F.lit("Questions: "), F.col("questions").cast("string")),
+            F.concat(F.lit("Mean: "), number("base_mean"), F.lit(" -> "), number("tuned_mean"), F.lit(" ("), signed("gain"), F.lit(")")), F.lit(""), F.lit("| category | base | tuned | diff |"), F.lit("|---|---|---|---|"),
+        ).alias("lines")
+    )
+    top = head.select(F.posexplode("lines").alias("at", "line")).select(F.struct(F.lit(0).alias("part"), "at", F.lit("").alias("category")).alias("place"), "line")
+    told = F.concat(F.lit("| "), F.coalesce("category", F.lit("")), F.lit(" | "), number("base_mean"), F.lit(" | "), number("tuned_mean"), F.lit(" | "), signed("diff_mean"), F.lit(" |"))
+    rest = categories.select(F.struct(F.lit(1).alias("part"), F.lit(0).alias("at"), F.coalesce("category", F.lit("")).alias("category")).alias("place"), told.alias("line"))
+    return top.unionByName(rest)
+
+
+def comparison_report(paired: DataFrame, title: str = "Comparison") -> DataFrame:
+    """(place, line) of a report with a line a question (question_id, base, tuned, diff), in the order of ``place``."""
+    number = lambda c: F.format_string("%.1f", F.col(c))
+    spark = paired.sparkSession
+    rows = [((0, n, ""), x) for n, x in enumerate((f"# {title}", "", "| question | base | tuned | diff |", "|---|---|---|---|"))]
+    top = spark.createDataFrame(rows, "place struct<part:int,at:int,category:string>, line string")
+    told = F.concat(F.lit("| "), F.col("question_id").cast("string"), F.lit(" | "), number("base"), F.lit(" | "), number("tuned"), F.lit(" | "), number("diff"), F.lit(" |"))
+    key = F.lpad(F.col("question_id").cast("string"), 20, "0")
+    return top.unionByName(paired.select(F.struct(F.lit(1).alias("part"), F.lit(0).alias("at"), key.alias("category")).alias("place"), told.alias("line")))
+
+
+def write_report(lines: DataFrame, path: str) -> None:
+    """The lines of a report as one text file."""
+    lines.coalesce(1).sortWithinPartitions("place").select("line").write.mode("overwrite").text(path)

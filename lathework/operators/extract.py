@@ -8,7 +8,7 @@ import warnings
 from collections.abc import Callable, Iterator
 from pathlib import PurePosixPath
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lathework.functions import code as code_functions
@@ -18,31 +18,29 @@ from lathework.functions.text import or_empty, strip, truncate
 from lathework.operators.filters import public_function
 
 
-def functions_of(source: str | None) -> Iterator[tuple[str, str | None, str, list[str], bool]]:
-    """(name, documentation, source, arguments, private) of all plain functions, level by level.
-
-    Nested functions and methods are in, asynchronous ones aren't; a file that doesn't parse has none.
-    """
+def parse(source: str | None) -> ast.Module | None:
+    """The tree of a Python file; None for a file that doesn't parse."""
     try:
         with warnings.catch_warnings():
             warnings.simplefilter("ignore")
-            tree = ast.parse(source or "")
+            return ast.parse(source or "")
     except (SyntaxError, ValueError, RecursionError, MemoryError):
-        return
-    for node in ast.walk(tree):
+        return None
+
+
+def functions_of(source: str | None, tree: ast.Module | None = None) -> Iterator[tuple[str, str | None, str, list[str], bool]]:
+    """(name, documentation, source, arguments, private) of all plain functions, level by level.
+
+    Nested functions and methods are in, asynchronous ones aren't; a file that doesn't parse has none.
+    """
+    tree = tree or parse(source)
+    for node in ast.walk(tree) if tree else ():
         if isinstance(node, ast.FunctionDef):
             text = ast.get_source_segment(source, node) or ""
             yield node.name, ast.get_docstring(node), text, [a.arg for a in node.args.args], node.name.startswith("_")
 
 
-def module_doc(source: str | None) -> tuple[bool, str | None]:
-    """Whether a file parses, and its documentation."""
-    try:
-        with warnings.catch_warnings():
-            warnings.simplefilter("ignore")
-            return True, ast.get_docstring(ast.parse(source or ""))
-    except (SyntaxError, ValueError, RecursionError, MemoryError):
-        return False, None
+_FUNCTION = "fn_no int, name string, docstring string, source string, args array<string>, is_private boolean"
 
 
 def function_table(df: DataFrame, key: str, source: str) -> DataFrame:
@@ -56,21 +54,35 @@ def function_table(df: DataFrame, key: str, source: str) -> DataFrame:
 
         return work
 
-    return map_columns(df, [key, source], make, f"key {kind}, fn_no int, name string, docstring string, source string, args array<string>, is_private boolean")
+    return map_columns(df, [key, source], make, f"key {kind}, {_FUNCTION}")
 
 
-def module_table(df: DataFrame, key: str, source: str) -> DataFrame:
-    """(key, parses, docstring) of all files."""
+def parsed_files(df: DataFrame, key: str, path: str, source: str) -> DataFrame:
+    """(key, path, source, docstring, functions) of the files that parse, each parsed once."""
     kind = df.schema[key].dataType.simpleString()
+    names = [field.split()[0] for field in _FUNCTION.split(", ")]
 
     def make() -> Callable[..., tuple]:
-        def work(keys: list, texts: list) -> tuple:
-            found = [module_doc(t) for t in texts]
-            return keys, [f[0] for f in found], [f[1] for f in found]
+        def work(keys: list, paths: list, texts: list) -> tuple:
+            rows = []
+            for k, p, t in zip(keys, paths, texts):
+                if (tree := parse(t)) is not None:
+                    found = [dict(zip(names, (n, *f))) for n, f in enumerate(functions_of(t, tree))]
+                    rows.append((k, p, t, ast.get_docstring(tree), found))
+            return tuple(map(list, zip(*rows))) if rows else ([],) * 5
 
         return work
 
-    return map_columns(df, [key, source], make, f"key {kind}, parses boolean, docstring string")
+    functions = ", ".join(field.replace(" ", ":", 1) for field in _FUNCTION.split(", "))
+    return map_columns(df, [key, path, source], make, f"key {kind}, path string, source string, docstring string, functions array<struct<{functions}>>")
+
+
+def _sample(kind: str, part: Column, instruction: Column, output: Column) -> Column:
+    return F.struct(F.lit(kind).alias("kind"), part.cast("int").alias("part"), instruction.alias("instruction"), output.alias("output"))
+
+
+def _numbered(kind: str, asked: Column, output: Column) -> Column:
+    return F.transform(asked, lambda q, i: _sample(kind, i, q, output))
 
 
 def python_samples(df: DataFrame, key: str = "key", path: str = "path", source: str = "source", least: int = 50, most: int = 10_000, whole: bool = True, functions: bool = True) -> DataFrame:
@@ -78,41 +90,35 @@ def python_samples(df: DataFrame, key: str = "key", path: str = "path", source:
 
     Up to two samples of the whole file (without its head of comments, and only if it is not cut),
     and one of every public function. Init files and short ones give none; nor do files that don't
-    parse. The key must tell files apart.
+    parse. The key must tell files apart. Every file is parsed once, without a shuffle.
     """
     files = df.select(df[key].alias("key"), df[path].alias("path"), df[source].alias("source"))
     files = files.where(~F.coalesce(F.col("path"), F.lit("")).rlike(r"(^|/)__init__\.py$") & (F.length(strip(or_empty("source"))) >= least))
-    parts = []
-    if whole:
-        told = files.join(module_table(files, "key", "source").where("parses").drop("parses"), "key")
-        clean = truncate(code_functions.clean_code("source"), most, "\n# ... (truncated)")
-        told = told.select("key", "path", "docstring", clean.alias("output")).where(F.length("output").between(least, most))
-        asked = F.slice(titles.python_instructions("path", "docstring"), 1, 2)
-        parts.append(told.select("key", F.lit("file").alias("kind"), F.posexplode(asked).alias("part", "instruction"), "output"))
-    if functions:
-        found = function_table(files, "key", "source").where(public_function("name", "source", least))
-        asked = titles.python_instructions(F.concat("name", F.lit(".py")), "docstring", F.translate("name", "_", " "))
-        parts.append(found.select("key", F.lit("function").alias("kind"), F.col("fn_no").alias("part"), asked[0].alias("instruction"), F.col("source").alias("output")))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out.select("key", "kind", "part", "instruction", F.lit("").alias("input"), "output")
+    told = parsed_files(files, "key", "path", "source").withColumn("clean", truncate(code_functions.clean_code("source"), most, "\n# ... (truncated)"))
+    none = F.array().cast("array<struct<kind:string,part:int,instruction:string,output:string>>")
+    asked = F.slice(titles.python_instructions("path", "docstring"), 1, 2)
+    of_file = F.when(F.length("clean").between(least, most), _numbered("file", asked, F.col("clean"))).otherwise(none) if whole else none
+    public = F.filter("functions", lambda f: public_function(f["name"], f["source"], least))
+    one = lambda f: titles.python_instructions(F.concat(f["name"], F.lit(".py")), f["docstring"], F.translate(f["name"], "_", " "))[0]
+    of_functions = F.transform(public, lambda f: _sample("function", f["fn_no"], one(f), f["source"])) if functions else none
+    return told.select("key", F.explode(F.concat(of_file, of_functions)).alias("x")).select("key", "x.kind", "x.part", "x.instruction", F.lit("").alias("input"), "x.output")
 
 
 def cluster_samples(df: DataFrame, key: str = "key", path: str = "path", source: str = "source") -> DataFrame:
     """As :func:`python_samples`, with the phrasings of cluster clients: all functions whatever
     their length, and two questions for every documented file."""
     files = df.select(df[key].alias("key"), df[path].alias("path"), df[source].alias("source"))
-    told = files.join(module_table(files, "key", "source").where("parses").drop("parses"), "key")
-    body = told.select("key", "path", "docstring", code_functions.clean_code("source").alias("output")).where(F.length("output") >= 50)
-    whole = body.select("key", F.lit("file").alias("kind"), F.posexplode(titles.cluster_instructions("path", "docstring")).alias("part", "instruction"), "output")
+    told = parsed_files(files, "key", "path", "source").withColumn("clean", code_functions.clean_code("source"))
+    none = F.array().cast("array<struct<kind:string,part:int,instruction:string,output:string>>")
+    long = F.length("clean") >= 50
+    whole = F.when(long, _numbered("file", titles.cluster_instructions("path", "docstring"), F.col("clean"))).otherwise(none)
     doc = F.lower(strip(F.split(or_empty("docstring"), "\n")[0]))
-    asked = F.array(F.struct(F.concat(F.lit("How can I "), doc, F.lit("?")).alias("q"), F.col("output").alias("a")), F.struct(F.concat(F.lit("What does "), titles.stem("path"), F.lit(" do?")).alias("q"), F.col("docstring").alias("a")))
-    questions = body.where(or_empty("docstring") != "").select("key", F.lit("question").alias("kind"), F.posexplode(asked).alias("part", "x"))
-    questions = questions.select("key", "kind", "part", F.col("x.q").alias("instruction"), F.col("x.a").alias("output"))
-    found = function_table(files, "key", "source").where(~F.col("is_private") & (F.col("name") != "main"))
-    one = found.select("key", F.lit("function").alias("kind"), F.col("fn_no").alias("part"), titles.function_instructions("name", "docstring")[0].alias("instruction"), F.col("source").alias("output"))
-    return whole.unionByName(questions).unionByName(one).select("key", "kind", "part", "instruction", F.lit("").alias("input"), "output")
+    first = _sample("question", F.lit(0), F.concat(F.lit("How can I "), doc, F.lit("?")), F.col("clean"))
+    second = _sample("question", F.lit(1), F.concat(F.lit("What does "), titles.stem("path"), F.lit(" do?")), F.col("docstring"))
+    questions = F.when(long & (or_empty("docstring") != ""), F.array(first, second)).otherwise(none)
+    public = F.filter("functions", lambda f: ~f["is_private"] & (f["name"] != "main"))
+    one = F.transform(public, lambda f: _sample("function", f["fn_no"], titles.function_instructions(f["name"], f["docstring"])[0], f["source"]))
+    return told.select("key", F.explode(F.concat(whole, questions, one)).alias("x")).select("key", "x.kind", "x.part", "x.instruction", F.lit("").alias("input"), "x.output")
 
 
 def test_samples(df: DataFrame, key: str = "key", path: str = "path", source: str = "source", least: int = 50) -> DataFrame:
@@ -161,7 +167,7 @@ def rst_blocks(content: str | None, more_than: int = 20) -> list[tuple[str, str]
                 directives.append((lines[at - 2].strip(), text))
             at = max(after, at + 1)
             continue
-        if line.rstrip().endswith("::") and not line.lstrip().startswith("..") and at + 1 < len(lines) and not lines[at + 1].strip():
+        if line.rstrip().endswith("::") and at + 1 < len(lines) and not lines[at + 1].strip():
             held, after = _block(lines, at + 2, 4)
             raw = "\n".join(held)
             if any(s in raw for s in PYTHON_SIGNS):
@@ -174,25 +180,24 @@ def rst_blocks(content: str | None, more_than: int = 20) -> list[tuple[str, str]
     return directives + literals
 
 
-def rst_table(df: DataFrame, key: str, source: str) -> DataFrame:
-    """(key, block_no, context, code) of reStructuredText files."""
+def rst_table(df: DataFrame, key: str, source: str, *more: str) -> DataFrame:
+    """(key, block_no, context, code) of reStructuredText files, with the columns ``more`` (strings) of the file."""
     kind = df.schema[key].dataType.simpleString()
 
     def make() -> Callable[..., tuple]:
-        def work(keys: list, texts: list) -> tuple:
-            rows = [(k, n, *b) for k, t in zip(keys, texts) for n, b in enumerate(rst_blocks(t))]
-            return tuple(map(list, zip(*rows))) if rows else ([],) * 4
+        def work(keys: list, texts: list, *others: list) -> tuple:
+            rows = [(k, n, *b, *o) for k, t, *o in zip(keys, texts, *others) for n, b in enumerate(rst_blocks(t))]
+            return tuple(map(list, zip(*rows))) if rows else ([],) * (4 + len(more))
 
         return work
 
-    return map_columns(df, [key, source], make, f"key {kind}, block_no int, context string, code string")
+    return map_columns(df, [key, source, *more], make, ", ".join([f"key {kind}, block_no int, context string, code string", *[f"{c} string" for c in more]]))
 
 
 def rst_samples(df: DataFrame, key: str = "key", source: str = "source", least: int = 50) -> DataFrame:
     """Up to two samples of every Python block of a reStructuredText file."""
-    files = df.select(df[key].alias("key"), df[source].alias("source"))
-    named = files.select("key", code_functions.rst_title("source").alias("title"))
-    blocks = rst_table(files, "key", "source").where(F.length("code") >= least).join(named, "key")
+    files = df.select(df[key].alias("key"), df[source].alias("source"), code_functions.rst_title(df[source]).alias("title"))
+    blocks = rst_table(files, "key", "source", "title").where(F.length("code") >= least)
     asked = titles.rst_instructions("context", "title")
     return blocks.select("key", "block_no", F.posexplode(asked).alias("part", "instruction"), F.lit("").alias("input"), F.col("code").alias("output"))
 
@@ -205,9 +210,9 @@ def markdown_table(df: DataFrame, key: str, source: str) -> DataFrame:
 
 def markdown_samples(df: DataFrame, key: str = "key", path: str = "path", source: str = "source", least: int = 50) -> DataFrame:
     """One sample of every Python block of a Markdown file."""
-    files = df.select(df[key].alias("key"), df[path].alias("path"), df[source].alias("source"))
-    blocks = markdown_table(files, "key", "source").where(F.length("code") >= least).join(files.select("key", "path"), "key")
-    return blocks.select("key", "block_no", titles.markdown_instruction("context", "path").alias("instruction"), F.lit("").alias("input"), F.col("code").alias("output"))
+    cut = df.select(df[key].alias("key"), df[path].alias("path"), F.posexplode(code_functions.markdown_blocks(df[source])).alias("block_no", "x"))
+    blocks = cut.where(F.length("x.code") >= least)
+    return blocks.select("key", "block_no", titles.markdown_instruction(F.col("x.context"), F.col("path")).alias("instruction"), F.lit("").alias("input"), F.col("x.code").alias("output"))
 
 
 def code_sections(code: str | None) -> list[tuple[str, str]]:

@@ -56,3 +56,8 @@ def orpo(df: DataFrame) -> DataFrame:
 
 def rlhf(df: DataFrame) -> DataFrame:
     return df.select("prompt", F.array("chosen", "rejected").alias("responses"), F.array(F.lit(0), F.lit(1)).alias("ranking"))
+
+
+def full(df: DataFrame) -> DataFrame:
+    """All fields of a pair as they are."""
+    return df.select("instruction", "input", "output", "source", "source_type", "score", "tags", "url", "collected_at", "metadata")

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lathework.functions.web import links_of, netloc, normalize_url, urljoin
+from lathework.functions.web import code_blocks_of, content_select, detect_language, html_title, links_of, netloc, normalize_url, should_follow, urljoin
 from lathework.session import cut_lineage
 
 MAX_DEPTH = 4
@@ -38,6 +38,43 @@ def reachable(links: DataFrame, starts: DataFrame, most_depth: int = MAX_DEPTH,
     return seen
 
 
+def crawl(pages: DataFrame, starts: DataFrame, most_pages: int = 100, most_depth: int = 3, pattern: str | None = None, least: int = 100) -> DataFrame:
+    """(start, url, domain, depth, title, content, code_blocks) of the pages that a crawl from every start collects.
+
+    ``pages`` (url, html) are recorded; of several of one url that of the least html counts. Pages
+    are visited in breadth-first order from every start, on its host, up to ``most_depth`` links
+    away; only those with ``least`` characters of content count and have their links followed, and
+    a start ends with ``most_pages`` of them. One round a level; the limit is a rank that every task
+    applies to its part first, so a large site sends no more than the limit to the last task.
+    """
+    known = pages.where("url IS NOT NULL").select(normalize_url("url").alias("url"), "html").groupBy("url").agg(F.min("html").alias("html"))
+    made = known.withColumn("content", content_select("html")).where(F.length("content") >= least)
+    blocks = F.transform(code_blocks_of("html"), lambda b: F.struct(detect_language(b["classes"], b["code"]).alias("language"), b["code"].alias("code")))
+    read = made.select("url", html_title("html").alias("title"), "content", blocks.alias("code_blocks"), links_of("html").alias("hrefs"))
+    read = cut_lineage(read)
+    frontier = starts.where("url IS NOT NULL").select(normalize_url("url").alias("start")).distinct()
+    frontier = frontier.select("start", F.col("start").alias("url"), F.lit(0).cast("bigint").alias("place"))
+    seen = cut_lineage(frontier)
+    counts = frontier.select("start", F.lit(0).cast("bigint").alias("had"))
+    out = None
+    for depth in range(most_depth + 1):
+        met = frontier.join(read, "url").join(counts, "start", "left").withColumn("had", F.coalesce("had", F.lit(0)))
+        rank = F.row_number().over(Window.partitionBy("start").orderBy("place", "url"))
+        now = met.withColumn("n", rank).where(F.col("n") <= most_pages).where(F.col("n") + F.col("had") <= most_pages)
+        now = cut_lineage(now.withColumn("depth", F.lit(depth)))
+        out = now if out is None else out.unionByName(now)
+        if depth == most_depth or not now.limit(1).count():
+            break
+        hrefs = now.select("start", "url", "n", F.posexplode("hrefs").alias("at", "href"))
+        links = hrefs.select("start", "n", "at", normalize_url(urljoin("url", "href")).alias("link")).where(should_follow("link", netloc("start"), pattern))
+        links = links.groupBy("start", F.col("link").alias("url")).agg(F.min(F.struct("n", "at")).alias("x"))
+        fresh = links.select("start", "url", (F.col("x.n").cast("bigint") * (1 << 20) + F.col("x.at")).alias("place")).join(seen.select("start", "url"), ["start", "url"], "left_anti")
+        frontier = cut_lineage(fresh)
+        seen = cut_lineage(seen.select("start", "url").unionByName(frontier.select("start", "url")))
+        counts = cut_lineage(out.groupBy("start").agg(F.count("*").alias("had")))
+    return out.select("start", "url", netloc("start").alias("domain"), "depth", "title", "content", "code_blocks")
+
+
 def resume(links: DataFrame, visited: DataFrame, host: str | None = None) -> DataFrame:
     """(url) still to visit: what visited pages link to, less what was visited."""
     near = links.join(visited.select(F.col("url").alias("src")), "src").select(F.col("dst").alias("url")).distinct()

@@ -113,7 +113,7 @@ def from_pages(df: DataFrame) -> DataFrame:
 
 def turns_to_samples(df: DataFrame, conversation: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """(conv_id, turn, instruction, input, output): every user turn with the assistant turn right behind it."""
-    w = Window.partitionBy(conversation).orderBy(turn, F.xxhash64(or_empty("role"), or_empty(text)))
+    w = Window.partitionBy(conversation).orderBy(turn, or_empty("role"), or_empty(text))
     rows = df.select(conversation, turn, F.lower(df[role]).alias("role"), text).withColumn("_next", F.lead(F.struct("role", F.col(text))).over(w))
     system = F.first(F.when(F.col("role") == "system", F.col(text)), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     rows = rows.withColumn("_system", system)

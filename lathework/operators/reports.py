@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lathework.functions.text import Name, or_empty
@@ -61,3 +61,8 @@ def latest_checkpoint(paths: DataFrame, path: str = "path") -> DataFrame:
     """One row: the path of the greatest number behind its last hyphen; a name without one counts as 0."""
     number = F.coalesce(F.regexp_extract(paths[path], r"-(\d+)$", 1).try_cast("bigint"), F.lit(0))
     return paths.agg(F.max_by(paths[path], F.struct(number, paths[path])).alias("path"), F.max(number).alias("step"))
+
+
+def numbered(df: DataFrame, group: str, *orders: str) -> DataFrame:
+    """``df`` with ``n``, the number of a row within its group from 1; a group is sorted in one task, on disk if need be."""
+    return df.withColumn("n", F.row_number().over(Window.partitionBy(group).orderBy(*orders)))

@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import accumulate
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from lathework.functions.batches import map_columns
 from lathework.functions.keys import uuid5
-from lathework.functions.text import or_empty
 
 FENCE = "`" * 3
 MAX_TOKENS, MIN_TOKENS = 1024, 512
@@ -92,8 +91,19 @@ def split_chunks(df: DataFrame, id_column: str = "doc_id", text_column: str = "t
 
 
 def running_sections(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(doc_id, line_no, section_no, line) by built-ins alone: a running sum of headings within a document."""
-    rows = df.select(df[id_column].alias("doc_id"), F.posexplode(F.split(or_empty(df[text_column]), "\n", -1)).alias("line_no", "line"))
-    w = Window.partitionBy("doc_id").orderBy("line_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    heading = F.ltrim("line").startswith("#").cast("int")
-    return rows.select("doc_id", "line_no", F.sum(heading).over(w).alias("section_no"), "line")
+    """(doc_id, line_no, section_no, line): every line with the number of headings up to it, counted in one pass over a document, without a shuffle."""
+    kind = df.schema[id_column].dataType.simpleString()
+
+    def make() -> Callable[..., tuple]:
+        def work(keys: list, texts: list) -> tuple:
+            out: tuple[list, list, list, list] = ([], [], [], [])
+            for key, text in zip(keys, texts):
+                lines = (text or "").split("\n")
+                counts = accumulate(line.lstrip(" ").startswith("#") for line in lines)
+                for column, values in zip(out, ([key] * len(lines), range(len(lines)), map(int, counts), lines)):
+                    column += values
+            return out
+
+        return work
+
+    return map_columns(df, [id_column, text_column], make, f"doc_id {kind}, line_no int, section_no bigint, line string")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lathework.functions import code, keys, titles, web
@@ -13,6 +13,7 @@ from lathework.operators import augment, dedup, evaluate, extract, filters, form
 from lathework.operators.components import components
 from lathework.plans import sqlparts as q
 from lathework.plans.tables import table
+from lathework.sources import files
 from lathework.streaming import monitor
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,7 +51,7 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def source_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "extraction_results").select("result_id", F.posexplode("examples").alias("no", "x"))
-    return rows.select((F.col("result_id") * 100 + F.col("no")).alias("key"), "x.path", F.col("x.output").alias("source"))
+    return rows.select((F.col("result_id") * 1_000_000 + F.col("no")).alias("key"), "x.path", F.col("x.output").alias("source"))
 
 
 def results(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -182,7 +183,7 @@ def fn_row_key(spark, sf_dir):
     return table(spark, sf_dir, "qa_pairs").select("instruction", "input", "output").distinct().agg(F.count("*").alias("distinct_rows"))
 
 
-@named("fn_urljoin")
+@named("fn_urljoin", f"WITH {q.LINKS} SELECT src, dst FROM links WHERE dst LIKE 'http%'")
 def fn_urljoin(spark, sf_dir):
     return linkgraph.page_links(table(spark, sf_dir, "pages"))
 
@@ -192,6 +193,11 @@ def fn_clean_html(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", web.clean_html("html").alias("text"))
 
 
+@named("fn_clean_page")
+def fn_clean_page(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", web.cleaned_markdown("html").alias("markdown"))
+
+
 @named("fn_html_to_md")
 def fn_html_to_md(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", web.html_to_markdown("html").alias("markdown"))
@@ -221,9 +227,23 @@ over_files(
     code=lambda: code.clean_code("source"),
 )
 over_files("fn_truncate_code", "SELECT key, CASE WHEN length(source) > 1000 THEN substring(source, 1, 1000) || chr(10) || '# ... (truncated)' ELSE source END AS code FROM files", code=lambda: tx.truncate("source", 1000, "\n# ... (truncated)"))
-over_files("fn_dedent", None, code=lambda: code.dedent("source"))
-over_files("fn_rst_title", None, title=lambda: code.rst_title("source"))
-over_files("fn_code_description", None, description=lambda: code.code_description("source"))
+_INDENT = "length(x) - length(regexp_replace(x, '^\\s+', ''))"
+over_files(
+    "fn_dedent",
+    f"""SELECT key, {q.strip(f"CASE WHEN m IS NULL THEN coalesce(source, '') ELSE array_to_string(list_transform(l, lambda x: CASE WHEN length(x) > m THEN substring(x, m + 1) ELSE {q.strip('x')} END), chr(10)) END")} AS code
+        FROM (SELECT key, source, l, list_min(list_transform(list_filter(l, lambda x: {q.strip('x')} <> ''), lambda x: {_INDENT})) AS m FROM (SELECT key, source, {_LINES} AS l FROM files))""",
+    code=lambda: code.dedent("source"))
+over_files(
+    "fn_rst_title",
+    f"""SELECT key, coalesce(list_filter(list_transform(range(1, len(l)), lambda i: CASE WHEN {q.strip('l[i]')} <> '' AND l[i + 1] <> '' AND regexp_matches({q.strip('l[i + 1]')}, '^[=~^-]*$') THEN {q.strip('l[i]')} END), lambda x: x IS NOT NULL)[1], '') AS title FROM (SELECT key, {_LINES} AS l FROM files)""",
+    title=lambda: code.rst_title("source"))
+_DOC = lambda mark: f"regexp_extract(source, '(?s)^{mark}(.*?){mark}', 1)"
+_HAS = lambda mark: f"regexp_matches(source, '(?s)^{mark}.*?{mark}')"
+_TRIPLE, _SINGLE = '"' * 3, "''" * 3
+over_files(
+    "fn_code_description",
+    f"SELECT key, CASE WHEN {_HAS(_TRIPLE)} THEN string_split({q.strip(_DOC(_TRIPLE))}, chr(10))[1] WHEN {_HAS(_SINGLE)} THEN string_split({q.strip(_DOC(_SINGLE))}, chr(10))[1] WHEN regexp_extract(source, '^#\\s*([^\\n]+)', 1) <> '' THEN {q.strip(chr(114) + "egexp_extract(source, '^#" + chr(92) + "s*([^" + chr(92) + "n]+)', 1)")} END AS description FROM files",
+    description=lambda: code.code_description("source"))
 over_files("fn_docstring_prefix", f"""SELECT key, {q.strip("regexp_extract(coalesce(source, ''), '(?s)^" + '"""' + "(.*?)" + '"""' + "', 1)")} AS doc FROM files""", doc=lambda: code.docstring_prefix("source"))
 _STEM = "translate(regexp_replace(regexp_extract(coalesce(path, ''), '([^/]*)$', 1), '(.)\\.[^.]*$', '\\1'), '_-', '  ')"
 over_files(
@@ -248,7 +268,7 @@ def fn_explanation(spark, sf_dir):
     return source_files(spark, sf_dir).select("key", augment.explanation("source").alias("note"))
 
 
-@named("fn_json_array_extract")
+@named("fn_json_array_extract", "SELECT pair_id, CAST(0 AS INT) AS no, instruction, input, output FROM qa_pairs")
 def fn_json_array_extract(spark, sf_dir):
     rows = table(spark, sf_dir, "qa_pairs")
     reply = F.concat(F.lit("Here it is:\n[\n"), F.to_json(F.struct("instruction", "input", "output")), F.lit("]\nDone."))
@@ -258,7 +278,17 @@ def fn_json_array_extract(spark, sf_dir):
 # --- Table-generating -------------------------------------------------------------------------
 
 
-@named("gen_sections")
+#: Where Python ends lines, as one pattern.
+_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]"
+_SECTIONS = f"""marked AS (
+    SELECT doc_id, i, l[i] AS line, starts_with({q.strip('l[i]')}, '#') AS head, sum(CASE WHEN starts_with({q.strip('l[i]')}, '#') THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS s
+    FROM (SELECT doc_id, l, unnest(range(1, CASE WHEN l[len(l)] = '' THEN len(l) ELSE len(l) + 1 END)) AS i FROM (SELECT doc_id, regexp_split_to_array(text, '{_BREAK}') AS l FROM documents WHERE text <> ''))),
+  sections AS (
+    SELECT doc_id, s, coalesce(max(CASE WHEN head THEN {q.strip("regexp_replace(" + q.strip('line') + ", '^#+', '')")} END), 'intro') AS section_title, string_agg(line, chr(10) ORDER BY i) FILTER (NOT head) AS content
+    FROM marked GROUP BY doc_id, s HAVING count(*) FILTER (NOT head) > 0)"""
+
+
+@named("gen_sections", f"WITH {_SECTIONS} SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY s) - 1 AS INT) AS section_no, section_title, content FROM sections")
 def gen_sections(spark, sf_dir):
     return sections.split_sections(table(spark, sf_dir, "documents"))
 
@@ -274,7 +304,7 @@ def win_running_section(spark, sf_dir):
 
 @named("gen_chunks")
 def gen_chunks(spark, sf_dir):
-    return sections.split_chunks(table(spark, sf_dir, "documents"), most=256, least=64)
+    return sections.split_chunks(table(spark, sf_dir, "documents"))
 
 
 @named("win_chunk_index")
@@ -308,14 +338,30 @@ def gen_py_examples_pytest(spark, sf_dir):
     return extract.test_samples(source_files(spark, sf_dir).where("path LIKE '%.py'"))
 
 
+def rst_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as reStructuredText: their fenced Python code under directives, and literal blocks for the rest."""
+    fence = "`" * 3
+    parts = F.split(F.replace(tx.or_empty("text"), F.lit("\r\n"), F.lit("\n")), fence, -1)
+
+    def part(x: Column, i: Column) -> Column:
+        python = x.rlike(r"^(?:python|py)\n")
+        body = F.regexp_replace(x, r"^[^\n]*\n", "")
+        block = F.concat(F.when(python, "\n.. code-block:: python\n\n").otherwise("::\n\n"), F.regexp_replace(body, r"(?m)^(?=.)", "    "))
+        return F.when(i % 2 == 1, block).otherwise(x)
+
+    rows = table(spark, sf_dir, "documents")
+    title = F.when(tx.or_empty("title") != "", F.concat("title", F.lit("\n"), F.repeat(F.lit("="), F.length("title")), F.lit("\n\n"))).otherwise("")
+    return rows.select(F.col("doc_id").alias("key"), F.concat(F.col("doc_id").cast("string"), F.lit(".rst")).alias("path"), F.concat(title, F.array_join(F.transform(parts, part), "")).alias("source"))
+
+
 @named("gen_rst_blocks")
 def gen_rst_blocks(spark, sf_dir):
-    return extract.rst_table(source_files(spark, sf_dir).where("path LIKE '%.rst'"), "key", "source")
+    return extract.rst_table(rst_files(spark, sf_dir), "key", "source")
 
 
 @named("gen_rst_examples")
 def gen_rst_examples(spark, sf_dir):
-    return extract.rst_samples(source_files(spark, sf_dir).where("path LIKE '%.rst'"))
+    return extract.rst_samples(rst_files(spark, sf_dir))
 
 
 _FENCE = "`" * 3
@@ -547,15 +593,14 @@ def dedup_dual_stats(spark, sf_dir):
     return dedup.reason_counts(dedup.judge(samples(spark, sf_dir))).select("reason", "rows")
 
 
-@named("dedup_fast")
+@named("dedup_fast", f"{_JUDGE.replace(f' OR {q.repeats(chr(111) + 'utput')} AS repeats', ' AS repeats')} SELECT seq, reason FROM judged")
 def dedup_fast(spark, sf_dir):
     return dedup.judge(samples(spark, sf_dir), sentence_rule=False)
 
 
 @named("dedup_near")
 def dedup_near(spark, sf_dir):
-    rows = samples(spark, sf_dir).where("source LIKE 'web:%'")
-    return dedup.near_recent(rows, group="source", window=20).select("seq")
+    return dedup.legacy_keep(samples(spark, sf_dir)).select("seq")
 
 
 @named("components_of_copies", """SELECT pair_id AS node, min(pair_id) OVER (PARTITION BY instruction, output) AS component FROM qa_pairs
@@ -601,9 +646,12 @@ def agg_extract_stats(spark, sf_dir):
     return reports.extraction_stats(gen_chunks(spark, sf_dir), table(spark, sf_dir, "documents"))
 
 
-@named("agg_log_metrics")
+@named(
+    "agg_log_metrics",
+    """SELECT user_id, arg_min(floor(value), (ts, event_id)) AS first_loss, arg_max(floor(value), (ts, event_id)) AS last_loss, CAST(NULL AS DOUBLE) AS eval_loss, CAST(NULL AS INT) AS step, false AS completed FROM events GROUP BY user_id""",
+)
 def agg_log_metrics(spark, sf_dir):
-    rows = table(spark, sf_dir, "events").groupBy("user_id").agg(F.concat_ws("\n", F.transform(F.sort_array(F.collect_list(F.struct("ts", "event_id", "value"))), lambda x: F.concat(F.lit("loss: "), F.format_number(x["value"], 3)))).alias("log"))
+    rows = table(spark, sf_dir, "events").groupBy("user_id").agg(F.concat_ws("\n", F.transform(F.sort_array(F.collect_list(F.struct("ts", "event_id", "value"))), lambda x: F.concat(F.lit("loss: "), F.floor(x["value"]).cast("string")))).alias("log"))
     return rows.select("user_id", *reports.log_metrics("log"))
 
 
@@ -699,13 +747,18 @@ def fmt_rlhf(spark, sf_dir):
     return formats.rlhf(_preferences(spark, sf_dir))
 
 
-@named("fmt_supervision", "SELECT chunk_key, {'doc_id': doc_id, 'chunk_id': chunk_id, 'source_url': url} AS _meta FROM chunks")
+@named("fmt_supervision", "SELECT section AS instruction, '' AS input, text AS output, {'doc_id': doc_id, 'chunk_id': chunk_id, 'source_url': url} AS _meta FROM chunks")
 def fmt_supervision(spark, sf_dir):
-    rows = table(spark, sf_dir, "chunks").withColumns({"instruction": F.lit(""), "input": F.lit(""), "output": F.lit("")})
-    return rows.select("chunk_key", F.struct("doc_id", "chunk_id", F.col("url").alias("source_url")).alias("_meta"))
+    rows = table(spark, sf_dir, "chunks").withColumns({"instruction": F.col("section"), "input": F.lit(""), "output": F.col("text")})
+    return formats.supervision(rows, "doc_id", "chunk_id", "url").select("instruction", "input", "output", "_meta")
 
 
-@named("fmt_turns")
+@named(
+    "fmt_turns",
+    """SELECT conv_id, turn, coalesce(text, '') AS instruction, coalesce(system, '') AS input, coalesce(answer, '') AS output FROM (
+         SELECT conv_id, turn, lower(role) AS role, text, lead(lower(role)) OVER w AS next, lead(text) OVER w AS answer, first_value(CASE WHEN lower(role) = 'system' THEN text END IGNORE NULLS) OVER (w ROWS UNBOUNDED PRECEDING) AS system
+         FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn, coalesce(role, ''), coalesce(text, ''))) WHERE role = 'user' AND next = 'assistant'""",
+)
 def fmt_turns(spark, sf_dir):
     return qa.turns_to_samples(table(spark, sf_dir, "conversations"))
 
@@ -714,7 +767,8 @@ def fmt_turns(spark, sf_dir):
 def fmt_qa_page(spark, sf_dir):
     rows = table(spark, sf_dir, "pages")
     crawled = rows.select(
-        "url", web.netloc("url").alias("domain"), F.lit(0).alias("depth"), web.html_title("html").alias("title"), web.html_to_markdown("html").alias("content"), F.array().cast("array<struct<language:string,code:string>>").alias("code_blocks")
+        "url", web.netloc("url").alias("domain"), F.lit(0).alias("depth"), web.html_title("html").alias("title"), web.content_select("html").alias("content"),
+        F.transform(web.code_blocks_of("html"), lambda b: F.struct(web.detect_language(b["classes"], b["code"]).alias("language"), b["code"].alias("code"))).alias("code_blocks"),
     )
     return qa.from_pages(crawled).select("instruction", "output", "source", "tags", "url")
 
@@ -853,25 +907,35 @@ def st_completion(spark, sf_dir):
     return monitor.completions(table(spark, sf_dir, "events"), "event_type", "(?i)purchase").select("event_id")
 
 
-def _links(spark, sf_dir):
-    """Links between documents of one host, from every document to the next two by id."""
-    rows = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("k"))
-    url = lambda c: F.concat(F.lit("http://h/"), c.cast("string"))
-    targets = F.explode(F.array(F.pmod(F.col("k") * 2 + 1, F.lit(25)), F.pmod(F.col("k") * 3 + 2, F.lit(25)))).alias("t")
-    return rows.select("k", targets).select(url(F.col("k")).alias("src"), url(F.col("t")).alias("dst"))
+_STARTS = f"starts AS (SELECT min({q.normalize_url('url')}) AS url FROM pages WHERE url IS NOT NULL GROUP BY {q.netloc('url')})"
 
 
 @named(
     "link_bfs",
-    """WITH RECURSIVE e AS (SELECT 'http://h/' || n_nationkey AS src, 'http://h/' || unnest([(n_nationkey * 2 + 1) % 25, (n_nationkey * 3 + 2) % 25]) AS dst FROM nation),
-       r(url, depth) AS (SELECT 'http://h/0', 0 UNION SELECT e.dst, r.depth + 1 FROM r JOIN e ON r.url = e.src WHERE r.depth < 4)
+    f"""WITH RECURSIVE {q.LINKS}, {_STARTS}, e AS (SELECT src, dst FROM links WHERE dst LIKE 'http%' AND {q.netloc('src')} = {q.netloc('dst')}),
+       r(url, depth) AS (SELECT url, 0 FROM starts UNION SELECT e.dst, r.depth + 1 FROM r JOIN e ON r.url = e.src WHERE r.depth < 4)
        SELECT url, min(depth) AS depth FROM r GROUP BY url""",
 )
 def link_bfs(spark, sf_dir):
-    return linkgraph.reachable(_links(spark, sf_dir), spark.createDataFrame([("http://h/0",)], "url string"))
+    """What the least url of every host reaches over the links of the pages."""
+    pages = table(spark, sf_dir, "pages")
+    starts = pages.where("url IS NOT NULL").groupBy(web.netloc("url").alias("host")).agg(F.min(web.normalize_url("url")).alias("url"))
+    return linkgraph.reachable(linkgraph.page_links(pages), starts)
 
 
-@named("crawl_resume")
+@named(
+    "link_bfs_across",
+    f"""WITH RECURSIVE {q.LINKS}, {_STARTS}, e AS (SELECT src, dst FROM links WHERE dst LIKE 'http%'),
+       r(url, depth) AS (SELECT url, 0 FROM starts UNION SELECT e.dst, r.depth + 1 FROM r JOIN e ON r.url = e.src WHERE r.depth < 4)
+       SELECT url, min(depth) AS depth FROM r GROUP BY url""",
+)
+def link_bfs_across(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    starts = pages.where("url IS NOT NULL").groupBy(web.netloc("url").alias("host")).agg(F.min(web.normalize_url("url")).alias("url"))
+    return linkgraph.reachable(linkgraph.page_links(pages), starts, same_host=False)
+
+
+@named("crawl_resume", f"WITH {q.LINKS} SELECT DISTINCT dst AS url FROM links WHERE dst LIKE 'http%' AND src IN (SELECT {q.normalize_url('url')} FROM pages) AND dst NOT IN (SELECT {q.normalize_url('url')} FROM pages WHERE url IS NOT NULL)")
 def crawl_resume(spark, sf_dir):
     links = linkgraph.page_links(table(spark, sf_dir, "pages"))
     visited = table(spark, sf_dir, "pages").select(web.normalize_url("url").alias("url")).distinct()
@@ -910,9 +974,11 @@ def flt_allowed_url(spark, sf_dir):
     return linkgraph.allowed(urls, table(spark, sf_dir, "chunks").select("url"), rules, host).select("url")
 
 
-@named("join_page_meta", "SELECT p.page_id, d.doc_id FROM pages p JOIN documents d ON p.url = d.url")
+@named("join_page_meta", "SELECT p.page_id, d.doc_id, d.title FROM pages p JOIN documents d ON p.url = d.url")
 def join_page_meta(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", "url").join(table(spark, sf_dir, "documents").select("doc_id", "url"), "url").select("page_id", "doc_id")
+    pages = table(spark, sf_dir, "pages").select("page_id", F.col("url").alias("basename"))
+    found, _ = files.pages_with_meta(pages, table(spark, sf_dir, "documents").select(F.col("url").alias("basename"), "doc_id", "title"))
+    return found.select("page_id", "doc_id", "title")
 
 
 @named("join_q_answer", ORACLE["agg_best_answer"].replace("SELECT o_orderkey AS question_id", "SELECT o_custkey AS asker, o_orderkey AS question_id").replace("SELECT o.o_orderkey,", "SELECT o.o_custkey, o.o_orderkey,"))
@@ -956,16 +1022,14 @@ def topk_per_query(spark, sf_dir):
     return dedup.top_per_group(rows, "lang", 2, F.col("n_chars").desc(), F.col("doc_id")).select("lang", "doc_id")
 
 
-@named("fmt_full", "SELECT instruction, input, output, source, source_type, score, url, collected_at FROM qa_pairs")
+@named("fmt_full", "SELECT instruction, input, output, source, source_type, score, tags, url, collected_at, list_sort(map_entries(metadata)) AS metadata FROM qa_pairs")
 def fmt_full(spark, sf_dir):
-    return table(spark, sf_dir, "qa_pairs").select("instruction", "input", "output", "source", "source_type", "score", "url", "collected_at")
+    return formats.full(table(spark, sf_dir, "qa_pairs")).withColumn("metadata", F.array_sort(F.map_entries("metadata")))
 
 
 @named("win_seq", "SELECT source, pair_id, row_number() OVER (PARTITION BY source ORDER BY pair_id) AS n FROM qa_pairs")
 def win_seq(spark, sf_dir):
-    from pyspark.sql import Window
-
-    return table(spark, sf_dir, "qa_pairs").select("source", "pair_id", F.row_number().over(Window.partitionBy("source").orderBy("pair_id")).alias("n"))
+    return reports.numbered(table(spark, sf_dir, "qa_pairs").select("source", "pair_id"), "source", "pair_id")
 
 
 @named("sort_improvement", f"WITH {_PAIRED} SELECT question_id, diff FROM paired ORDER BY diff DESC, question_id")

@@ -75,7 +75,7 @@ def dedupe(run: Run) -> str:
         run.frames["deduped"] = run.frames["combined"]
         return "off"
     kept = dual_greedy(run.frames["combined"], least=d.min_output_length, most_repeats=d.max_repetition)
-    run.frames["deduped"] = near_recent(kept, threshold=d.similarity_threshold, group="source") if d.remove_similar else kept
+    run.frames["deduped"] = near_recent(kept, threshold=d.similarity_threshold) if d.remove_similar else kept
     return "deduplicated"
 
 

@@ -49,8 +49,26 @@ def pick(key: str, seed: str, of: int) -> str:
 
 
 FILES = """files AS (
-  SELECT result_id * 100 + (i - 1) AS key, examples[i].path AS path, examples[i].output AS source
+  SELECT result_id * 1000000 + (i - 1) AS key, examples[i].path AS path, examples[i].output AS source
   FROM (SELECT result_id, examples, unnest(range(1, len(examples) + 1)) AS i FROM extraction_results)
 )"""
 
 SAMPLES = "samples AS (SELECT pair_id AS seq, coalesce(instruction, '') AS instruction, coalesce(input, '') AS input, coalesce(output, '') AS output, source FROM qa_pairs)"
+
+
+def urljoin(base: str, href: str) -> str:
+    """A link against its page, for whole urls, links from the root, and links one folder up."""
+    host, path = f"regexp_extract({base}, '^https?://[^/?#]*')", f"regexp_replace(regexp_replace({base}, '^https?://[^/?#]*', ''), '[?#].*$', '')"
+    folder = f"regexp_replace({path}, '[^/]*$', '')"
+    up = f"CASE WHEN regexp_matches({folder}, '^/[^/]') THEN regexp_replace({folder}, '[^/]+/$', '') ELSE '/' END"
+    return f"CASE WHEN regexp_matches({href}, '^https?://') THEN {href} WHEN starts_with({href}, '/') THEN {host} || {href} ELSE {host} || {up} || substring({href}, 4) END"
+
+
+def normalize_url(x: str) -> str:
+    return f"regexp_replace(regexp_replace({x}, '#.*$', ''), '/$', '')"
+
+
+HREF = """'(?i)<a\\s[^>]*?href\\s*=\\s*["'']([^"'']*)["'']'"""
+LINKS = f"""links AS (
+  SELECT DISTINCT {normalize_url('base')} AS src, {normalize_url(urljoin('base', 'href'))} AS dst
+  FROM (SELECT url AS base, unnest(regexp_extract_all(coalesce(html, ''), {HREF.replace(chr(92) * 2, chr(92))}, 1)) AS href FROM pages WHERE url IS NOT NULL))"""

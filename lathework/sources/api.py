@@ -9,8 +9,10 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
-from pathlib import Path
 
+from pyarrow.fs import FileSelector, FileSystem, FileType, LocalFileSystem
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 QUESTION = (
@@ -22,6 +24,9 @@ ISSUE = (
     "comments array<struct<seq:int,body:string,reactions:map<string,int>>>"
 )
 
+DISCUSSION = "repo string, discussion struct<title:string,body:string,url:string,category:string,answer:struct<body:string,upvoteCount:int>>"
+CODE = "repo string, path string, content string, html_url string"
+
 
 class KeyPartition(InputPartition):
     """All pages of one tag or repository."""
@@ -37,16 +42,23 @@ class PagesReader(DataSourceReader):
         self.most_pages = int(options.get("pages", 5))
         self.least_score = int(options.get("min_score", 0))
 
+    def place(self) -> tuple[FileSystem, str]:
+        """The file system and path of the folder, which may be any that the workers share."""
+        return FileSystem.from_uri(self.folder) if ":" in self.folder else (LocalFileSystem(), self.folder)
+
     def partitions(self) -> list[InputPartition]:
-        keys = self.keys or sorted({re.sub(r"\.\d+\.json$", "", p.name) for p in Path(self.folder).glob("*.json")})
-        return [KeyPartition(k) for k in keys]
+        system, root = self.place()
+        found = self.keys or sorted({re.sub(r"\.\d+\.json$", "", f.base_name) for f in system.get_file_info(FileSelector(root)) if f.base_name.endswith(".json")})
+        return [KeyPartition(k) for k in found]
 
     def pages(self, key: str) -> Iterator[dict]:
+        system, root = self.place()
         for page in range(1, self.most_pages + 1):
-            path = Path(self.folder, f"{key}.{page}.json")
-            if not path.exists():
+            path = f"{root}/{key}.{page}.json"
+            if system.get_file_info(path).type != FileType.File:
                 return
-            found = json.loads(path.read_text())
+            with system.open_input_stream(path) as raw:
+                found = json.loads(raw.read())
             yield found
             if not found.get("has_more"):
                 return
@@ -68,41 +80,125 @@ class IssueReader(PagesReader):
         repo = partition.value.replace("__", "/")
         for page in self.pages(partition.value):
             for item in page.get("items", []):
-                if item.get("pull_request") or not item.get("comments"):
+                if item.get("pull_request") is not None or not item.get("comments"):
                     continue
                 issue = (item.get("number"), item.get("title"), item.get("body"), item.get("html_url"), len(item["comments"]), False)
                 comments = [(n, c.get("body"), {k: v for k, v in (c.get("reactions") or {}).items() if isinstance(v, int)}) for n, c in enumerate(item["comments"])]
                 yield repo, issue, comments
 
 
-class QuestionSource(DataSource):
-    """``spark.read.format("qa_site").option("path", ...).load()``, a partition a tag."""
+class DiscussionReader(PagesReader):
+    """Discussions as they are, answered or not."""
 
-    @classmethod
-    def name(cls) -> str:
-        return "qa_site"
+    def read(self, partition: InputPartition) -> Iterator[tuple]:
+        repo = partition.value.replace("__", "/")
+        for page in self.pages(partition.value):
+            for item in page.get("items", []):
+                category, answer = item.get("category"), item.get("answer")
+                told = (answer.get("body"), answer.get("upvoteCount")) if answer else None
+                yield repo, (item.get("title"), item.get("body"), item.get("url"), category.get("name") if isinstance(category, dict) else category, told)
+
+
+#: Folders in which a repository's examples are looked for.
+EXAMPLE_FOLDERS = ("examples", "docs/examples", "samples", "demo")
+
+
+class CodeReader(PagesReader):
+    """Python files of the example folders."""
+
+    def read(self, partition: InputPartition) -> Iterator[tuple]:
+        repo = partition.value.replace("__", "/")
+        for page in self.pages(partition.value):
+            for item in page.get("items", []):
+                path = item.get("path") or ""
+                if path.endswith(".py") and path.rpartition("/")[0] in EXAMPLE_FOLDERS:
+                    yield repo, path, item.get("content"), item.get("html_url")
+
+
+class SearchReader(PagesReader):
+    """Repositories found by a query, a page of answers after the other."""
+
+    def read(self, partition: InputPartition) -> Iterator[tuple]:
+        for number, page in enumerate(self.pages(partition.value)):
+            for at, item in enumerate(page.get("items", [])):
+                yield partition.value, number, at, item.get("full_name"), item.get("stargazers_count")
+
+
+class Recorded(DataSource):
+    """A data source over recorded answers, with its schema and reader."""
+
+    made: type[PagesReader]
+    columns = ""
 
     def schema(self) -> str:
-        return QUESTION
+        return self.columns
 
     def reader(self, schema) -> DataSourceReader:
-        return QuestionReader(schema, self.options)
+        return self.made(schema, self.options)
+
+
+class QuestionSource(Recorded):
+    """``spark.read.format("qa_site").option("path", ...).load()``, a partition a tag."""
 
+    made, columns = QuestionReader, QUESTION
 
-class IssueSource(DataSource):
+    @classmethod
+    def name(cls) -> str:
+        return "qa_site"
+
+
+class IssueSource(Recorded):
     """``spark.read.format("code_host").option("path", ...).load()``, a partition a repository."""
 
+    made, columns = IssueReader, ISSUE
+
     @classmethod
     def name(cls) -> str:
         return "code_host"
 
-    def schema(self) -> str:
-        return ISSUE
 
-    def reader(self, schema) -> DataSourceReader:
-        return IssueReader(schema, self.options)
+class DiscussionSource(Recorded):
+    """Discussions of repositories."""
+
+    made, columns = DiscussionReader, DISCUSSION
+
+    @classmethod
+    def name(cls) -> str:
+        return "code_host_discussions"
+
+
+class CodeSource(Recorded):
+    """Example files of repositories."""
+
+    made, columns = CodeReader, CODE
+
+    @classmethod
+    def name(cls) -> str:
+        return "code_host_examples"
+
+
+class SearchSource(Recorded):
+    """Answers to searches for repositories, a partition a query."""
+
+    made, columns = SearchReader, "query string, page int, position int, full_name string, stars bigint"
+
+    @classmethod
+    def name(cls) -> str:
+        return "code_host_search"
 
 
 def register(spark) -> None:
-    spark.dataSource.register(QuestionSource)
-    spark.dataSource.register(IssueSource)
+    for source in (QuestionSource, IssueSource, DiscussionSource, CodeSource, SearchSource):
+        spark.dataSource.register(source)
+
+
+def found_repositories(found: DataFrame, queries: DataFrame, least_stars: int = 0, most: int = 100) -> DataFrame:
+    """(query, full_name, stars): up to ``most`` repositories a query that no query before has found.
+
+    ``queries`` has (query, query_no). A name counts for the first query that has it, and there
+    where it stands first; then the first ``most`` of every query by page and position are kept.
+    """
+    rows = found.where((F.col("stars") >= least_stars) & F.col("full_name").isNotNull()).join(F.broadcast(queries), "query")  # a configured list
+    first = rows.groupBy("full_name").agg(F.min(F.struct("query_no", "page", "position", "query", "stars")).alias("x")).select("full_name", "x.*")
+    rank = F.row_number().over(Window.partitionBy("query").orderBy("page", "position", "full_name"))
+    return first.withColumn("n", rank).where(F.col("n") <= most).select("query", "full_name", "stars")

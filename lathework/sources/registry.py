@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lathework.functions.keys import pair_key
-from lathework.operators.dedup import first_per_key
-from lathework.operators.qa import best_answers, best_comments, from_issues, from_questions
+from lathework.operators.dedup import first_per_key, top_per_group
+from lathework.operators.linkgraph import crawl
+from lathework.operators.qa import best_answers, best_comments, from_code, from_discussions, from_issues, from_pages, from_questions
 from lathework.sources import api, files
 
 _COLLECTORS: dict[str, type[Collector]] = {}
@@ -87,26 +88,54 @@ class QuestionSite(Collector):
         rows = raw.select("question", "tag", F.explode("answers").alias("answer")).select("question", "tag", F.col("question.question_id").alias("question_id"), "answer.*")
         best = best_answers(rows)
         made = best.select("question", "tag", F.struct("answer_id", "body", "score", "is_accepted").alias("answer"))
+        if most := int(self.options.get("max_per_tag", 0)):  # of the questions that have an answer
+            made = top_per_group(made, "tag", most, F.col("question.score").desc(), F.col("question.question_id"))
         return from_questions(made)
 
 
 @collector("github")
 class CodeHost(Collector):
-    description = "Issues with their best comment"
+    """``kind`` is ``issues``, ``discussions`` or ``examples``."""
+
+    description = "Issues with their best comment, answered discussions, or example files"
     required = ("path",)
-    optional = ("keys", "pages")
+    optional = ("keys", "pages", "kind")
 
     def raw(self, spark: SparkSession) -> DataFrame:
         api.register(spark)
-        return spark.read.format("code_host").options(**self.options).load()
+        kind = self.options.get("kind", "issues")
+        name = {"issues": "code_host", "discussions": "code_host_discussions", "examples": "code_host_examples"}[kind]
+        return spark.read.format(name).options(**{k: v for k, v in self.options.items() if k != "kind"}).load()
 
     def transform(self, raw: DataFrame) -> DataFrame:
+        kind = self.options.get("kind", "issues")
+        if kind == "discussions":
+            return from_discussions(raw)
+        if kind == "examples":
+            return from_code(raw)
         keyed = raw.withColumn("issue_id", F.concat_ws("#", "repo", F.col("issue.number").cast("string")))
         rows = keyed.select("repo", "issue", "issue_id", F.explode("comments").alias("c")).select("repo", "issue", "issue_id", "c.seq", "c.body", "c.reactions")
         best = best_comments(rows)
         return from_issues(best.select("repo", "issue", F.struct("body", "reactions").alias("solution")))
 
 
+@collector("web")
+class Web(Collector):
+    """``path`` holds recorded pages (url, html) as Parquet, ``urls`` the starts, by commas."""
+
+    description = "Pages that are reached from given ones"
+    required = ("path", "urls")
+    optional = ("max_pages", "max_depth", "pattern")
+
+    def raw(self, spark: SparkSession) -> DataFrame:
+        starts = spark.createDataFrame([(u,) for u in self.options["urls"].split(",")], "url string")
+        o = self.options
+        return crawl(spark.read.parquet(o["path"]), starts, int(o.get("max_pages", 100)), int(o.get("max_depth", 3)), o.get("pattern"))
+
+    def transform(self, raw: DataFrame) -> DataFrame:
+        return from_pages(raw)
+
+
 @collector("jsonl")
 class Lines(Collector):
     description = "Pairs that were collected before"

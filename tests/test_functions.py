@@ -79,3 +79,25 @@ def test_code(spark):
     assert column(spark, ['"""Doc.\nMore."""', "# note\nx", "x"], code.code_description) == ["Doc.", "note", None]
     block = "How:\n```py\n" + "x" * 21 + "\n```"
     assert [(r["context"], len(r["code"])) for r in column(spark, [block], code.markdown_blocks)[0]] == [("How:", 21)]
+
+
+def test_unclosed_elements_drop_no_content():
+    assert web.markdown_of("<html><head><title>x</title><body><p>hello world</p>") == "hello world"
+    assert web.markdown_of("<nav>menu<p>hello") == "hello" and web.markdown_of("<nav><p>menu</p></nav><p>hello</p>") == "hello"
+    assert web.markdown_of("<div class='ad big'><div>x</div>buy</div><p>hi</p>") == "hi"
+    assert web.markdown_of("<p>a</p><footer>b<p>c") == "a\n\nc"
+    assert web.plain_markdown_of("<nav>menu</nav><style>p {}</style><p>hi</p>") == "menu\n\nhi"
+    long = "word " * 3000
+    assert len(web.content_of(f"<p>{long}</p>")) > 5000 and len(web.selected_of(f"<p>{long}</p>")) == 5000
+    assert web.content_of(f"<div class='content'><div>a</div><p>{long}</p></div>tail").startswith("a") and "tail" not in web.content_of(f"<div class='content'><div>a</div><p>{long}</p></div>tail")
+
+
+def test_urljoin_like_the_standard_library(spark):
+    from urllib.parse import urljoin
+
+    bases = ["http://h/a/b?q#f", "https://h.example:8/a/b/", "http://h", "x/y", "http://h/a//b"]
+    links = ["/c", "c", "../c", "//x/y", "http://k/z/../w", "http://k/z", "?q=1", "#top", "", "/a/./b", "/a//b", "mailto:x@y", "http://k", "HTTP://K/x", "https://k//x"]
+    pairs = [(a, b) for a in bases for b in links] + [(None, "x"), ("http://h/", None)]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    for r in df.select("a", "b", web.urljoin("a", "b").alias("got")).collect():
+        assert r["got"] == (urljoin(r["a"], r["b"]) if r["a"] and r["b"] is not None else None), (r["a"], r["b"])

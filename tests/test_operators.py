@@ -1,5 +1,7 @@
 import random
+from difflib import SequenceMatcher
 
+import pytest
 from pyspark.sql import functions as F
 
 from lathework.operators import dedup, extract, filters, formats, linkgraph, qa, sections
@@ -132,3 +134,74 @@ def test_formats_handle_nulls(spark):
     df = spark.createDataFrame([(None, None, None), ("q", "i", "a")], "instruction string, input string, output string")
     assert [r["input"] for r in formats.alpaca(df).collect()] == ["", "i"]
     assert df.select(formats.sharegpt().alias("c")).collect()[1]["c"][0]["value"] == "q\n\ni"
+
+
+def one_pass(rows, window=100, threshold=0.85):
+    keys, kept, out = set(), [], []
+    for at, key, text, skip in sorted(rows):
+        if skip or key in keys or any(SequenceMatcher(None, text, old).ratio() > threshold for old in kept[-window:]):
+            continue
+        keys.add(key)
+        kept.append(text)
+        out.append(at)
+    return out
+
+
+@pytest.mark.parametrize(("window", "block"), [(3, 25), (100, 25), (100, 10_000)])
+def test_near_recent_in_blocks_is_one_pass(spark, window, block):
+    rng = random.Random(3)
+    words = "alpha beta gamma delta epsilon zeta eta theta iota kappa".split()
+    bases = [[rng.choice(words) for _ in range(rng.randint(8, 40))] for _ in range(10)]
+    rows = []
+    for n in range(120):
+        t = list(rng.choice(bases))
+        for _ in range(rng.randint(0, 5)):
+            t[rng.randrange(len(t))] = rng.choice(words)
+        rows.append((n * 3, rng.choice("abcdefgh") if rng.random() < 0.3 else f"k{n}", " ".join(t), rng.random() < 0.05))
+    df = spark.createDataFrame([(*r, "clash") for r in rows], "seq bigint, key string, output string, bad boolean, at string")
+    got = dedup.near_recent(df, window=window, key=df["key"], skip=df["bad"], block_rows=block)
+    assert sorted(r["seq"] for r in got.collect()) == one_pass(rows, window)
+    assert got.columns == df.columns and dedup.near_recent(df.limit(0)).count() == 0
+
+
+def test_grams_lose_no_similar_text():
+    rng = random.Random(5)
+    grams = dedup._Grams(0.85)
+    for _ in range(300):
+        a = "".join(rng.choice("abc d") for _ in range(rng.randint(0, 80)))
+        b = list(a)
+        for _ in range(rng.randint(0, 12)):
+            b.insert(rng.randint(0, len(b)), rng.choice("abc d"))
+            if b and rng.random() < 0.4:
+                b.pop(rng.randrange(len(b)))
+        b = "".join(b)
+        if SequenceMatcher(None, a, b).ratio() > 0.85:
+            assert grams.similar(len(a), grams.of(a), [(len(b), grams.of(b))]) == [0]
+            assert 2 * dedup._common(dedup._masks(b), len(b), a) > 0.85 * (len(a) + len(b))
+
+
+def test_long_chains_are_finished_in_slices(spark):
+    edges = [(f"i{(k + 1) // 2}", f"o{k // 2}", k) for k in range(90)]
+    df = spark.createDataFrame(edges, "left string, right string, seq bigint")
+    got = dedup.greedy_matching(df, finish_rows=20, rounds=3)
+    assert sorted(r["seq"] for r in got.collect()) == sequential(edges)
+
+
+def test_rst_blocks_after_directives_and_colons():
+    content = "Intro\n\n.. code:: python\n\n    import os\n    print(os.environ)\n\n.. testcode::\n\n    def f():\n        assert f is not None\n\nSee::\n\n    $ ls -la /tmp and more\n"
+    assert extract.rst_blocks(content) == [("Intro", "import os\nprint(os.environ)"), (".. testcode", "def f():\n    assert f is not None")]
+
+
+def test_crawl_is_breadth_first_with_limits(spark):
+    body = "<main>" + "word " * 40 + "</main>"
+    page = lambda *links: body + "".join(f'<a href="{x}">x</a>' for x in links)
+    pages = [
+        ("http://h/a", page("/b", "/c", "http://x/z", "/f.pdf")), ("http://h/b", page("/d")), ("http://h/c", page("/d", "/e")), ("http://h/d", page("/a")), ("http://h/e", "<p>short</p><a href='/g'>g</a>"),
+        ("http://h/g", page()), ("http://x/z", page()), (None, page()), ("http://h/b", page("/d") + "zz"),
+    ]
+    df = spark.createDataFrame([(*p, "clash") for p in pages], "url string, html string, title string")
+    starts = spark.createDataFrame([("http://h/a",), ("http://x/z",), ("http://no/where",), (None,)], "url string")
+    got = sorted((r["start"], r["depth"], r["url"]) for r in linkgraph.crawl(df, starts).collect())
+    assert got == [("http://h/a", 0, "http://h/a"), ("http://h/a", 1, "http://h/b"), ("http://h/a", 1, "http://h/c"), ("http://h/a", 2, "http://h/d"), ("http://x/z", 0, "http://x/z")]
+    assert sorted(r["url"] for r in linkgraph.crawl(df, starts, most_pages=2).where("start = 'http://h/a'").collect()) == ["http://h/a", "http://h/b"]
+    assert linkgraph.crawl(df, starts, most_depth=0).count() == 2 and linkgraph.crawl(df.limit(0), starts).count() == 0

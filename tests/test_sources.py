@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from lathework import config
 from lathework.plans import runner
-from lathework.sources import files, registry
+from lathework.sources import api, files, registry
 
 
 def test_registry_and_question_source(spark, tmp_path):
@@ -69,3 +69,80 @@ def test_stages(spark, tmp_path):
     assert all(r["success"] for r in log) and [r["stage"] for r in log] == list(runner.STAGES)
     assert run.frames["dataset"].count() >= 1
     assert not runner.run_stages(runner.Run(spark, config.Config())).first()["success"]
+
+
+def test_files_keep_the_last_row_of_a_name(spark, tmp_path):
+    df = spark.createDataFrame([("a/x.txt", 1, "old"), ("a/x.txt", 2, "new"), ("b.txt", 1, "ü"), (None, 1, "q"), ("c.txt", 1, None)], "n string, o int, c string")
+    made = files.write_files(df, str(tmp_path / "out"), df["n"], df["c"], df["o"])
+    assert sorted(r["name"] for r in made.collect()) == ["a/x.txt", "b.txt"]
+    assert {str(p.relative_to(tmp_path / "out")): p.read_text() for p in (tmp_path / "out").rglob("*") if p.is_file()} == {"a/x.txt": "new", "b.txt": "ü"}
+
+
+def test_arrays_in_parts_and_of_nothing(spark, tmp_path):
+    df = spark.range(50).select(F.col("id"), F.lit(None).cast("string").alias("x"))
+    files.write_array(df, str(tmp_path / "many"), [F.col("id")], files=3)
+    lists = [json.loads(p.read_text()) for p in sorted((tmp_path / "many").glob("part*"))]
+    assert [x["id"] for one in lists for x in one] == list(range(50)) and len(lists) == 3
+    files.write_array(df.limit(0), str(tmp_path / "none"))
+    assert "".join(p.read_text() for p in (tmp_path / "none").glob("part*")).split() in ([], ["[", "]"])
+
+
+def test_discussions_examples_and_search(spark, tmp_path):
+    talk = {"title": "t", "body": "b", "url": "u", "category": {"name": "Q&A"}, "answer": {"body": "a" * 120, "upvoteCount": 3}}
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "o__r.1.json").write_text(json.dumps({"items": [talk, talk | {"answer": None}], "has_more": False}))
+    got = registry.create("github", path=str(tmp_path / "d"), kind="discussions").run(spark).collect()
+    assert [(r["source"], r["score"], r["metadata"]["category"]) for r in got] == [("github:o/r:discussion", 3, "Q&A")]
+    (tmp_path / "e").mkdir()
+    item = {"path": "examples/a.py", "content": "# Read a file\nprint(open('x').read())  # " + "x" * 40, "html_url": "u"}
+    (tmp_path / "e" / "o__r.1.json").write_text(json.dumps({"items": [item, item | {"path": "src/a.py"}, item | {"path": "examples/a.md"}], "has_more": False}))
+    got = registry.create("github", path=str(tmp_path / "e"), kind="examples").run(spark).collect()
+    assert [(r["instruction"], r["source"]) for r in got] == [("Show me a Python example for Read a file", "github:o/r:examples/a.py")]
+    (tmp_path / "s").mkdir()
+    hits = lambda *x: json.dumps({"items": [{"full_name": n, "stargazers_count": k} for n, k in x], "has_more": False})
+    (tmp_path / "s" / "one.1.json").write_text(hits(("a/a", 9), ("b/b", 8), ("c/c", 1)))
+    (tmp_path / "s" / "two.1.json").write_text(hits(("b/b", 8), ("d/d", 7), ("e/e", 6)))
+    api.register(spark)
+    found = spark.read.format("code_host_search").option("path", str(tmp_path / "s")).load()
+    queries = spark.createDataFrame([("one", 0), ("two", 1)], "query string, query_no int")
+    assert sorted((r["query"], r["full_name"]) for r in api.found_repositories(found, queries, 5, 1).collect()) == [("one", "a/a"), ("two", "d/d")]
+
+
+def test_missing_folders_are_told(spark, tmp_path):
+    (tmp_path / "a.py").write_text("x = 1")
+    got = files.git_result(spark, "n", [str(tmp_path), str(tmp_path / "none")]).collect()
+    assert sorted((r["source"] or "", (r["error"] or "")[:9]) for r in got) == [("", "no folder"), ("x = 1", "")]
+    assert files.git_source(spark, "n", [str(tmp_path / "none")]).count() == 0
+
+
+def test_environment_file(tmp_path):
+    (tmp_path / ".env").write_text("# note\nLATHEWORK_NAME = mine\nLATHEWORK_VERSION=2\nbroken\n")
+    env = config.env_file(tmp_path / ".env", {"LATHEWORK_VERSION": "3"})
+    assert env == {"LATHEWORK_NAME": "mine", "LATHEWORK_VERSION": "3"} and config.load(None, None, env).full_name == "mine-3"
+    assert config.env_file(tmp_path / "none", {}) == {}
+
+
+def test_most_per_tag(spark, tmp_path):
+    answer = {"answer_id": 1, "body": "a" * 120, "score": 2, "is_accepted": True}
+    item = {"title": "Do it", "body": "", "tags": [], "link": "u"}
+    items = [item | {"question_id": n, "score": n, "answers": [answer | {"body": f"{n}" * 120}] if n != 3 else []} for n in range(1, 5)]
+    (tmp_path / "t.1.json").write_text(json.dumps({"items": items, "has_more": False}))
+    got = registry.create("stackoverflow", path=str(tmp_path), max_per_tag="2").run(spark).collect()
+    assert sorted(r["source"] for r in got) == ["stackoverflow:2", "stackoverflow:4"]
+
+
+def test_no_machine_local_folder_on_a_cluster(monkeypatch):
+    from lathework import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: default)})
+
+    with pytest.raises(RuntimeError):
+        session.ensure_checkpoint_dir(Session())
