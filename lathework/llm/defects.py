@@ -5,7 +5,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Callable
-from itertools import islice
+from functools import cache
 
 from pyspark.sql import DataFrame
 
@@ -309,7 +309,11 @@ BARE = 2
 _TURN = frozenset("but however instead though here following aber jedoch stattdessen sondern hier mais cependant plutôt voici pero sino aunque aquí".split())
 
 
-def refuses(words: list[str], question: set[str]) -> bool:
+#: Every template has one of these.
+_CORE = frozenset({"NEG", "DECLINE", "AGAINST", "CHANGE", "off"})
+
+
+def refuses(words: list[str], question: Callable[[], set[str]]) -> bool:
     """Whether a sentence is a refusal: a template of families is aligned whole within ``REACH`` words.
 
     Words of the question are its topic and count for nothing; a sentence with more than ``FREE``
@@ -317,10 +321,12 @@ def refuses(words: list[str], question: set[str]) -> bool:
     """
     places = [(at, name) for at, word in enumerate(words) for name in (*_FAMILY.get(word, ()), word)]
     names = [name for _, name in places]
-    free = sum(word not in _FAMILY and word not in question and word not in _SMALL for word in words)
+    have = set(names)
+    if have.isdisjoint(_CORE):
+        return False
+    free = _others(words, question)
     if free > FREE:
         return False
-    have = set(names)
     for pattern in _PATTERNS:
         if not have.issuperset(pattern) or lcs_length(pattern, names) < len(pattern):
             continue
@@ -333,6 +339,12 @@ def refuses(words: list[str], question: set[str]) -> bool:
     return False
 
 
+def _others(words: list[str], question: Callable[[], set[str]]) -> int:
+    """How many words are in no family, not in the question and mean something."""
+    left = [w for w in words if w not in _FAMILY and w not in _SMALL]
+    return sum(w not in question() for w in left) if left else 0
+
+
 def _tightest(pattern: list[str], places: list[tuple[int, str]]) -> int | None:
     """Where the alignment of a pattern within ``REACH`` words ends, if there is one."""
     for start, (first, name) in enumerate(places):
@@ -374,15 +386,13 @@ def is_refusal(output: str, question: str = "") -> bool:
     if "`" in output:
         output = _CODE_SPAN.sub(f" {CODE_WORD} ", output)
     refused = False
-    topic: set[str] | None = None
+    topic = cache(lambda: {CODE_WORD, *_tokens(question)})
     for sentence in _SENTENCES.split(output.strip()):
         words = _tokens(sentence)
         if not words:
             continue
         if len(words) > SENTENCE_MOST:
             return False
-        if topic is None:
-            topic = set(_tokens(question)) | {CODE_WORD}
         if refuses(words, topic):
             refused = True
         elif not (_PLEASE.fits(words) or len(words) == 1 and words[0] in _PLEASE.by_word or _is_side(words, topic)):
@@ -390,11 +400,11 @@ def is_refusal(output: str, question: str = "") -> bool:
     return refused
 
 
-def _is_side(words: list[str], topic: set[str]) -> bool:
+def _is_side(words: list[str], topic: Callable[[], set[str]]) -> bool:
     """Whether a sentence only regrets or sends one elsewhere."""
     names = {n for w in words for n in _FAMILY.get(w, ())}
-    free = sum(w not in _FAMILY and w not in topic and w not in _SMALL for w in words)
-    return free <= 3 and ("ELSE" in names and ("ASK" in names or "ACT" in names) or "SORRY" in names and len(words) <= 4)
+    side = "ELSE" in names and ("ASK" in names or "ACT" in names) or "SORRY" in names and len(words) <= 4
+    return side and _others(words, topic) <= 3
 
 
 # --- Truncated answers ------------------------------------------------------------------------
@@ -540,7 +550,7 @@ def defect_of(instruction: str | None, extra: str | None, output: str | None) ->
     asked, more = WORD.findall((instruction or "").lower()), WORD.findall((extra or "").lower())
     # the answer can hold both twice, and labels; marks and spacing are no words
     most = 2 * (len(asked) + len(more) + 3) + len(_LABELS)
-    answer = [m[0] for m in islice(WORD.finditer(output.lower()), most + 1)]
+    answer = WORD.findall(output.lower())
     if len(answer) <= most and is_copy(answer, asked, more):
         return "copied_question"
     if is_refusal(output, f"{instruction or ''} {extra or ''}"):
