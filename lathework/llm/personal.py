@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -10,12 +11,13 @@ import ahocorasick
 from pyspark.sql import DataFrame
 
 from lathework.functions.batches import map_columns
+from lathework.llm.residue_seeds import PROSE
 
 KINDS = ("email", "phone", "id_number", "address", "name")
 
 # --- Anchors ----------------------------------------------------------------------------------
 
-# Common given names. A name counts only with a family name behind it.
+# Common given names, one feature of a name among others.
 GIVEN_NAMES = (
     "Aaron Adam Adrian Ahmed Aisha Alan Alba Alejandro Alex Alexander Alice Amara Amina Amy Ana Anders Andrea Andreas Andrei Andrew Angela Anita Anja Anna Anne Anton Antonio Arthur Astrid "
     "Barbara Beatriz Ben Benjamin Bernd Birgit Björn Bruno Camille Carla Carlos Carmen Caroline Charles Charlotte Chen Chiara Chloe Chloé Christian Christine Claire Clara Claudia Daniel Daniela David "
@@ -28,6 +30,29 @@ GIVEN_NAMES = (
 ).split()
 # Titles before a family name.
 TITLES = "Mr Mrs Ms Miss Mx Dr Prof Sir Herr Herrn Frau Monsieur Madame Mme Mlle M Sr Sra Srta Señor Señora Don Doña Dott".split()
+# Family names of several regions, from which the letters of names are learnt.
+FAMILY_NAMES = (
+    "Smith Johnson Williams Brown Taylor Davies Evans Murphy Kelly OBrien Walsh Campbell Stewart Anderson Andersen Nilsson Larsen Johansson Virtanen Müller Schneider Fischer Weber Wagner Becker "
+    "Hoffmann Schäfer Dubois Laurent Lefebvre Moreau Fournier García Martínez López Sánchez Fernández Rodríguez Silva Santos Oliveira Rossi Ferrari Esposito Bianchi Kowalski Nowak Novák Horvat "
+    "Ivanov Petrov Sokolov Papadopoulos Yılmaz Demir Kaya Haddad Nasser Hosseini Khan Ahmed Hussain Patel Sharma Gupta Reddy Nair Perera Nguyen Tran Pham Wang Zhang Chen Liu Tanaka Suzuki "
+    "Takahashi Watanabe Kim Park Choi Okafor Adeyemi Mensah Boateng Khumalo Dlamini Nkosi Mwangi Otieno Abebe Traoré Diallo Gonçalves Costa Vargas Mendoza Castillo Quispe Mamani"
+).split()
+# What stands before a person, after a person, and words that are in no person's name.
+BEFORE_NAMES = (
+    "colleague |opened by |maintained by |reported by |written by |co-written with |approved by |reviewed by |assigned to |owned by |signed by |name is |named |called |name=|name: |name\": \"|customer\": \"|author\": \"|author: |"
+    "author |owner: |contact: |contact : |contact |ask |asked |regards, |thanks, |thanks! -- |cheers, |best, |-- |dear |hi |hello |signed-off-by: |co-authored-by: |cc |attn |attention of |spoke to |spoke with |talk to |met |"
+    "i am |i'm |my name's |customer |patient |employee |tenant |manager |engineer |teacher |neighbour |friend |kollege |kollegin |ansprechpartner: |ansprechpartnerin: |grüße, |geehrter |geehrte |liebe |lieber |heiße |namens |frag |"
+    "collègue |cordialement, |bonjour |m'appelle |contacter |demandez à |compañero |compañera |contacto: |llamo |saludos, |estimado |estimada |pregunte a |"
+).split("|")[:-1]
+AFTER_NAMES = " said| says| wrote| writes| asked| called| told| will call| will reply| joined| left the| reported| confirmed| replied| emailed| phoned| signed| lives| works| was born| has asked| sagte| schrieb| arbeitet| wohnt| a dit| habite| travaille| dijo| escribió| vive| trabaja".split("|")
+NO_NAME_WORDS = frozenset(
+    "the this that these those our your their his her its my all any some every each no new old best last next first please thanks hello dear hi best kind regards note warning error server service services system cluster "
+    "node nodes team teams group project product platform cloud store storage database queue worker event events stream release rollout rollouts version update upgrade build test tests code data file files page docs "
+    "support desk help center centre office department company limited inc ltd gmbh university institute school hospital street road avenue lane court square place drive row way open source blue green red black white silver "
+    "gold dark light north south east west monday tuesday wednesday thursday friday saturday sunday january february march april may june july august september october november december english german french spanish "
+    "windows linux python java docker kubernetes terraform ansible google amazon azure microsoft apache oracle if when while after before then and or but not with without from into over under is are was were be been has have had "
+    "will can could should would must do does did use using used see run set get add make check change security operations engineering marketing sales finance design research general chief senior junior lead labs systems networks software technologies solutions analytics monitor studio hub engine console dashboard gateway agent framework inspector manager director".split()
+)
 # Cues of documents and registers, and what stands between them and the number.
 ID_CUES = (
     "social security number|social security no|ssn|tax id|tax identification number|tax number|taxpayer id|tin|national id|national identity number|national identification number|"
@@ -59,6 +84,15 @@ def _automaton() -> ahocorasick.Automaton:
         add(mark, "email")
     for cue in ID_CUES:
         add(cue, "id")
+    # where a number can begin, or two of its groups meet
+    for mark in ("+", "(", "0", *(f"{d}{sign}" for d in "0123456789" for sign in "-.")):
+        add(mark, "phone")
+    for cue in PHONE_CUES:
+        add(cue, "call")
+    for cue in BEFORE_NAMES:
+        add(cue.rstrip() if cue[-2] in ",:-" else cue, "who")
+    for cue in AFTER_NAMES:
+        add(cue, "did")
     for cue in STREET_CUES:
         add(cue, "address")
     for name in GIVEN_NAMES:
@@ -128,7 +162,7 @@ def parse_email(text: str, at: int, end: int) -> Iterator[Span]:
 _PHONE = re.compile(
     r"""(?<![\w.+/@#-])(?<!\d:)(?:
       (?P<plus>\+\d{1,3}(?:[\s.\-/]?\(0\))?(?:[\s.\-/]?\(?\d{1,5}\)?){1,6})
-    | (?P<zeros>00[1-9]\d{0,2}(?:[\s.\-/]\(?\d{1,5}\)?){1,6})
+    | (?P<zeros>00[1-9]\d{0,2}[\s.\-/]\(?\d{1,5}\)?(?:[\s.\-/]?\(?\d{1,5}\)?){0,5})
     | (?P<north>(?:1[\s.-])?\(\d{3}\)\s?\d{3}[\s.-]\d{4}|(?:1[\s.-])?\d{3}[.-]\d{3}[.-]\d{4}|\d{3}\s\d{3}[\s-]\d{4})
     | (?P<trunk>0\d{1,5}(?:[\s/.\-]+\d{2,8}){1,5}|0[1-9](?:[\s.]\d{2}){4}|\(0\d{2,5}\)\s?\d{3,8}(?:[\s-]\d{2,6})*)
     | (?P<solid>0[1-9]\d{8,10})
@@ -140,31 +174,61 @@ _NO_PHONE_BEFORE = re.compile(
     r"steuer-id|dni|ausweis\w*|sécurité sociale|insurance number)\b[\s.:#=°-]*(?:is|ist|est|es|no|nr|number|nummer)?[\s.:#=°-]*)\Z"
 )
 _PHONE_CUE = re.compile(r"(?i)\b(?:" + "|".join(map(re.escape, PHONE_CUES)) + r")\b[^\n\d]{0,24}\Z")
-_DIGIT_RUN = re.compile(r"\d{2}|\+\d|\(\d")
-
-
-def parse_phones(text: str) -> Iterator[Span]:
-    """Telephone numbers by their form; bare digits only behind a cue."""
-    for m in _PHONE.finditer(text):
-        digits = sum(map(str.isdigit, m[0]))
-        if not 7 <= digits <= 16:
-            continue
-        before = text[max(0, m.start() - 40) : m.start()]
-        if _NO_PHONE_BEFORE.search(before):
-            continue
-        kind = m.lastgroup
-        if kind == "solid" and not _PHONE_CUE.search(before):
-            continue
-        if kind == "trunk" and (digits < 9 or re.fullmatch(r"0?\d{1,2}[./-]\d{1,2}[./-]\d{2,4}", m[0])) and not _PHONE_CUE.search(before):
-            continue
-        if kind == "trunk" and re.fullmatch(r"[\d.]+", m[0]) and m[0].count(".") < 3:
-            continue
-        if kind == "north" and re.fullmatch(r"\d{3}\s\d{3}[\s-]\d{4}", m[0]) and not _PHONE_CUE.search(before):
-            continue
-        if kind == "zeros" and digits < 10:
-            continue
-        stop = m.end() - (m[0].endswith(")") and m[0].count("(") < m[0].count(")"))
-        yield "phone", m.start(), stop
+_PHONE_BEGIN = re.compile(r"(?:1[\s.-])?\(?\d{1,5}\Z")
+_ONE_BEFORE = re.compile(r"(?<![\w.+/@#-])1[\s.-]\Z")
+_NUMBER_AHEAD = re.compile(r"[^\n\d]{0,24}?(?=[+(]?\d)")
+
+
+def parse_phone(text: str, start: int, end: int) -> Iterator[Span]:
+    """Telephone numbers that begin at an anchor, or with the group of digits it ends."""
+    mark = text[start:end]
+    if mark in "+(0":
+        if start and (text[start - 1].isalnum() or text[start - 1] in "_+/@#-."):
+            return
+        begins = [start]
+        if mark == "(" and (m := _ONE_BEFORE.search(text, max(0, start - 3), start)):
+            begins.insert(0, m.start())
+    else:
+        m = _PHONE_BEGIN.search(text, max(0, start - 9), start + 1)
+        begins = [m.start()] if m else []
+    for at in begins:
+        if span := phone_at(text, at):
+            yield span
+            return
+
+
+def parse_call(text: str, start: int, end: int) -> Iterator[Span]:
+    """The first number behind a cue, in its line."""
+    if start and text[start - 1].isalnum() or end < len(text) and text[end].isalnum():
+        return
+    if m := _NUMBER_AHEAD.match(text, end):
+        if span := phone_at(text, m.end()):
+            yield span
+
+
+def phone_at(text: str, at: int) -> Span | None:
+    """The number that begins at a place, checked by its form; bare digits only behind a cue."""
+    m = _PHONE.match(text, at)
+    if not m:
+        return None
+    digits = sum(map(str.isdigit, m[0]))
+    if not 7 <= digits <= 16:
+        return None
+    before = text[max(0, at - 40) : at]
+    if _NO_PHONE_BEFORE.search(before):
+        return None
+    kind = m.lastgroup
+    if kind == "solid" and not _PHONE_CUE.search(before):
+        return None
+    if kind == "trunk" and (digits < 9 or re.fullmatch(r"0?\d{1,2}[./-]\d{1,2}[./-]\d{2,4}", m[0])) and not _PHONE_CUE.search(before):
+        return None
+    if kind == "trunk" and re.fullmatch(r"[\d.]+", m[0]) and m[0].count(".") < 3:
+        return None
+    if kind == "north" and re.fullmatch(r"\d{3}\s\d{3}[\s-]\d{4}", m[0]) and not _PHONE_CUE.search(before):
+        return None
+    if kind == "zeros" and digits < 10:
+        return None
+    return "phone", at, m.end() - (m[0].endswith(")") and m[0].count("(") < m[0].count(")"))
 
 
 _ID_LINK = re.compile(
@@ -239,8 +303,80 @@ _NEVER_FAMILY = frozenset(
 )
 
 
+@lru_cache(maxsize=1)
+def _letters() -> dict[str, float]:
+    """Log-likelihood ratios of character trigrams of names against those of other words."""
+    counts: list[dict[str, float]] = []
+    others = [w for w in (*NO_NAME_WORDS, *re.findall(r"[a-z]{3,}", PROSE.lower()))]
+    for words in ((*GIVEN_NAMES, *FAMILY_NAMES), others):
+        own: dict[str, float] = {}
+        for word in words:
+            padded = f"^{word.lower()}$"
+            for i in range(len(padded) - 2):
+                own[padded[i : i + 3]] = own.get(padded[i : i + 3], 0.0) + 1.0
+        counts.append(own)
+    names, words = counts
+    n, m = sum(names.values()), sum(words.values())
+    size = len({*names, *words})
+    return {g: math.log((names.get(g, 0) + 0.5) / (n + 0.5 * size)) - math.log((words.get(g, 0) + 0.5) / (m + 0.5 * size)) for g in {*names, *words}}
+
+
+@lru_cache(maxsize=1 << 14)
+def name_likeness(word: str) -> float:
+    """How much a word reads like part of a name, from -1 to 1; unknown letters say nothing."""
+    padded = f"^{word.lower()}$"
+    ratios = [_letters().get(padded[i : i + 3], 0.0) for i in range(len(padded) - 2)]
+    return max(-1.0, min(1.0, sum(ratios) / len(ratios)))
+
+
+_GIVEN = frozenset(GIVEN_NAMES)
+#: Weights of the features of a name and the sum from which two words are one.
+NAME_WEIGHTS = {"listed": 2.0, "before": 1.7, "after": 1.6, "shape": 0.5, "letters": 0.8, "plain": -2.5, "lower": -1.5}
+NAME_LEAST = 2.0
+_PAIR = re.compile(rf"([A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]+(?:-[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]+)?)\s((?:[A-Z]\.\s)?(?:(?:van der|van den|van|von|de la|de|del|di|da|dos|le|la|bin|al|O|Mc|Mac)[ '’-])?[A-ZÀ-ÖØ-Þ][\w'’-]*[a-zß-öø-ÿ])(?![\w@]|\.\w)(?!\s[A-ZÀ-ÖØ-Þ][a-z]+\s[A-Z])")
+_PAIR_BACK = re.compile(rf"(?<![\w@./'’-])([A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]+(?:-[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]+)?)\s((?:[A-Z]\.\s)?[A-ZÀ-ÖØ-Þ][\w'’-]*[a-zß-öø-ÿ])\Z")
+_GAP = re.compile(r"[ \t]?(?:\r?\n)?")
+_THING_BEHIND = re.compile(r"[ -](?:team|group|project|server|service|cluster|platform|api|library|release|foundation|street|road|avenue|university|institute)s?\b", re.I)
+
+
+def name_score(text: str, first: str, last: str, end: int, **features: bool) -> float:
+    """The evidence that two capitalised words are a person's given and family name.
+
+    Lists are one feature; the others are the words before and behind, the shape and letters of
+    both, plain words among them, and their use in lower case elsewhere in the text.
+    """
+    w = NAME_WEIGHTS
+    family = last.split()[-1]
+    total = w["listed"] * (first in _GIVEN) + sum(w[name] for name, holds in features.items() if holds)
+    total += w["shape"] * (3 <= len(first) <= 14 and 3 <= len(family) <= 18)
+    total += w["letters"] * (0.0 if first in _GIVEN else name_likeness(first) + name_likeness(family)) / 2
+    if first.lower() in NO_NAME_WORDS or family.lower() in NO_NAME_WORDS or family.lower() in _NEVER_FAMILY or _THING_BEHIND.match(text, end):
+        total += w["plain"]
+    elif re.search(rf"(?<![\w-])(?:{re.escape(first.lower())}|{re.escape(family.lower())})(?![\w-])", text):
+        total += w["lower"]
+    return total
+
+
+def parse_who(text: str, start: int, end: int) -> Iterator[Span]:
+    """A name behind words that introduce a person."""
+    if start and text[start].isalpha() and text[start - 1].isalnum():
+        return
+    m = _PAIR.match(text, _GAP.match(text, end).end())
+    if m and m[1] not in _GIVEN and name_score(text, m[1], m[2], m.end(), before=True) >= NAME_LEAST:
+        yield "name", m.start(), m.end()
+
+
+def parse_did(text: str, start: int, end: int) -> Iterator[Span]:
+    """A name before what only people do."""
+    if end < len(text) and text[end].isalnum():
+        return
+    m = _PAIR_BACK.search(text, max(0, start - 60), start)
+    if m and m[1] not in _GIVEN and name_score(text, m[1], m[2], m.end(), after=True) >= NAME_LEAST:
+        yield "name", m.start(), m.end()
+
+
 def parse_name(text: str, start: int, end: int) -> Iterator[Span]:
-    """A given name with the family name behind it."""
+    """A listed given name with the family name behind it."""
     if start and (text[start - 1].isalnum() or text[start - 1] in "_@-'’/"):
         return
     given = text[start : end - 1]
@@ -252,7 +388,7 @@ def parse_name(text: str, start: int, end: int) -> Iterator[Span]:
         yield "name", start, m.end()
 
 
-_TITLE_FAMILY = re.compile(r"(?:[A-Z]\.\s){0,2}(?:[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]+\s(?=[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]))?(?:(?:van|von|de la|de|del|di|da|le|la)\s)?[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]{2,}(?:-[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]+)?(?![\w@]|\.\w)")
+_TITLE_FAMILY = re.compile(r"(?:[A-Z]\.\s){0,2}(?:[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]+\s(?=[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]))?(?:(?:van|von|de la|de|del|di|da|le|la)\s)?[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]+(?:-[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]+)?(?![\w@]|\.\w)")
 _TITLE_UPPER = re.compile(r"(?:[A-Z]\.\s){0,2}[A-ZÀ-ÖØ-Þ]{3,}(?![\w@])")
 _BARE_M = re.compile(r"M\s")
 
@@ -272,15 +408,18 @@ def parse_title(text: str, start: int, end: int) -> Iterator[Span]:
         yield "name", start, m.end()
 
 
-_PARSERS = {"email": parse_email, "id": parse_id, "address": parse_address, "name": parse_name, "title": parse_title}
+_PARSERS = {
+    "email": parse_email, "id": parse_id, "phone": parse_phone, "call": parse_call, "address": parse_address, "name": parse_name, "title": parse_title, "who": parse_who, "did": parse_did,
+}
 _RANK = {"email": 0, "id_number": 1, "address": 2, "phone": 3, "name": 4}
 
 
 def spans_of(text: str | None) -> list[Span]:
     """(kind, start, end) of all personal information in a text, in order and apart.
 
-    One automaton finds all anchors (at-signs and their spellings, cues of documents, words for
-    streets, given names, titles); the parser of an anchor expands it to both sides and checks it.
+    One automaton finds all anchors (at-signs and their spellings, cues of documents, signs and cues
+    of telephone numbers, words for streets, given names, titles, and words before and behind
+    people); the parser of an anchor expands it to both sides and checks it.
     Where spans overlap, an address of mail goes before a number, a street, a phone and a name.
     """
     if not text:
@@ -293,8 +432,6 @@ def spans_of(text: str | None) -> list[Span]:
         end = last + 1
         for kind in kinds:
             found += _PARSERS[kind](text, end - size, end)
-    if _DIGIT_RUN.search(text):
-        found += parse_phones(text)
     if not found:
         return []
     kept: list[Span] = []
@@ -320,7 +457,8 @@ def find_personal(df: DataFrame, id_column: str = "pair_id", fields: tuple[str,
 
     Kinds: ``email`` (also spelled out; not targets of ssh, git and connection urls), ``phone``,
     ``id_number`` (of personal documents and registers), ``address`` (street addresses), ``name``
-    (given and family name, or title and family name). Offsets count code points. Null and empty
+    (given and family name, or title and family name; a given name that isn't listed counts where
+    context, shape and letters speak for it, see :func:`name_score`). Offsets count code points. Null and empty
     texts give no rows; whole texts are read; repeated rows come out repeated; other columns are
     not read. No shuffle.
     """

@@ -557,3 +557,26 @@ def test_classes_of_one_name_stay_apart_by_file_and_folder(spark):
     files_ = [("", "", base.format(n), f"{n}/{n}.py") for n in ("red", "blue")] + [("", "", leaf.format(f"pkg.{n}"), f"leaves/of_{n}.py") for n in ("red", "blue")]
     rows = docs.find_documented(spark.createDataFrame([(1, "r", files_)], schema)).where("inherited").select("path", "documentation").collect()
     assert {r["path"]: r["documentation"].split()[5] for r in rows} == {"leaves/of_red.py": "red", "leaves/of_blue.py": "blue"}
+
+
+# --- p4: names that no list has, and phones from anchors ---
+
+UNLISTED = "Zanele Khumalo|Kwame Mensah|Siobhan Murphy|Thandiwe Dlamini|Oluwaseun Adeyemi|Ngozi Okafor|Bronwyn Davies|Anneliese Hoffmann|Dimitrios Papadopoulos|Mehmet Yılmaz|Nkechi Abebe|Svetlana Ivanova|Raúl Castillo|Ingeborg Larsen|Takumi Watanabe".split("|")
+CONTEXTS = ["Please ask {} about it.", "{} said that it works.", "Best regards,\n{}", "My colleague {} can help.", "This was opened by {} today.", "# author: {}", "Dear {},", "Signed-off-by: {} <x@y.example>"]
+THINGS = ["Ask Platform Team first.", "Contact Kestrel Forge.", "Dear Customer Support,", "Contact Grafana Labs.", "opened by Release Server", "Server-Sent Events and Blue Green Rollouts both work.", "called Silver Relay", "The Kestrel Forge team said no."]
+
+
+def test_names_beyond_the_list_by_context():
+    found = [any(k == "name" and text[a:b] == name for k, a, b in personal.spans_of(text)) for name in UNLISTED for text in [c.format(name) for c in CONTEXTS]]
+    assert sum(found) >= 0.9 * len(found)
+    assert [t for t in THINGS if any(k == "name" for k, _, _ in personal.spans_of(t))] == []
+    assert [k for k, _, _ in personal.spans_of("See Dr. Li at noon")] == ["name"]
+
+
+def test_phones_come_from_anchors():
+    assert not hasattr(personal, "parse_phones")
+    for number in ("+49 170 5550123", "555-123-4567", "1 (555) 123-4567", "(0301) 555012", "0301 / 555 0123", "620.555.0125", "01 23 45 67 89", "0049 30 5550123"):
+        text = f"You can reach me at {number}, any time."
+        assert [text[a:b] for k, a, b in personal.spans_of(text) if k == "phone"] == [number], number
+    for text in ("build 555-123-4567", "version 1.2.3.4", "order no. 0301 555 0123", "10.20.30.40:8080", "on 01.02.2024"):
+        assert not personal.spans_of(text), text
