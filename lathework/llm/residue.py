@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Callable
 from functools import lru_cache
@@ -10,7 +11,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 
 from lathework.functions.batches import map_columns
-from lathework.llm.residue_seeds import FILLER, NOTICES, PROSE
+from lathework.llm.residue_seeds import FILLER, MARKS, NOTATIONS, NOTICES, PROSE, SLOT_FRAMES, SLOT_NAMES
 
 GRAM = 4
 BITS = 18
@@ -56,7 +57,7 @@ def _model(text: str) -> np.ndarray:
     """Smoothed log-probabilities of a character n-gram model, one per hashed place."""
     counts = np.zeros(1 << BITS, dtype=np.float64)
     for line in text.strip().splitlines():
-        np.add.at(counts, _grams(_codes(_plain(line))), 1.0)
+        np.add.at(counts, _grams(_codes(_plain(_CODE.sub(_code_word, line)))), 1.0)
     return np.log(counts + SMOOTH) - np.log(counts.sum() + SMOOTH * len(counts))
 
 
@@ -115,11 +116,72 @@ def prose_of(text: str) -> str:
     return text
 
 
-def has_slot(prose: str) -> bool:
-    """Whether a template slot stands unfilled in prose or headings."""
+_RUNS = re.compile(r"\b((?i:insert|your|add|enter|replace|goes|here|placeholder))\b|([a-zß-öø-ÿ]+)|([A-ZÀ-ÖØ-Þ]+)|(\d+)")
+SLOT_GRAM = 3
+#: Grams of the shape in a window, and the mean log-likelihood ratio from which a window can be a slot.
+SLOT_WINDOW, SLOT_LEAST = 5, 0.5
+
+
+def shape_of(line: str) -> str:
+    """A line with every run of small letters, capitals or digits as one sign, words that ask for a text as another, and its marks as they are."""
+    return _RUNS.sub(lambda m: "Y" if m[1] else "a" if m[2] else "A" if m[3] else "0", line)
+
+
+def slot_examples() -> list[str]:
+    """Lines with slots: every notation, name and frame, in turn."""
+    out = []
+    for i, notation in enumerate(NOTATIONS):
+        for k, name in enumerate(SLOT_NAMES):
+            words = name.replace("_", " ")
+            forms = {"n": name, "w": words, "U": name.upper(), "W": words.upper(), "T": words.title()}
+            slot = re.sub("%([nwUWT])", lambda m: forms[m[1]], notation)
+            out.append(SLOT_FRAMES[(i + k) % len(SLOT_FRAMES)].replace("%s", slot))
+    return out
+
+
+@lru_cache(maxsize=1)
+def slot_model() -> dict[str, float]:
+    """Log-likelihood ratios of character n-grams of shapes: slots against prose and its other marks."""
+    counts: list[dict[str, float]] = []
+    for lines in (slot_examples(), (MARKS + PROSE).strip().splitlines()):
+        own: dict[str, float] = {}
+        for line in lines:
+            shape = f" {shape_of(line)} "
+            for i in range(len(shape) - SLOT_GRAM + 1):
+                gram = shape[i : i + SLOT_GRAM]
+                own[gram] = own.get(gram, 0.0) + 1.0
+        counts.append(own)
+    slots, others = counts
+    grams = {*slots, *others}
+    n, m = sum(slots.values()) + 0.2 * len(grams), sum(others.values()) + 0.2 * len(grams)
+    return {g: math.log((slots.get(g, 0.0) + 0.2) / n) - math.log((others.get(g, 0.0) + 0.2) / m) for g in grams}
+
+
+def slot_likeness(line: str) -> float:
+    """The greatest mean log-likelihood ratio of a window of a line's shape; unknown grams say nothing."""
+    model = slot_model()
+    shape = f" {shape_of(line)} "
+    ratios = [model.get(shape[i : i + SLOT_GRAM], 0.0) for i in range(len(shape) - SLOT_GRAM + 1)]
+    best = total = sum(ratios[:SLOT_WINDOW])
+    for i in range(SLOT_WINDOW, len(ratios)):
+        total += ratios[i] - ratios[i - SLOT_WINDOW]
+        best = max(best, total)
+    return best / min(SLOT_WINDOW, max(1, len(ratios)))
+
+
+def slot_coverage(prose: str) -> float:
+    """The share of prose and headings that unfilled template slots make up; 0 where there is none.
+
+    Windows of lines that the n-gram model finds more like slots than like prose are checked by
+    the notations of slots.
+    """
     if not _SLOT_SIGN.search(prose):
-        return False
-    return any(m[0].strip("[]<>") not in NO_SLOTS for m in SLOTS.finditer(prose))
+        return 0.0
+    length = 0
+    for line in prose.split("\n"):
+        if _SLOT_SIGN.search(line) and slot_likeness(line) >= SLOT_LEAST:
+            length += sum(len(m[0]) for m in SLOTS.finditer(line) if m[0].strip("[]<>") not in NO_SLOTS)
+    return length / max(1, len(prose.strip()))
 
 
 # Words of navigation, footers and consent bars.
@@ -149,10 +211,17 @@ def is_furniture(line: str) -> bool:
 
 #: Words of letters alone, with marks around them; names, paths, numbers and hosts are skipped.
 _LETTERS = re.compile(r"(?<!\S)[(\[\"'“‘*>«¿¡]*([^\W\d_]+(?:['’][^\W\d_]+)?)[\])\"'”’*.,;:!?…»]*(?!\S)")
-_STATUS = re.compile(r"(?i)^\W*(?:http\s*)?(?:error|erreur|fehler|status)?\s*(?:40[0-9]|410|429|50[0-9])\b(?:\W+\w+){0,6}\W*$|^\W*traceback \(most recent call last\)|^\s*file \".{1,120}\", line \d+")
+#: Numbers of errors of the web that begin a line or follow a word for them are words of notices;
+#: the models know them by one name each.
+_CODE = re.compile(r"(?:(?<![\s\S])|(?<=(?i:http|rror|reur|hler|atus|code)[\s:]))(?:(4)(?:0\d|1[0-8]|2[2-9])|(5)(?:0\d|1[01]))(?![\w,-]|\.\d)")
+CODE_WORDS = {"4": "errcodefour", "5": "errcodefive"}
 _LIST_SPLIT = re.compile(r"\s*[|>›»·•/]\s*")
 
 
+def _code_word(m: re.Match) -> str:
+    return CODE_WORDS[m[1] or m[2]]
+
+
 class Scorer:
     """Coverage of the content of documents by residue windows."""
 
@@ -184,13 +253,9 @@ class Scorer:
             if isinstance(line, int):
                 total[owner] += line
                 continue
-            text = " " + " ".join(_LETTERS.findall(line.lower())) + " "
+            text = " " + " ".join(_LETTERS.findall(_CODE.sub(_code_word, line).lower())) + " "
             if len(text) < 6:
                 continue
-            if _STATUS.match(line):
-                total[owner] += len(line)
-                residue[owner] += len(line)
-                continue
             whole = len(text)
             for start in range(0, whole, WINDOW):
                 part = text[start : start + WINDOW + GRAM - 1]
@@ -272,7 +337,8 @@ def find_residue(df: DataFrame, id_column: str = "doc_id", text_column: str = "t
     notices (error pages, demands for scripts), filler and natural prose score windows of every
     line by their likelihood ratio; a document whose windows of residue cover at least half of its
     content is residue. A document with an unfilled template slot in prose or headings is a
-    ``slot``. Slots in code and page furniture around the content don't count. Null, empty and
+    ``slot``: a model of the shapes of slots against prose and its marks finds windows, the
+    notations of slots check them, and any coverage counts. Slots in code and page furniture around the content don't count. Null, empty and
     blank texts give no rows; repeated rows come out repeated; other columns are not read.
     """
     kind = df.schema[id_column].dataType.simpleString()
@@ -281,12 +347,13 @@ def find_residue(df: DataFrame, id_column: str = "doc_id", text_column: str = "t
         scorer = Scorer()
 
         def work(keys: list, texts: list) -> tuple:
-            lines, owners, slots = [], [], []
+            lines, owners, slots, shares = [], [], [], []
             for at, text in enumerate(texts):
                 if not text or _BLANK.fullmatch(text):
                     continue
-                if has_slot(prose_of(text)):
+                if share := slot_coverage(prose_of(text)):
                     slots.append(at)
+                    shares.append(share)
                     continue
                 own = content_lines(text)
                 lines += own
@@ -295,7 +362,7 @@ def find_residue(df: DataFrame, id_column: str = "doc_id", text_column: str = "t
             flagged = np.flatnonzero(cover >= COVERAGE).tolist()
             ids = [keys[i] for i in slots] + [keys[i] for i in flagged]
             kinds = ["slot"] * len(slots) + ["residue"] * len(flagged)
-            return ids, kinds, [0.0] * len(slots) + [float(cover[i]) for i in flagged]
+            return ids, kinds, shares + [float(cover[i]) for i in flagged]
 
         return work
 

@@ -21,6 +21,7 @@ the upstream server closed the connection. an unexpected error occurred. please
 502 bad gateway. 503 service unavailable. the service is temporarily unavailable. 504 gateway timeout. 429 too many requests. 410 gone.
 the server is overloaded. error code. error id. request id. ray id. incident number.
 traceback most recent call last. file line in render. template not found. unhandled exception. stack trace. application error.
+bad gateway. please try again in some minutes. please come back in a while. we can not show this page right now. check the address and try again.
 oops something went wrong. something went wrong on our side. sorry an error occurred. we are working on the problem.
 the site is down for planned maintenance. we will be back soon. back in a few minutes. this site is currently offline.
 this site can't be reached. the connection timed out. connection refused. too many requests. you have been rate limited.
@@ -112,3 +113,33 @@ se puede borrar la partición pero el servicio la vuelve a crear a los pocos min
 para cada consulta el servicio crea exactamente una entrada. después el nodo retoma la tarea y espera como máximo un minuto.
 sin este valor la instancia queda bloqueada y la orden falla. también conviene comprobar que el servicio mantiene la puerta por debajo del límite.
 """
+
+# Unfilled slots, made by a rule: notations of template languages filled with names and set in
+# sentences; %n is a name with underscores, %w the same with spaces, %U and %W in capitals, %T in title case.
+NOTATIONS = "{{ %n }}|{{%n}}|{{ %n.%n }}|{{%n.%n}}|[[%n]]|[[ %n ]]|<%= %n %>|<%= %n.%n %>|<% %n %>|{% %n %}|{% %n %n %}|@@%n@@|${%n}|${%n.%n}|#{%n}|%%%n%%|%%U%|__%U__|XXX%UXXX|[Insert %n here]|[INSERT %W]|[Your %T]|[your %w]|[Add %w]|[%W]|[%U]|<your-%n>|<%n-goes-here>|<%n here>|<%U>".split("|")
+SLOT_NAMES = "name|year|team|owner|url|release_date|page_title|support_email|user_first_name|date2|x1".split("|")
+SLOT_FRAMES = "%s|# %s|Ask %s for it.|The %s page, by %s|Welcome to %s!|See %s: more|mail (%s) or call|by %s, %s|**%s** is out|> %s".split("|")
+
+# Marks in prose that are no slots.
+MARKS = """
+see [the guide](https://host.example/a-b/c_d?x=1) and [Part Two](../other/page.md#top) for more
+![a picture](images/one.png) [![build](https://ci.example/badge.svg)](https://ci.example)
+- [ ] open task
+- [x] done task
+as told in the note [1] and in [12], also [^3] and [see below]
+[Guide]: https://host.example/guide
+| name | value | default |
+|------|:-----:|--------:|
+use <br> or <br/> and <div class="note">text</div> with <b>bold</b> and <a href="https://host.example">links</a>
+<https://host.example/path> <someone@host.example>
+**bold text** and __strong__ and *one* and _two_ and ~~three~~
+about 50 % of all, 20% more, 100%. It costs $5 or $10,000 (tax #3)
+write to team@host.example, ask @someone, see #123 and issue #45
+read {a, b, c} as a set; f(x) = {1, 2}; a[0] and list[i] or Map<String, Integer>
+C# and F# and C++ run; a -> b; x => y; 3 < 4 and 5 > 4; a <= b
+&nbsp; &amp; &lt; and [note] in brackets, {curly} too
+# Heading {#anchor}
+> quoted text with a [link][ref] inside
+init is __init__ and a file is my_file__v2.txt
+version 1.2.3 [stable] (2024-01-02) at 10:20:30
+"""

@@ -580,3 +580,25 @@ def test_phones_come_from_anchors():
         assert [text[a:b] for k, a, b in personal.spans_of(text) if k == "phone"] == [number], number
     for text in ("build 555-123-4567", "version 1.2.3.4", "order no. 0301 555 0123", "10.20.30.40:8080", "on 01.02.2024"):
         assert not personal.spans_of(text), text
+
+
+# --- p9: slots and status lines by the models ---
+
+
+def test_slots_are_windows_of_their_model():
+    assert min(residue.slot_likeness(line) for line in residue.slot_examples()) >= residue.SLOT_LEAST
+    held_out = ["Contact {{ billing_contact }} today", "# About <%= shop.city %>", "Yours, [Your Signature]", "__PARTNER__ and we", "by %REGION_NAME%", "the @@plan@@ plan", "Dear <customer-name-goes-here>,", "See [[terms_of_use]] for it"]
+    assert [x for x in held_out if not residue.slot_coverage(x) > 0.2] == []
+    sound = ["See [the docs](https://h.example/a_b) and [1]", "- [x] done", "use __init__ and <br>", "Costs 50 % of $10", "[NOTE] read this", "List<String> and {a, b}", "![image](a_b.png)"]
+    assert [x for x in sound if residue.slot_coverage(x)] == []
+
+
+def test_status_lines_and_notices_in_other_words(spark):
+    bad = [
+        "404 Not Found", "HTTP ERROR 503", "Traceback (most recent call last)\n  File \"x.py\", line 3, in render\nTemplateError: page not found", "# 502\n\nBad gateway. Please try again in some minutes.",
+        "Sorry, this page could not be found. Check the address or go back to the start page.", "You need to turn on JavaScript in your browser in order to see this page.", "Lorem ipsum dolor sit amet, consectetur adipiscing elit, sed do eiusmod tempor.",
+    ]
+    good = ["The client gets a 404 when the route is missing; add it to the table and reload the workers to see it served.", "A traceback shows the calls of a failed job. Read it from the last line, which names the error, up to your own code.", "Rooms 401 to 410 are cooled by one unit."]
+    df = spark.createDataFrame([(n, x) for n, x in enumerate(bad + good)] + [(50, None), (51, ""), (52, " ")], "doc_id bigint, text string")
+    assert {r["doc_id"] for r in residue.find_residue(df).collect()} == set(range(len(bad)))
+    assert all(0 < r["coverage"] <= 1 for r in residue.find_residue(df).collect())
