@@ -183,7 +183,8 @@ def lex(line: str, outer: str = "") -> list[Token]:
         m = None if line.startswith("-p", at) and _GLUED.match(line, at) else _KEY.match(line, at)
         if m:
             after = _OP.match(line, m.end())
-            if after and after[1] in ("=", "==") and len(m[0]) >= 8 and _PADDED.match(line, m.end()):
+            opens = after and after.end() < n and line[after.end()] in _QUOTES and line.find(line[after.end()], after.end() + 1) > 0
+            if after and after[1] in ("=", "==") and len(m[0]) >= 8 and not opens and _PADDED.match(line, m.end()):
                 end = m.end() + len(after[1])
                 out.append(Token("word", line[at:end], at, end, key))
                 at = end
@@ -285,12 +286,14 @@ _PLACEHOLDER = re.compile(
 )
 _PREFIX = re.compile(
     r"^(?:gh[oprsu]_|github_pat_|glpat-|xox[abeoprs]-|sk_(?:live|test)_|pk_live_|rk_live_|sk-|hf_|npm_|pypi-|SG\.|eyJ[\w-]|hvs\.|hvb\.|AIza|A[KS]IA[A-Z0-9]|ya29\.|dop_v1_|dckr_pat_|"
-    r"shp(?:at|ss)_|sq0|EAAC|lin_api_|key-|whsec_|s3cr-|tfp_|nvapi-|rubygems_|AGE-SECRET-KEY)"
+    r"shp(?:at|ss)_|sq0|EAAC|lin_api_|key-|whsec_|tfp_|nvapi-|rubygems_|AGE-SECRET-KEY)"
 )
 _HEX = re.compile(r"^(?:0x)?[0-9a-fA-F]+$")
 _UUID = re.compile(r"^[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$")
 _SHA = re.compile(r"(?i)^(?:sha\d{1,3}|md5|blake2?[bs]?\d*)[:-]")
 _PATH = re.compile(r"^(?:~|\.{1,2})?/[\w./-]+$|^[A-Za-z]:\\")
+_MAIL = re.compile(r"^(?:mailto:)?[\w.+-]+@[\w-]+(?:\.[\w-]+)+(?:[:/.]\S*)?$")
+_EXTENSION = re.compile(r"\.[A-Za-z]{1,5}$")
 _NUMBER = re.compile(r"^[-+]?\d[\d_.,]*[a-zA-Z%]{0,2}$")
 _B64 = re.compile(r"^[A-Za-z0-9+/]{4,}={0,2}$")
 
@@ -324,8 +327,10 @@ def value_class(text: str, key: str = "") -> str:
     """The shape of a value: a reference, a placeholder, a digest, a known prefix or a mix of characters."""
     if not text:
         return "empty"
-    if len(text) > 1 and len(set(text)) == 1:
+    if len(text) > 1 and len(set(text)) == 1 or not any(map(str.isalnum, text)):
         return "mask"
+    if "@" in text and _MAIL.match(text):
+        return "mail"
     if _REFERENCES.search(text):
         return "ref"
     if _PREFIX.match(text) and len(text) >= 12:
@@ -334,11 +339,11 @@ def value_class(text: str, key: str = "") -> str:
         return "placeholder"
     if _UUID.match(text):
         return "uuid"
-    if _SHA.match(text):
+    if _SHA.match(text) or "@sha" in text:
         return "sha"
     if _NUMBER.match(text):
         return "number"
-    if _PATH.match(text) and ("." in text or text.count("/") > 1) and not re.search(r"[A-Z0-9]{6}", text):
+    if _PATH.match(text) and (_EXTENSION.search(text) or ("." in text or text.count("/") > 1) and not re.search(r"[A-Z0-9]{6}", text)):
         return "path"
     if _HEX.match(text) and len(text) >= 16:
         return "hex32" if len(text) == 32 else "hex40" if len(text) == 40 else "hex64" if len(text) == 64 else "hex"
@@ -365,13 +370,32 @@ _CUE_WORDS = frozenset(
 )
 
 
+# Calls that take a user and a password by their places.
+_LOGIN_CALLS = frozenset("connect login authenticate auth signin sign_in logon basicauth httpbasicauth basic_auth httpdigestauth client session connection createconnection create_connection dial open_session simpleclient".split())
+
+
+# What may stand between the word for a login and its user.
+_IS = frozenset("is are was for : = ist est es".split())
+
+
+def _call_of(token: Token) -> bool:
+    """Whether a token names a call that takes a password by its place."""
+    name = re.split(r"[.:>]+", token.text.rstrip("("))[-1].lower()
+    return name in _LOGIN_CALLS
+
+
 def features_of(tokens: list[Token], comment: bool = False) -> list[list[str]]:
-    """Features of every token: its kind, shape, key and neighbours."""
+    """Features of every token: its kind, shape, key and neighbours, and its place in a call that logs in."""
     kinds = [t.kind for t in tokens]
     keys = [key_class(t.key) if t.kind not in ("key", "op") else "" for t in tokens]
     shapes = [value_class(t.text, t.key) if t.kind in ("val", "word", "pass", "user") else "" for t in tokens]
     out = []
+    place = -1  # of an argument within such a call
     for i, t in enumerate(tokens):
+        if t.kind in ("word", "val", "key") and _call_of(t):
+            place = 0
+        elif place >= 0:
+            place = place + 1 if t.kind == "val" or t.kind == "word" and t.text.isdigit() else -1
         own = ["bias", f"kind={t.kind}"]
         if t.kind == "pem":
             own.append("pem=private" if "PRIVATE" in t.text else "pem=other")
@@ -387,12 +411,14 @@ def features_of(tokens: list[Token], comment: bool = False) -> list[list[str]]:
             two = tokens[i - 2].text.lower() if i > 1 else "^"
             if t.kind in ("word", "val"):
                 cue = before if before in _CUE_WORDS else two if two in _CUE_WORDS and before in ("is", "=", ":", "ist", "est", "es", "of", "for", "/") else ""
-                if not cue and before == "/" and any(x.text.lower() in ("login", "account", "credentials") for x in tokens[max(0, i - 6) : i]):
-                    cue = "login/"
+                if not cue and before == "/":
+                    cue = next((f"login/{tokens[j + 1].text.lower() in _IS}" for j in range(max(0, i - 6), i - 1) if tokens[j].text.lower().rstrip(":") in ("login", "account", "credentials")), "")
                 if cue:
                     own += ["cue", f"cue={cue}", f"cue+shape={shape}"]
                 if before in ("bearer", "basic"):
                     own.append(f"scheme+shape={shape}")
+            if place > 0:
+                own += [f"arg={min(place, 4)}", f"arg+shape={min(place, 4)}+{shapes[i]}", f"arg+last={i + 1 == len(tokens)}"]
             if i and kinds[i - 1] == "word" and tokens[i - 1].text == "+":
                 own.append("joined")
         if i == 0:
@@ -412,40 +438,75 @@ _STEMS = (
 )
 _PREFIXES = (
     "ghp_ gho_ ghs_ ghr_ ghu_ github_pat_ glpat- xox sk_live_ sk_test_ pk_live_ rk_live_ sk- hf_ npm_ pypi- sg. eyj hvs. hvb. aiza akia asia ya29. dop_v1_ dckr_pat_ "
-    "shpat_ shpss_ sq0 eaac lin_api_ whsec_ s3cr- tfp_ nvapi- rubygems_"
+    "shpat_ shpss_ sq0 eaac lin_api_ whsec_ tfp_ nvapi- rubygems_"
 ).split()
 _CUES = sorted({*_STEMS, *(w for w in _CUE_WORDS if not w.startswith("-")), *_PREFIXES, "account", "curl", "wget", "mysql", "mariadb", "redis-cli", "smbclient", "htpasswd", "ldapsearch", "://", "-----begin"})
-# The same on a line: a stem at a place where a name can have it. Each part is a test that key_class
-# or features_of make of a token, without the rest of the token.
-_CANDIDATE = re.compile(
-    r"(?i:-----BEGIN|://[^\s:/@\"'`<>]*:[^\s/\"'`<>]+@|" + "|".join(s for s in _STEMS if len(s) > 3) + r"|pwd|mdp|psk)"
-    r"|(?:(?<![A-Za-z])|(?<=[a-z])(?=[A-Z]))(?i:pw|pem|otp|pin)(?:(?![A-Za-z])|(?<=[a-z])(?=[A-Z]))|(?i:key)"
-    r"|(?i:basic|login|account|curl|wget|mysql|mariadb|redis-cli|smbclient|htpasswd|ldapsearch)"
-    r"|(?<![A-Za-z0-9])(?i:" + "|".join(map(re.escape, _PREFIXES)) + r")"
-)
-# Values of high entropy need no name: long, of at least two classes of characters.
-_LONG = re.compile(r"[\w+/=-]{16,}")
+_SHORT_STEMS = frozenset("pw pwd pem otp pin psk mdp".split())
+_PASS_AT = re.compile(r"(?i:pass(?:w(?:or)?d|wort|phrase|code|e)?)(?![a-z])")
+_PREFIX_SET = frozenset(_PREFIXES)
+
+
+def _at_name(text: str, cue: str, start: int, end: int) -> bool:
+    """Whether a stem or prefix stands where a name or value can have it, as the features ask.
+
+    Short stems must be whole parts of a name, prefixes begin a token; ``pass`` goes with its compounds.
+    """
+    if cue in _SHORT_STEMS:
+        before, after = text[start - 1 : start], text[end : end + 1]
+        left = not before.isalpha() or before.islower() and text[start].isupper()
+        return left and (not after.isalpha() or after.isupper() and text[end - 1].islower())
+    if cue in _PREFIX_SET:
+        return not (start and text[start - 1].isalnum())
+    return cue != "pass" or bool(_PASS_AT.match(text, start))
+
+
+# Values that need no cue: tokens of eight characters or more with small letters, capitals and digits, or of
+# sixteen or more with letters and digits. Matched from the first digit of a token on, in one pass.
+_MIXED = re.compile(r"(?<![^\s\"'`,;()<>\[\]{}=:])[^\s\"'`,;()<>\[\]{}=:\d]*+\d[^\s\"'`,;()<>\[\]{}]*+")
 
 
 def _dense(text: str) -> bool:
-    return not text.islower() and not text.isupper() and any(map(str.isdigit, text))
+    """Whether a token is a mix that words, paths and numbers are not."""
+    n = len(text)
+    if n < 8:
+        return False
+    small, large = not text.isupper(), not text.islower()
+    return small and large and text.upper() != text.lower() and any(map(str.islower, text)) and any(map(str.isupper, text)) or n >= 16 and any(map(str.isalpha, text))
+
+
+#: Tokens to both sides of one that can be a value that are labelled with it; features look back six at most.
+REACH = 8
+
 
+def _segments(tokens: list[Token]) -> list[tuple[int, int]]:
+    """The parts of a line that the model labels: all around tokens that any feature of a value speaks for.
 
-def _hopeful(tokens: list[Token]) -> bool:
-    """Whether a token can be a value by what the features see: its key's class, a cue, its shape."""
+    A token can be a value if it is a password or block by its form, its key is a secret's, a cue
+    word or name stands before it, it is an argument of a call that logs in, or its characters are mixed.
+    """
+    n, call, out = len(tokens), -1, []
+    cue = slash = -9  # where the last of either stands
     for i, t in enumerate(tokens):
-        if t.kind in ("pass", "pem"):
-            return True
-        if t.kind in ("key", "op"):
-            continue
-        if t.key and key_class(t.key) == "secret" or t.text.lower().strip(":=\"'") in _CUE_WORDS:
-            return True
-        if i and tokens[i - 1].text[-1:] in ":=" and key_class(tokens[i - 1].text.strip(":=")) == "secret":
-            return True
-        if len(t.text) >= 12 and (any(map(str.isdigit, t.text)) or t.text[-1] == "=" or _PREFIX.match(t.text)) and value_class(t.text, t.key) in ("prefix", "random", "hex", "hex32", "hex40", "hex64", "base64"):
-            return True
-    slashes = [i for i, t in enumerate(tokens) if t.text == "/"]
-    return any(x.text.lower() in ("login", "account", "credentials") for i in slashes for x in tokens[max(0, i - 5) : i])
+        word = t.text.lower().strip(":=\"'")
+        if t.kind in ("word", "val", "key") and _call_of(t):
+            call = 0
+        elif call >= 0:
+            call = call + 1 if t.kind == "val" or t.kind == "word" and t.text.isdigit() else -1
+        likely = t.kind in ("pass", "pem")
+        if not likely and t.kind not in ("key", "op"):
+            likely = call > 0 or i - cue <= 2 or i - slash <= 6 and t.text == "/" or bool(t.key) and key_class(t.key) == "secret" or _dense(t.text) and value_class(t.text, t.key) not in ("path", "dotted", "words", "uuid", "sha")
+            likely = likely or bool(i) and tokens[i - 1].text[-1:] in ":=" and key_class(tokens[i - 1].text.strip(":=")) == "secret" or bool(_PREFIX.match(t.text)) or t.text[-1:] == "=" and len(t.text) >= 8
+        if word in _CUE_WORDS:
+            cue = i
+        if word in ("login", "account", "credentials"):
+            slash = i
+        if likely:
+            low, high = max(0, i - REACH), min(n, i + REACH + 1)
+            if out and low <= out[-1][1]:
+                out[-1] = (out[-1][0], high)
+            else:
+                out.append((low, high))
+    return out
 
 
 _NAME_LINE = re.compile(r"^\s*-?\s*name:\s*[\"']?([\w.-]+)[\"']?\s*$")
@@ -484,10 +545,11 @@ def _lex_below(line: str, key: str) -> list[Token] | None:
 def spans_of(text: str, crf: Crf) -> list[tuple[int, int, int]]:
     """(line_no, start, end) of every credential's value in a text, in order.
 
-    Lines that hold a stem of a name, a cue or a prefix (found by an automaton over all at once) or
-    a value of high entropy, and the line behind a bare name, are lexed; those with a token that can
-    be a value by :func:`_hopeful` are labelled. A span begins with a token labelled B and takes in those labelled I. A private key spans its
-    block up to the END line.
+    Every line is labelled by the model that holds a stem of a name, a cue or a prefix (found by an
+    automaton over all at once), a token that is a mix of characters (:func:`_dense`), or the value
+    of a bare name on the line above. A span begins with a token labelled B and takes in those
+    labelled I; of long lines the parts around tokens that can be values are labelled (:func:`_segments`).
+    A private key spans its block up to the END line.
     """
     if not text:
         return []
@@ -499,8 +561,8 @@ def spans_of(text: str, crf: Crf) -> list[tuple[int, int, int]]:
     below: set[int] = set()
     named: set[int] = set()
     stop = -1
-    for end, _ in machine.iter(low):
-        if end > stop:
+    for end, cue in machine.iter(low):
+        if end > stop and _at_name(text, cue, end + 1 - len(cue), end + 1):
             start = text.rfind("\n", 0, end) + 1
             stop = text.find("\n", end)
             stop = len(text) if stop < 0 else stop
@@ -512,8 +574,7 @@ def spans_of(text: str, crf: Crf) -> list[tuple[int, int, int]]:
                 elif (m := _NAME_LINE.match(line)) and key_class(m[1]) == "secret":
                     named.add(stop + 1)
     marked |= below | named
-    dense = {text.rfind("\n", 0, m.start()) + 1 for m in _LONG.finditer(text) if _dense(m[0])}
-    marked |= dense
+    marked |= {text.rfind("\n", 0, m.start()) + 1 for m in _MIXED.finditer(text) if _dense(m[0])}
     out: list[tuple[int, int, int]] = []
     skip = -1
     line_no, counted = 1, 0
@@ -523,8 +584,6 @@ def spans_of(text: str, crf: Crf) -> list[tuple[int, int, int]]:
         stop = text.find("\n", start)
         stop = len(text) if stop < 0 else stop
         line = text[start:stop].rstrip("\r")
-        if start not in below and start not in named and start not in dense and not _CANDIDATE.search(line):
-            continue
         line_no += text.count("\n", counted, start)
         counted = start
         outer = ""
@@ -536,13 +595,13 @@ def spans_of(text: str, crf: Crf) -> list[tuple[int, int, int]]:
         tokens = _lex_below(line, outer) if start in below else None
         if tokens is None:
             tokens = lex(line, outer)
-        if not _hopeful(tokens):
+        if not tokens:
             continue
         if (block := tokens[-1]).kind == "pem":  # the lines of a block hold nothing else, a public one's neither
             m = _PEM_END.search(text, start + block.at)
             skip = m.end() if m else max(stop, _pem_stop(text, stop))
-        labels = crf.decode(features_of(tokens))
-        for token, label in zip(tokens, labels):
+        labelled = [(t, label) for low, high in _segments(tokens) for t, label in zip(tokens[low:high], crf.decode(features_of(tokens[low:high])))]
+        for token, label in labelled:
             if label == "O" or token.end <= token.at:
                 continue
             a, b = start + token.at, start + token.end

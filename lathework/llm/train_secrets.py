@@ -90,7 +90,7 @@ class Maker:
         if kind == 18:
             return self.chars(hexes, 40)
         if kind == 19:
-            return self.pick(("s3cr-", "key-", "prod-", "tok_")) + self.chars(hexes, 24, 28)
+            return self.pick((self.word()[:4] + "-", "key-", "prod-", "tok_")) + self.chars(hexes, 24, 28)
         return self.chars(alnum, 16, 24)
 
     def no_secret(self, name: str) -> str:
@@ -148,6 +148,42 @@ class Maker:
             ]
         return self.pick(forms)
 
+    def noise(self) -> str:
+        """A line without any credential that holds words, numbers and marks like those of lines with one."""
+        r, w = self.rng, self.word
+        ident = self.pick((self.chars(string.ascii_uppercase, 1, 3) + self.chars(string.digits, 6, 9), self.chars(string.digits, 8, 12), self.chars(string.ascii_uppercase + string.digits, 8, 10)))
+        stem = self.pick(("pinned", "passing", "overlapping", "keyed", "signed", "tokenized", "authored", "credited", "compass", "bypass", "keyboard", "monkey", "secretary", "mapping", "passport", "spinning"))
+        code = self.pick((f"v{r.randint(1, 9)}Beta{r.randint(1, 99)}", f"Node{r.randint(1, 99)}Pool", f"Model{self.chars(string.digits, 2, 4)}Xl", f"HTTP2Server", f"Base64Decoder", f"Utf8String", f"Md5Sum"))
+        return self.pick(
+            (
+                f"The image is {w()}-{w()}@sha256:{self.chars('0123456789abcdef', 24)} in build {self.chars(string.digits, 4)}-{r.randint(10, 99)}.", f"Prompt shows {w()}@{w()}-{r.randint(1, 9)}:~$ on each host.", f"VERSION {r.randint(1, 999)} MOVED IT INTO `/{w().upper()}/{w().upper()}-{w().upper()}.TOML`.",
+                f"see https://{w()}.test/{w()}/{self.chars(string.ascii_letters + string.digits, 6, 12)} and {w()}/{w().capitalize()}{r.randint(1, 99)}.py:{r.randint(1, 999)}", f"  {self.pick(('tls.key', 'ca.crt', 'password', 'api_key', w()))}: {self.pick(('|', '>-', '|-', '>'))}", f"MAIL {w().upper()}.{w().upper()}{r.randint(10, 99)}@{w().upper()}.TEST", f"{self.pick(('mailto:', '', 'Contact: ', 'write to ', 'by '))}{w()}.{w()}@{w()}.{w()}.example{self.pick(('', '.', '.net', '.ORG'))} {w()}s the {stem} {w()}.", f"git@{w()}.test:{w()}/{w()}-{w()}.git", f"mail {w()}.{w()}{r.randint(10, 99)}@{w()}.test or port {w()}.test:{r.randint(1000, 9999)}",
+                f'raise ValueError("{stem} {w()} {w()} too large")', f'    throw new Error("{stem} {w()} is missing");', f"Passport: {ident}", f"# test applicant: Passport: {ident}", f"The row that breaks {w()}-{w()} has Passport: {ident} in it.", f"Tax id {ident}, order no. {r.randint(10**6, 10**8)}.",
+                f'  "service": "{w()}-{w()}",', f'"{w()}": "{stem} {w()}",', f"I'm sorry, but I can't help with {w()}-{w()}.", f"It isn't {stem}, and {w()} doesn't accept {r.randint(1, 999)} calls. [truncated]", f"**{w().capitalize()}-{w()}** keeps the {stem} {w()} below {r.randint(1, 99)}.",
+                f"Use `--{w()}-{w()}-size` with {stem} {w()}s.", f"Address: {w().capitalize()} {r.randint(1, 300)}, {self.chars(string.digits, 5)} {w().capitalize()}. Contact: {w()}@{w()}.test.", f"{code} and {w().capitalize()}{r.randint(1, 9)}{w()} are {stem} in {w()}.", f"import {w()}.{code}", f"class {code}({w().capitalize()}):", f"see {w()}/{code}/{w()}{r.randint(1, 99)}.md",
+                f"print('{code}', 'x')", f"{w()} = {code}({w()}, {r.randint(1, 99)})", f"The {stem} {w()} of {w()}-{w()} returned {r.randint(1, 999)}; {w()} key frames are fine.", f"{w()}。{w().capitalize()}-{w()} {stem}", f'log.info("{stem} %s at {code}", {w()})', f"The driver's licence {ident} is {stem}, please mask it.",
+            )
+        )
+
+    def call(self) -> str:
+        """A call with arguments by their places, the password among them in some."""
+        r, w = self.rng, self.word
+        alnum = string.ascii_letters + string.digits
+        strong = self.pick((self.chars(alnum, 9, 20), self.chars(alnum + "!*^%$_", 10, 16), w().capitalize() + self.chars(string.digits, 3, 5) + self.pick("!?.*#"), "P@" + self.chars(alnum, 8)))
+        q, m = self.pick("'\""), f"{OPEN}{strong}{CLOSE}"
+        user, host, base = self.pick((w(), "admin", "root", "svc_" + w())), self.pick((w(), w() + ".example.net", "10.0.0.7", "db1")), w()
+        login = self.pick(("connect", "db.connect", "pymysql.connect", "client.login", "login", "session.authenticate", "smtp.login", "ftp.login", "HTTPBasicAuth", "new Client", "imap.login", "api.signIn"))
+        start = self.pick(("", f"{w()} = ", "return ", "await ", "    ", f"const {w()} = "))
+        end = self.pick(("", ";", ")", "  # " + w()))
+        other = self.pick(("create", "resize", "move", "copy", "print", "log.info", "assertEqual", "f", "set_range", "client.get"))
+        return self.pick(
+            (
+                f"{start}{login}({q}{host}{q}, {q}{user}{q}, {q}{m}{q}){end}", f"{start}{login}({q}{user}{q}, {q}{m}{q}){end}", f"{start}{login}({q}{host}{q}, {q}{user}{q}, {q}{m}{q}, {q}{base}{q}){end}", f"{start}{login}({q}{host}{q}, 3306, {q}{user}{q}, {q}{m}{q}){end}",
+                f"requests.get(url, auth=({q}{user}{q}, {q}{m}{q}))", f"{start}{login}({q}{host}{q}, {q}{user}{q}, os.environ[{q}{w().upper()}{q}]){end}", f"{start}{login}({q}{host}{q}, {q}{user}{q}){end}", f"{start}{login}({q}{user}{q}, getpass()){end}",
+                f"{start}{login}({q}{host}{q}, {q}{user}{q}, {q}${{PASS}}{q}){end}", f"{start}{other}({q}{user}{q}, {q}{self.chars(alnum, 9, 14)}{q}, {q}{base}{q}){end}", f"{start}{other}({q}{host}{q}, {r.randint(1, 999)}, {q}{w()}{q}){end}", f"{start}{login}({q}{host}{q}, {q}{self.digest()}{q}){end}" if r.random() < 0.3 else f"{start}{other}({q}{self.digest()}{q})",
+            )
+        )
+
     def sentence(self) -> str:
         """Ordinary technical prose with names, numbers and code spans."""
         w, r = self.word, self.rng
@@ -163,6 +199,12 @@ class Maker:
     def sample(self) -> tuple[str, str]:
         """A line, at times with prose around it on the same line."""
         line, outer = self.line()
+        chance = self.rng.random()
+        if chance < 0.1:
+            line, outer = self.noise(), ""
+        elif chance < 0.12:
+            m = f"{OPEN}{self.chars(string.ascii_letters + string.digits, 16, 40)}{CLOSE}"
+            line, outer = self.pick((f"the value {m} leaked", f"Someone posted {m} in the channel.", f"It printed {m} twice.", f"{m} was found in the log", f"- {m}", f"# {m}", f'"{m}"')), ""
         if self.rng.random() < 0.22:
             line = " ".join([self.sentence() for _ in range(self.rng.randint(0, 2))] + [line.strip()] + [self.sentence() for _ in range(self.rng.randint(0, 2))])
         return line, outer
@@ -208,7 +250,7 @@ class Maker:
                     (f'headers = {{"Authorization": "Bearer {m}"}}', ""), (f'curl -H "Authorization: Bearer {m}" https://{self.word()}.test/v1', ""), (f"Authorization: Bearer {m}", ""), (f"2024-03-11 DEBUG > Authorization: Bearer {m}", ""),
                     (f'headers = {{"X-Auth": "Basic {OPEN}{basic}{CLOSE}"}}', ""), (f"sshpass -p '{m}' ssh {self.word()}@{self.word()}.example.net", ""), (f"sshpass -p {m} ssh {self.word()}@{self.word()}.test uptime", ""),
                     (f"curl -sS -u {self.word()}:{m} https://{self.word()}.test/{self.word()}", ""), (f"machine {self.word()}.test login {self.word()} password {m}", ""), (f"echo 'machine {self.word()}.test login {self.word()} password {m}' >> ~/.netrc", ""),
-                    (f"# temporary login {self.word()} / password {m}", ""), (f"My key is {m} if you want to try it.", ""), (f"The password is {m} for now.", ""), (f"log in as {self.word()} with password {m}", ""), (f"I sign in to {self.word()}.test as {self.word()} with the password {m} and it works.", ""), (f"# old password: {m}", ""), (f"The staging login is {self.word()} / {m} until Monday.", ""), (f"login for {self.word()}: {self.word()} / {m}", ""),
+                    (f"# temporary login {self.word()} / password {m}", ""), (f"login {self.word()} / password {m}", ""), (f"user {self.word()}, password {m}", ""), (f"My key is {m} if you want to try it.", ""), (f"The password is {m} for now.", ""), (f"log in as {self.word()} with password {m}", ""), (f"I sign in to {self.word()}.test as {self.word()} with the password {m} and it works.", ""), (f"# old password: {m}", ""), (f"The staging login is {self.word()} / {m} until Monday.", ""), (f"login for {self.word()}: {self.word()} / {m}", ""),
                     (f"mysql -h {self.word()}.test -u{self.word()} -p{m} {self.word()}", "") if not word.startswith("-") else (f"use token {m}", ""), (f"docker login {self.word()}.test -u {self.word()} -p {m}", ""),
                     (f"The login page is {self.word()} / {self.word()} of the site.", ""), (f"docker run -p 8080:80 {self.word()}", ""), (f"mkdir -p /srv/{self.word()}/{self.word()}", ""), (f"use token {m} until friday", ""),
                     (f'headers = {{"Authorization": "Bearer {fake}"}}', ""), (f'curl -H "Authorization: Bearer {fake}" https://{self.word()}.test', ""), (f"sshpass -p \"$PASS\" ssh {self.word()}@{self.word()}.test", ""), (f"curl -u {self.word()}:$PASS https://{self.word()}.test", ""),
@@ -224,7 +266,9 @@ class Maker:
             label = self.pick(("PUBLIC KEY", "CERTIFICATE", "RSA PUBLIC KEY", "PGP PUBLIC KEY BLOCK", "CERTIFICATE REQUEST", "SSH2 PUBLIC KEY"))
             body = f"-----BEGIN {label}-----"
             return self.pick(((body, ""), ("    " + body, "ca.crt"), (f'CA = """{body}', ""), (f'KEY = "{body}\\n{self.chars(string.ascii_letters, 40)}\\n-----END {label}-----\\n"', "")))
-        if kind < 0.975:
+        if kind < 0.965:
+            return self.call(), ""
+        if kind < 0.98:
             name = self.pick(SECRET_NAMES)
             n, u = name, name.upper()
             return self.pick(
@@ -259,7 +303,7 @@ def labelled(marked: str, outer: str) -> tuple[list[list[str]], list[str]]:
     return features_of(tokens), labels
 
 
-def build(count: int = 9000, seed: int = 11) -> Crf:
+def build(count: int = 26_000, seed: int = 11) -> Crf:
     maker = Maker(seed)
     return train([labelled(*maker.sample()) for _ in range(count)], ("O", "B", "I"), epochs=8).constrain("I", ("B", "I"))
 

@@ -602,3 +602,38 @@ def test_status_lines_and_notices_in_other_words(spark):
     df = spark.createDataFrame([(n, x) for n, x in enumerate(bad + good)] + [(50, None), (51, ""), (52, " ")], "doc_id bigint, text string")
     assert {r["doc_id"] for r in residue.find_residue(df).collect()} == set(range(len(bad)))
     assert all(0 < r["coverage"] <= 1 for r in residue.find_residue(df).collect())
+
+
+# --- p2: what reaches the model ---
+
+
+def test_values_without_a_cue_reach_the_model():
+    crf = secrets.default_model()
+    for line, value in (
+        ("connect('db1', 'root', 'Xk29sldkfjQ2zz!')", "Xk29sldkfjQ2zz!"), ('client.login("admin", "Hunter2Blue!")', "Hunter2Blue!"), ('db = pymysql.connect("h", 3306, "svc", "pW3kd92kQz")', "pW3kd92kQz"),
+        ('client = connect("a.example", user="bob", smtp_password="pihknxxe")', "pihknxxe"), ("SIGNING_KEY='537afe74169e2fae9d66d4309f16f857'", "537afe74169e2fae9d66d4309f16f857"),
+    ):
+        assert [line[a:b] for _, a, b in secrets.spans_of(line, crf)] == [value], line
+    for line in ("connect('db1', 'root', os.environ['PW'])", 'raise ValueError("pinned runner lockfile too large")', "Passport: XF9926306", '  "service": "askrudask-beacon",', "login('bob')", "checksum='c004ecb7a9de7ab0f8024cc34fdf3709255a9093'"):
+        assert not secrets.spans_of(line, crf), line
+
+
+def test_the_filter_loses_no_line_of_the_trainer():
+    """Recall of the line filter: invented lines with a credential that are given to the model."""
+    maker, reached, all_ = train_secrets.Maker(321), 0, 0
+    seen = []
+
+    class Watch:
+        def decode(self, features):
+            seen.append(1)
+            return ["O"] * len(features)
+
+    for _ in range(3000):
+        line, outer = maker.sample()
+        if train_secrets.OPEN in line:
+            plain = line.replace(train_secrets.OPEN, "").replace(train_secrets.CLOSE, "")
+            seen.clear()
+            secrets.spans_of((f"name: {outer}\n" if outer else "") + plain, Watch())
+            all_ += 1
+            reached += bool(seen)
+    assert all_ > 1000 and reached >= 0.995 * all_
