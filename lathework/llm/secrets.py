@@ -109,7 +109,7 @@ def lex(line: str, outer: str = "") -> list[Token]:
         c = line[at]
         if c.isspace() or c in "(){}[],;":
             at += 1
-            if c in ",;({[":
+            if c in ",;({[" and not (c in "([" and out and out[-1].kind == "op"):
                 key = ""
             continue
         if c == "-" and (m := _PEM.match(line, at)):
@@ -157,7 +157,7 @@ def lex(line: str, outer: str = "") -> list[Token]:
                 at = after.end()
                 at = assigned(line, at, key, value, out, n)
                 continue
-            if not out or out[-1].kind != "op":
+            if not out or out[-1].kind != "op" or line[at - 1] in "([{ ":
                 joined = bool(out) and out[-1].text == "+" and len(out) > 1
                 if (c == "`" or " " in inside.strip()) and not _SCHEME_WORD.match(inside) and not joined and (_OP.search(inside) or re.search(r"(?i)passw|token|secret", inside)):
                     for t in lex(inside):
@@ -394,7 +394,7 @@ def features_of(tokens: list[Token], comment: bool = False) -> list[list[str]]:
     for i, t in enumerate(tokens):
         if t.kind in ("word", "val", "key") and _call_of(t):
             place = 0
-        elif place >= 0:
+        elif place >= 0 and t.kind != "op":
             place = place + 1 if t.kind == "val" or t.kind == "word" and t.text.isdigit() else -1
         own = ["bias", f"kind={t.kind}"]
         if t.kind == "pem":
@@ -440,7 +440,7 @@ _PREFIXES = (
     "ghp_ gho_ ghs_ ghr_ ghu_ github_pat_ glpat- xox sk_live_ sk_test_ pk_live_ rk_live_ sk- hf_ npm_ pypi- sg. eyj hvs. hvb. aiza akia asia ya29. dop_v1_ dckr_pat_ "
     "shpat_ shpss_ sq0 eaac lin_api_ whsec_ tfp_ nvapi- rubygems_"
 ).split()
-_CUES = sorted({*_STEMS, *(w for w in _CUE_WORDS if not w.startswith("-")), *_PREFIXES, "account", "curl", "wget", "mysql", "mariadb", "redis-cli", "smbclient", "htpasswd", "ldapsearch", "://", "-----begin"})
+_CUES = sorted({*_STEMS, *(w for w in _CUE_WORDS if not w.startswith("-")), *_PREFIXES, *(f"{call}(" for call in _LOGIN_CALLS), "account", "curl", "wget", "mysql", "mariadb", "redis-cli", "smbclient", "htpasswd", "ldapsearch", "://", "-----begin"})
 _SHORT_STEMS = frozenset("pw pwd pem otp pin psk mdp".split())
 _PASS_AT = re.compile(r"(?i:pass(?:w(?:or)?d|wort|phrase|code|e)?)(?![a-z])")
 _PREFIX_SET = frozenset(_PREFIXES)
@@ -490,11 +490,11 @@ def _segments(tokens: list[Token]) -> list[tuple[int, int]]:
         word = t.text.lower().strip(":=\"'")
         if t.kind in ("word", "val", "key") and _call_of(t):
             call = 0
-        elif call >= 0:
+        elif call >= 0 and t.kind != "op":
             call = call + 1 if t.kind == "val" or t.kind == "word" and t.text.isdigit() else -1
         likely = t.kind in ("pass", "pem")
         if not likely and t.kind not in ("key", "op"):
-            likely = call > 0 or i - cue <= 2 or i - slash <= 6 and t.text == "/" or bool(t.key) and key_class(t.key) == "secret" or _dense(t.text) and value_class(t.text, t.key) not in ("path", "dotted", "words", "uuid", "sha")
+            likely = call > 0 or i - cue <= 3 or i - slash <= 6 and t.text == "/" or bool(t.key) and key_class(t.key) == "secret" or _dense(t.text) and value_class(t.text, t.key) not in ("path", "dotted", "words", "uuid", "sha")
             likely = likely or bool(i) and tokens[i - 1].text[-1:] in ":=" and key_class(tokens[i - 1].text.strip(":=")) == "secret" or bool(_PREFIX.match(t.text)) or t.text[-1:] == "=" and len(t.text) >= 8
         if word in _CUE_WORDS:
             cue = i

@@ -179,7 +179,7 @@ class Maker:
         return self.pick(
             (
                 f"{start}{login}({q}{host}{q}, {q}{user}{q}, {q}{m}{q}){end}", f"{start}{login}({q}{user}{q}, {q}{m}{q}){end}", f"{start}{login}({q}{host}{q}, {q}{user}{q}, {q}{m}{q}, {q}{base}{q}){end}", f"{start}{login}({q}{host}{q}, 3306, {q}{user}{q}, {q}{m}{q}){end}",
-                f"requests.get(url, auth=({q}{user}{q}, {q}{m}{q}))", f"{start}{login}({q}{host}{q}, {q}{user}{q}, os.environ[{q}{w().upper()}{q}]){end}", f"{start}{login}({q}{host}{q}, {q}{user}{q}){end}", f"{start}{login}({q}{user}{q}, getpass()){end}",
+                f"requests.get(url, auth=({q}{user}{q}, {q}{m}{q}))", f"{start}auth = ({q}{user}{q}, {q}{m}{q}){end}", f"api_keys = [{q}{m}{q}]", f"names = [{q}{user}{q}, {q}{base}{q}]", f"tokens = [{q}{base}{q}, {q}{user}{q}]", f"{start}{login}({q}{host}{q}, {q}{user}{q}, os.environ[{q}{w().upper()}{q}]){end}", f"{start}{login}({q}{host}{q}, {q}{user}{q}){end}", f"{start}{login}({q}{user}{q}, getpass()){end}",
                 f"{start}{login}({q}{host}{q}, {q}{user}{q}, {q}${{PASS}}{q}){end}", f"{start}{other}({q}{user}{q}, {q}{self.chars(alnum, 9, 14)}{q}, {q}{base}{q}){end}", f"{start}{other}({q}{host}{q}, {r.randint(1, 999)}, {q}{w()}{q}){end}", f"{start}{login}({q}{host}{q}, {q}{self.digest()}{q}){end}" if r.random() < 0.3 else f"{start}{other}({q}{self.digest()}{q})",
             )
         )
