@@ -13,6 +13,7 @@ from lathework.functions.code import FENCE
 from lathework.functions.keys import pick
 from lathework.functions.text import Name, col, or_empty, strip
 from lathework.functions.titles import vary_instruction
+from lathework.session import broadcast_small
 
 # Texts of this library, by style and domain.
 OPENERS = ("Happy to help with that. ", "Here is how I would approach it. ", "This comes up often. ", "Let's keep it small and clear. ")
@@ -122,7 +123,7 @@ def preference_pairs(df: DataFrame, key: str = "key", domain: str = "domain") ->
     """One pattern of its domain for every record that has one, drawn from the key."""
     spark = df.sparkSession
     known = patterns(spark).groupBy("domain").agg(F.sort_array(F.collect_list(F.struct("prompt", "chosen", "rejected", "category", "severity"))).alias("all"))
-    joined = df.select(df[key].alias("key"), df[domain].alias("domain"), df["instruction"]).join(F.broadcast(known), "domain")  # a dozen rows
+    joined = df.select(df[key].alias("key"), df[domain].alias("domain"), df["instruction"]).join(broadcast_small(known), "domain")
     digest = F.conv(F.substring(F.md5(F.concat(F.lit("pattern"), F.col("key").cast("string")).cast("binary")), 1, 8), 16, 10).cast("bigint")
     chosen = F.get(F.col("all"), F.pmod(digest, F.size("all")).cast("int"))
     return joined.select("key", "domain", F.col("instruction").alias("prompt"), chosen["chosen"].alias("chosen"), chosen["rejected"].alias("rejected"), chosen["category"].alias("category"), chosen["severity"].alias("severity"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lathework.functions.web import code_blocks_of, content_select, detect_language, html_title, links_of, netloc, normalize_url, should_follow, urljoin
-from lathework.session import cut_lineage
+from lathework.session import BROADCAST_ROWS, cut_lineage
 
 MAX_DEPTH = 4
 
@@ -82,9 +82,19 @@ def resume(links: DataFrame, visited: DataFrame, host: str | None = None) -> Dat
     return near.join(visited.select("url"), "url", "left_anti")
 
 
-def allowed(links: DataFrame, visited: DataFrame, forbidden: DataFrame, host: str, url: str = "url") -> DataFrame:
-    """Urls of the host that were not visited and lie under no forbidden prefix (host, prefix)."""
+def allowed(links: DataFrame, visited: DataFrame, forbidden: DataFrame, host: str, url: str = "url", most: int = BROADCAST_ROWS) -> DataFrame:
+    """Urls of the host that were not visited and lie under no forbidden prefix (host, prefix).
+
+    Up to ``most`` prefixes of the host are broadcast; more are joined by the beginnings of the path
+    of the lengths that prefixes have.
+    """
     mine = links.where(netloc(url) == host).join(visited.select("url"), url, "left_anti")
-    barred = forbidden.where(F.col("host") == host).select("prefix")
+    barred = forbidden.where(F.col("host") == host).select("prefix").distinct()
     path = F.regexp_extract(mine[url], r"^[a-z]+://[^/]*(/[^?#]*)", 1)
-    return mine.join(F.broadcast(barred), F.startswith(path, barred["prefix"]), "left_anti")  # a few lines of one host's rules
+    if barred.limit(most + 1).count() <= most:
+        return mine.join(F.broadcast(barred), F.startswith(path, barred["prefix"]), "left_anti")
+    lengths = barred.agg(F.collect_set(F.length("prefix")).alias("lengths"))  # one row, as many as a url has characters
+    begins = mine.select(mine[url].alias("_url"), path.alias("_path")).distinct().crossJoin(lengths)
+    begins = begins.select("_url", "_path", F.explode(F.filter("lengths", lambda n: n <= F.length("_path"))).alias("n"))
+    under = begins.select("_url", F.substring("_path", F.lit(1), F.col("n")).alias("prefix")).join(barred, "prefix").select("_url").distinct()
+    return mine.join(under, mine[url] == under["_url"], "left_anti")

@@ -13,6 +13,7 @@ from lathework.operators import augment, dedup, evaluate, extract, filters, form
 from lathework.operators.components import components
 from lathework.plans import sqlparts as q
 from lathework.plans.tables import table
+from lathework.session import broadcast_small
 from lathework.sources import files
 from lathework.streaming import monitor
 
@@ -520,7 +521,7 @@ def join_visited_anti(spark, sf_dir):
 @named("join_domain_practice", "SELECT seq, CASE seq % 5 WHEN 0 THEN 3 WHEN 1 THEN 3 WHEN 2 THEN 2 WHEN 3 THEN 2 ELSE 0 END AS tips FROM (SELECT pair_id AS seq FROM qa_pairs)")
 def join_domain_practice(spark, sf_dir):
     tips = spark.createDataFrame([(d, len(t)) for d, t in augment.TIPS.items()], "domain string, tips int")
-    return _domains(spark, sf_dir).select("seq", "domain").join(F.broadcast(tips), "domain", "left").select("seq", F.coalesce("tips", F.lit(0)).alias("tips"))  # a row a domain
+    return _domains(spark, sf_dir).select("seq", "domain").join(broadcast_small(tips), "domain", "left").select("seq", F.coalesce("tips", F.lit(0)).alias("tips"))
 
 
 @named("set_union_all", "SELECT source, count(*) AS n FROM (SELECT source FROM qa_pairs UNION ALL SELECT source FROM documents) GROUP BY source")

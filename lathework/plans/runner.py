@@ -15,6 +15,7 @@ from lathework.operators.dedup import dual_greedy, near_recent
 from lathework.operators.extract import markdown_samples, python_samples, rst_samples
 from lathework.operators.filters import quality_reason
 from lathework.operators.formats import alpaca, chatml, sharegpt
+from lathework.sources import registry
 from lathework.sources.files import git_source
 
 SAMPLE_COLUMNS = ("seq", "instruction", "input", "output", "source")
@@ -29,11 +30,23 @@ class Run:
     frames: dict[str, DataFrame] = field(default_factory=dict)
 
 
+def collect(run: Run) -> str:
+    """Pairs of all enabled sources that name a ``collector`` (with its ``options`` and ``limit``)."""
+    named = [s for s in run.config.enabled_sources() if "collector" in s]
+    for source in named:
+        pairs = registry.create(source["collector"], **{k: str(v) for k, v in source.get("options", {}).items()}).run(run.spark, int(source.get("limit", 0)))
+        pairs = pairs.select(F.lit(source["name"]).alias("source"), F.col("source").alias("place"), "instruction", "input", "output")
+        run.frames["more"] = run.frames["more"].unionByName(pairs, allowMissingColumns=True) if "more" in run.frames else pairs
+    return f"{len(named)} collectors"
+
+
 def extract(run: Run) -> str:
-    """Samples of all enabled sources (each with ``name``, ``paths`` and ``type``)."""
+    """Samples of all enabled sources that are trees (each with ``name``, ``paths`` and ``type``)."""
     parts = []
     e = run.config.extraction
     for source in run.config.enabled_sources():
+        if "collector" in source:
+            continue
         kind = source.get("type", "python")
         files = git_source(run.spark, source["name"], list(source.get("paths", [])), kind).withColumnRenamed("path", "key")
         files = files.withColumn("path", F.col("key"))
@@ -44,7 +57,10 @@ def extract(run: Run) -> str:
         part = F.col("part") if "part" in found.columns else F.col("block_no")
         parts.append(found.select(F.lit(source["name"]).alias("source"), F.concat_ws(":", "key", part.cast("string")).alias("place"), "instruction", "input", "output"))
     if not parts:
-        raise ValueError("no enabled source")
+        if "more" not in run.frames:
+            raise ValueError("no enabled source")
+        run.frames["samples"] = run.frames.pop("more")
+        return "collected alone"
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -92,7 +108,7 @@ def assemble(run: Run) -> str:
     return layout
 
 
-STAGES: dict[str, Callable[[Run], str]] = {"extract": extract, "combine": combine, "quality": quality, "dedupe": dedupe, "assemble": assemble}
+STAGES: dict[str, Callable[[Run], str]] = {"collect": collect, "extract": extract, "combine": combine, "quality": quality, "dedupe": dedupe, "assemble": assemble}
 LOG = "stage string, success boolean, duration double, message string"
 
 
@@ -105,6 +121,8 @@ def run_stages(run: Run, only: Iterable[str] | None = None, skip: Iterable[str]
     for name, stage in STAGES.items():
         if only is not None and name not in only or name in skip:
             continue
+        if name == "collect" and not any("collector" in s for s in run.config.enabled_sources()):
+            continue  # nothing to collect, no line in the log
         began = time.time()
         try:
             message = stage(run)

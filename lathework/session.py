@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -60,3 +61,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = shared_folder(df.sparkSession, "table")
     df.write.option("compression", "lz4").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Rows up to which a side of a join is broadcast; they are counted first.
+BROADCAST_ROWS = 100_000
+
+
+def broadcast_small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` marked for a broadcast if it has at most ``most`` rows, else as it is."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df

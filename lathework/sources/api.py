@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from lathework.session import broadcast_small
+
 QUESTION = (
     "question struct<question_id:bigint,title:string,body:string,score:int,tags:array<string>,link:string>, "
     "answers array<struct<answer_id:bigint,body:string,score:int,is_accepted:boolean>>, tag string"
@@ -198,7 +200,7 @@ def found_repositories(found: DataFrame, queries: DataFrame, least_stars: int =
     ``queries`` has (query, query_no). A name counts for the first query that has it, and there
     where it stands first; then the first ``most`` of every query by page and position are kept.
     """
-    rows = found.where((F.col("stars") >= least_stars) & F.col("full_name").isNotNull()).join(F.broadcast(queries), "query")  # a configured list
+    rows = found.where((F.col("stars") >= least_stars) & F.col("full_name").isNotNull()).join(broadcast_small(queries), "query")
     first = rows.groupBy("full_name").agg(F.min(F.struct("query_no", "page", "position", "query", "stars")).alias("x")).select("full_name", "x.*")
     rank = F.row_number().over(Window.partitionBy("query").orderBy("page", "position", "full_name"))
     return first.withColumn("n", rank).where(F.col("n") <= most).select("query", "full_name", "stars")

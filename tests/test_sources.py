@@ -146,3 +146,50 @@ def test_no_machine_local_folder_on_a_cluster(monkeypatch):
 
     with pytest.raises(RuntimeError):
         session.ensure_checkpoint_dir(Session())
+
+
+def test_throttle():
+    from lathework.sources.throttle import Busy, Throttle
+
+    now, slept, answers = [0.0], [], [Busy(429), Busy(403, 7.0), "ok"]
+
+    def sleep(seconds):
+        slept.append(seconds)
+        now[0] += seconds
+
+    def fetch(key):
+        answer = answers.pop(0)
+        if isinstance(answer, Exception):
+            raise answer
+        return key + answer
+
+    slow = Throttle(2.0, 3, 10.0, lambda: now[0], sleep)
+    assert slow.call(fetch, "a:") == "a:ok" and slept == [10.0, 7.0]
+    answers[:] = ["b"]
+    assert slow.call(fetch, "") == "b" and slept[2:] == [2.0]
+    answers[:] = [Busy(500)]
+    with pytest.raises(Busy):
+        slow.call(fetch, "")
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from lathework import cli
+
+    assert cli.main(["--list"]) == 0 and "github" in capsys.readouterr().out
+    assert cli.main(["--help-config"]) == 0 and "deduplication.max_repetition: 3" in capsys.readouterr().out
+    (tmp_path / "pairs.jsonl").write_text(json.dumps({"instruction": "What is a lease for?", "input": "", "output": "It says who owns the queue, and until when; whoever holds it may commit.", "source": "s"}) + "\n")
+    (tmp_path / "c.yaml").write_text(f"name: n\nsources: [{{name: mine, collector: jsonl, options: {{path: {tmp_path / 'pairs.jsonl'}}}}}]\n")
+    assert cli.main(["--config", str(tmp_path / "c.yaml"), "--all", "--out", str(tmp_path / "out"), "--format", "alpaca"]) == 0
+    assert spark.read.json(str(tmp_path / "out" / "mine_alpaca")).count() == 1
+    assert cli.main(["--config", str(tmp_path / "c.yaml"), "--stages", "all", "--out", str(tmp_path / "made")]) == 0
+    assert "collect: done" in capsys.readouterr().out and spark.read.json(str(tmp_path / "made" / "n-1")).count() == 1
+
+
+def test_many_forbidden_prefixes(spark):
+    from lathework.operators import linkgraph
+
+    urls = spark.createDataFrame([("http://h/b/x",), ("http://h/c",), ("http://h/bb",), ("http://x/b",)], "url string")
+    none = urls.limit(0)
+    barred = spark.createDataFrame([("h", "/b"), ("h", "/bb"), ("h", "/c/d"), ("x", "/")], "host string, prefix string")
+    few, many = (sorted(r["url"] for r in linkgraph.allowed(urls, none, barred, "h", most=most).collect()) for most in (100, 1))
+    assert few == many == ["http://h/c"]
