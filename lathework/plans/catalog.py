@@ -12,7 +12,7 @@ from lathework.functions import text as tx
 from lathework.operators import augment, dedup, evaluate, extract, filters, formats, linkgraph, qa, reports, sections
 from lathework.operators.components import components
 from lathework.plans import sqlparts as q
-from lathework.plans.tables import table
+from lathework.plans.tables import spread, table
 from lathework.session import broadcast_small
 from lathework.sources import files
 from lathework.streaming import monitor
@@ -46,7 +46,7 @@ def simple(name: str, source: str, key: str, sql: str, **columns: Callable[[], o
 
 
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "qa_pairs")
+    rows = spread(table(spark, sf_dir, "qa_pairs"))
     return rows.select(rows["pair_id"].alias("seq"), *[tx.or_empty(c).alias(c) for c in ("instruction", "input", "output")], "source")
 
 

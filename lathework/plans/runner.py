@@ -108,17 +108,19 @@ def assemble(run: Run) -> str:
     return layout
 
 
-STAGES: dict[str, Callable[[Run], str]] = {"collect": collect, "extract": extract, "combine": combine, "quality": quality, "dedupe": dedupe, "assemble": assemble}
+STAGES: dict[str, Callable[[Run], str]] = {"extract": extract, "combine": combine, "quality": quality, "dedupe": dedupe, "assemble": assemble}
+#: With the stage that only runs where a source names a collector.
+ALL_STAGES = {"collect": collect} | STAGES
 LOG = "stage string, success boolean, duration double, message string"
 
 
 def run_stages(run: Run, only: Iterable[str] | None = None, skip: Iterable[str] = ()) -> DataFrame:
     """Run stages in order and stop at the first failure; the log as a table."""
-    unknown = {*(only or ()), *skip} - STAGES.keys()
+    unknown = {*(only or ()), *skip} - ALL_STAGES.keys()
     if unknown:
         raise KeyError(f"no stage {', '.join(sorted(unknown))}")
     log = []
-    for name, stage in STAGES.items():
+    for name, stage in ALL_STAGES.items():
         if only is not None and name not in only or name in skip:
             continue
         if name == "collect" and not any("collector" in s for s in run.config.enabled_sources()):
