@@ -44,6 +44,9 @@ def stem(name: Name) -> Column:
     return F.translate(F.regexp_replace(base, r"(?<=.)\.[^.]*$", ""), "_-", "  ")
 
 
+# Fixed values, down to the end of the module: the phrasings of instructions.
+
+
 def python_instructions(filename: Name, doc: Name, context: Name | None = None, most: int = 3) -> Column:
     """Up to ``most`` instructions for a Python file or function."""
     base = stem(filename)

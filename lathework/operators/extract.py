@@ -6,6 +6,7 @@ import ast
 import re
 import warnings
 from collections.abc import Callable, Iterator
+from itertools import accumulate
 from pathlib import PurePosixPath
 
 from pyspark.sql import Column, DataFrame
@@ -215,25 +216,28 @@ def markdown_samples(df: DataFrame, key: str = "key", path: str = "path", source
     return blocks.select("key", "block_no", titles.markdown_instruction(F.col("x.context"), F.col("path")).alias("instruction"), F.lit("").alias("input"), F.col("x.code").alias("output"))
 
 
+_DEFINED = re.compile(r"(def|class) (\w*)")
+
+
+def _part_of(line: str) -> str | None:
+    """The name of the part that a line begins, None where it goes on with the one before."""
+    if line.startswith(("import ", "from ")):
+        return "Imports"
+    m = _DEFINED.match(line)
+    if not m:
+        return None
+    kind = "function" if m[1] == "def" else "class"
+    return (f"Define {m[2]}()" if kind == "function" else f"Define {m[2]} class") if m[2] else f"Define {kind}"
+
+
 def code_sections(code: str | None) -> list[tuple[str, str]]:
-    """(name, code) of a file's parts: imports, functions and classes at the margin."""
-    out: list[tuple[str, str]] = []
-    held: list[str] = []
-    name = "Setup"
-    for line in (code or "").split("\n"):
-        new = None
-        if line.startswith(("import ", "from ")):
-            if name != "Imports":
-                new = "Imports"
-        elif m := re.match(r"(def|class) (\w*)", line):
-            new = (f"Define {m[2]}()" if m[1] == "def" else f"Define {m[2]} class") if m[2] else "Define function" if m[1] == "def" else "Define class"
-        if new:
-            if held:
-                out.append((name, "\n".join(held)))
-                held = []
-            name = new
-        held.append(line)
-    return [*out, (name, "\n".join(held))]
+    """(name, code) of a file's parts: imports in a row, functions and classes at the margin, what stands before as ``Setup``."""
+    lines = (code or "").split("\n")
+    parts = [_part_of(line) for line in lines]
+    current = list(accumulate(parts, lambda name, new: new or name, initial="Setup"))
+    cuts = [at for at, name in enumerate(parts) if name and not name == current[at] == "Imports"]
+    starts = cuts if cuts[:1] == [0] else [0, *cuts]
+    return [(current[a + 1], "\n".join(lines[a:b])) for a, b in zip(starts, [*starts[1:], len(lines)])]
 
 
 def code_section_table(df: DataFrame, key: str, source: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from itertools import accumulate
+from operator import xor
 
 from pyspark.sql import DataFrame
 
@@ -15,45 +16,45 @@ MAX_TOKENS, MIN_TOKENS = 1024, 512
 
 
 def sections_of(markdown: str | None) -> list[tuple[str, str]]:
-    """(title, content) by lines that begin with ``#``; code fences are not respected."""
-    out: list[tuple[str, str]] = []
-    title, held = "intro", []
-    for line in (markdown or "").splitlines():
-        bare = line.lstrip()
-        if bare.startswith("#"):
-            if held:
-                out.append((title, "\n".join(held)))
-            title, held = bare.lstrip("#").strip(), []
-        else:
-            held.append(line)
-    return [*out, (title, "\n".join(held))] if held else out
+    """(title, content) by lines that begin with ``#``; code fences are not respected.
+
+    What stands before the first heading is called ``intro``; headings without a line below give nothing.
+    """
+    lines = (markdown or "").splitlines()
+    heads = [at for at, line in enumerate(lines) if line.lstrip().startswith("#")]
+    spans = zip([-1, *heads], [*heads, len(lines)])
+    return [("intro" if head < 0 else lines[head].lstrip().lstrip("#").strip(), "\n".join(lines[head + 1 : stop])) for head, stop in spans if stop - head > 1]
+
+
+def _whole_until(lines: list[str]) -> list[bool]:
+    """Of every line whether a chunk may end behind it: no code fence is open, and no table.
+
+    A fence is open behind an odd number of its marks; a table behind a row that stands in no fence,
+    up to the next blank line.
+    """
+    bare = [line.strip() for line in lines]
+    fenced = list(accumulate((x.startswith(FENCE) for x in bare), xor))
+    rows = accumulate((at if x.startswith("|") and not inside else -1 for at, (x, inside) in enumerate(zip(bare, fenced))), max)
+    blanks = accumulate((-1 if x else at for at, x in enumerate(bare)), max)
+    return [not inside and row <= blank for inside, row, blank in zip(fenced, rows, blanks)]
 
 
 def chunks_of(content: str, most: int = MAX_TOKENS, least: int = MIN_TOKENS, lossless: bool = False) -> list[str]:
-    """Runs of lines of about ``most`` tokens, never ended within a code fence or a table.
+    """Runs of lines of about ``most`` tokens (four characters each), never ended within a code fence or a table.
 
-    A rest under ``least`` tokens is dropped unless it is the only chunk; ``lossless`` keeps it.
-    Sizes are kept as a running count, so a section is read once.
+    A rest under ``least`` tokens is dropped unless it is the only chunk; ``lossless`` keeps it. The
+    length of a run is a difference of two running sums, so a section is read once.
     """
-    out: list[str] = []
-    held: list[str] = []
-    size = 0
-    fence = table = False
-    for line in content.splitlines():
-        bare = line.strip()
-        if bare.startswith(FENCE):
-            fence = not fence
-        if not fence and bare.startswith("|"):
-            table = True
-        elif table and not bare:
-            table = False
-        held.append(line)
-        size += len(line) + (len(held) > 1)
-        if not fence and not table and max(1, size // 4) >= most:
-            out.append("\n".join(held))
-            held, size = [], 0
-    if held and (not out or lossless or max(1, size // 4) >= least):
-        out.append("\n".join(held))
+    lines = content.splitlines()
+    ends = list(accumulate((len(line) + 1 for line in lines), initial=0))
+    tokens = lambda a, b: max(1, (ends[b] - ends[a] - 1) // 4)
+    out, start = [], 0
+    for stop, whole in enumerate(_whole_until(lines), 1):
+        if whole and tokens(start, stop) >= most:
+            out.append("\n".join(lines[start:stop]))
+            start = stop
+    if start < len(lines) and (not out or lossless or tokens(start, len(lines)) >= least):
+        out.append("\n".join(lines[start:]))
     return out
 
 
