@@ -421,14 +421,14 @@ def gen_code_sections(spark, sf_dir):
     return extract.code_section_table(source_files(spark, sf_dir).where("path LIKE '%.py'"), "key", "source")
 
 
-def _domains(spark, sf_dir):
+def domains(spark, sf_dir):
     domain = F.element_at(F.array(*[F.lit(x) for x in ("python", "kubernetes", "security", "docker", "none")]), (F.pmod("seq", F.lit(5)) + 1).cast("int"))
     return samples(spark, sf_dir).withColumn("domain", domain)
 
 
 @named("gen_dpo_random")
 def gen_dpo_random(spark, sf_dir):
-    return augment.preference_pairs(_domains(spark, sf_dir), "seq")
+    return augment.preference_pairs(domains(spark, sf_dir), "seq")
 
 
 @named("gen_dpo_static")
@@ -521,7 +521,7 @@ def join_visited_anti(spark, sf_dir):
 @named("join_domain_practice", "SELECT seq, CASE seq % 5 WHEN 0 THEN 3 WHEN 1 THEN 3 WHEN 2 THEN 2 WHEN 3 THEN 2 ELSE 0 END AS tips FROM (SELECT pair_id AS seq FROM qa_pairs)")
 def join_domain_practice(spark, sf_dir):
     tips = spark.createDataFrame([(d, len(t)) for d, t in augment.TIPS.items()], "domain string, tips int")
-    return _domains(spark, sf_dir).select("seq", "domain").join(broadcast_small(tips), "domain", "left").select("seq", F.coalesce("tips", F.lit(0)).alias("tips"))
+    return domains(spark, sf_dir).select("seq", "domain").join(broadcast_small(tips), "domain", "left").select("seq", F.coalesce("tips", F.lit(0)).alias("tips"))
 
 
 @named("set_union_all", "SELECT source, count(*) AS n FROM (SELECT source FROM qa_pairs UNION ALL SELECT source FROM documents) GROUP BY source")

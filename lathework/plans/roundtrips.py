@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import tempfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lathework import config
 from lathework.functions import text as tx
+from lathework.functions import titles
 from lathework.functions import web
 from lathework.operators import augment, dedup, evaluate, linkgraph, reports
 from lathework.plans import sqlparts as q
-from lathework.plans.catalog import named, results, samples
+from lathework.plans.catalog import ORACLE, domains, named, results, samples, source_files
 from lathework.plans.tables import table
 from lathework.session import shared_folder
 from lathework.sources import api, files, registry
@@ -389,3 +394,72 @@ def fn_content_select(spark, sf_dir):
 @named("join_neardup_window")
 def join_neardup_window(spark, sf_dir):
     return dedup.near_recent(samples(spark, sf_dir)).select("seq")
+
+
+# --- Settings, registry and sets --------------------------------------------------------------
+
+
+@named(
+    "src_config",
+    "SELECT * FROM (VALUES ('deduplication.max_repetition', '4'), ('deduplication.similarity_threshold', '0.5'), ('full_name', 'mine-2'), ('sources', 'b')) AS t(setting, value)",
+)
+def src_config(spark, sf_dir):
+    """A file, a profile over it, and the environment over both; a disabled source is left out."""
+    with tempfile.TemporaryDirectory() as folder:  # the driver's own settings, as a user has them
+        path = Path(folder, "run.yaml")
+        path.write_text("name: given\nversion: '2'\nsources: [{name: a, enabled: true}, {name: b}]\ndeduplication: {max_repetition: 3}\nprofiles: {strict: {deduplication: {max_repetition: 4}, sources: [{name: a, enabled: false}]}}\n")
+        made = config.load(path, "strict", {"LATHEWORK_NAME": "mine", "LATHEWORK_SIMILARITY": "0.5"})
+    d = made.deduplication
+    rows = [("full_name", made.full_name), ("deduplication.max_repetition", str(d.max_repetition)), ("deduplication.similarity_threshold", str(d.similarity_threshold)), ("sources", ",".join(s["name"] for s in made.enabled_sources()))]
+    return spark.createDataFrame(rows, "setting string, value string")
+
+
+@named("src_env", "SELECT * FROM (VALUES ('LATHEWORK_NAME', 'file'), ('LATHEWORK_VERSION', 'process')) AS t(variable, value)")
+def src_env(spark, sf_dir):
+    """Settings of a file stand behind those of the process."""
+    with tempfile.TemporaryDirectory() as folder:
+        Path(folder, ".env").write_text("# note\nLATHEWORK_NAME = file\nLATHEWORK_VERSION=file\nno setting\n")
+        read = config.env_file(Path(folder, ".env"), {"LATHEWORK_VERSION": "process"})
+    return spark.createDataFrame(sorted(read.items()), "variable string, value string")
+
+
+@named("flt_enabled", "SELECT * FROM (VALUES ('guides'), ('issues')) AS t(source)")
+def flt_enabled(spark, sf_dir):
+    """Sources that are not switched off."""
+    made = config.Config(sources=({"name": "guides"}, {"name": "pages", "enabled": False}, {"name": "issues", "enabled": True}))
+    return spark.createDataFrame([(s["name"],) for s in made.enabled_sources()], "source string")
+
+
+@named("collector_registry", "SELECT * FROM (VALUES ('github', 1), ('jsonl', 1), ('stackoverflow', 1), ('web', 2)) AS t(name, needed)")
+def collector_registry(spark, sf_dir):
+    return registry.describe(spark).select("name", F.size("required").alias("needed"))
+
+
+@named("join_domain_pattern", "SELECT d AS domain, count(*) AS pairs FROM (SELECT ['python', 'kubernetes', 'security', 'docker', 'none'][CAST(pair_id % 5 AS INT) + 1] AS d FROM qa_pairs) WHERE d <> 'none' GROUP BY d")
+def join_domain_pattern(spark, sf_dir):
+    return augment.preference_pairs(domains(spark, sf_dir), "seq").groupBy("domain").agg(F.count("*").alias("pairs"))
+
+
+@named("set_patterns_concat", "SELECT * FROM (VALUES ('docker', 1), ('kubernetes', 3), ('python', 5), ('security', 3)) AS t(domain, patterns)")
+def set_patterns_concat(spark, sf_dir):
+    return augment.patterns(spark).groupBy("domain").agg(F.count("*").cast("int").alias("patterns"))
+
+
+@named("st_crawl_resume", ORACLE["crawl_resume"])
+def st_crawl_resume(spark, sf_dir):
+    """What is still to visit where all recorded pages were."""
+    pages = table(spark, sf_dir, "pages")
+    visited = pages.select(web.normalize_url("url").alias("url")).distinct()
+    return linkgraph.resume(linkgraph.page_links(pages), visited)
+
+
+@named("src_crawl_bfs", ORACLE["link_bfs"])
+def src_crawl_bfs(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    starts = pages.where("url IS NOT NULL").groupBy(web.netloc("url").alias("host")).agg(F.min(web.normalize_url("url")).alias("url"))
+    return linkgraph.reachable(linkgraph.page_links(pages), starts)
+
+
+@named("topk_instructions", f"WITH {q.FILES} SELECT key, len(list_filter(['Write a Python example for ' || key], lambda x: x IS NOT NULL)) AS first FROM files")
+def topk_instructions(spark, sf_dir):
+    return source_files(spark, sf_dir).select("key", F.size(titles.python_instructions("path", F.lit(""), most=1)).cast("bigint").alias("first"))
