@@ -22,7 +22,7 @@ STAND_INS = frozenset(
     "keine antwort|antwort|leer|nichts|entfällt|k a|aucune réponse|pas de réponse|réponse|vide|rien|néant|s o|"
     "sin respuesta|respuesta|vacío|nada|ninguno|no aplica|n d|answer here|your answer|your answer here|see attachment|placeholder|lorem ipsum|x|xx|xxx".split("|")
 )
-_TAG = re.compile(r"</?[A-Za-z!][^<>]{0,200}>")
+_TAG = re.compile(r"</?[A-Za-z!][^<>]*>")
 _MARKS = re.compile(r"[\W_]+")
 _SHORT = 200
 
@@ -372,8 +372,6 @@ _SMALL = frozenset(
 _FENCED = re.compile(r"```.*?(?:```|\Z)", re.S)
 _CODE_SPAN = re.compile(r"`[^`\n]*`")
 CODE_WORD = "codespan"
-#: Refusals are short; in a sentence of more words than this nothing is aligned.
-SENTENCE_MOST = 60
 
 
 def is_refusal(output: str, question: str = "") -> bool:
@@ -391,8 +389,6 @@ def is_refusal(output: str, question: str = "") -> bool:
         words = _tokens(sentence)
         if not words:
             continue
-        if len(words) > SENTENCE_MOST:
-            return False
         if refuses(words, topic):
             refused = True
         elif not (_PLEASE.fits(words) or len(words) == 1 and words[0] in _PLEASE.by_word or _is_side(words, topic)):

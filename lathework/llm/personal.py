@@ -279,7 +279,7 @@ _ADDRESSES = [
     ),
     re.compile(rf"\b[A-ZÄÖÜ][\wäöüß-]+\s(?:Straße|Strasse|Str\.|Weg|Allee|Gasse|Platz|Damm|Ufer|Ring)\s\d{{1,4}}\s?[a-z]?(?![\w])(?:,\s(?:D-)?\d{{4,5}}\s{_CITY})?"),
 ]
-_ADDRESS_REACH = 60
+_ADDRESS_REACH = 160
 
 
 def parse_address(text: str, start: int, end: int) -> Iterator[Span]:

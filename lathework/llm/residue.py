@@ -73,20 +73,20 @@ def models() -> tuple[np.ndarray, np.ndarray]:
 
 # Slot notations of common template languages. A slot holds a name, not prose.
 SLOTS = re.compile(
-    r"""\{\{[^{}\n]{1,60}\}\}          # {{ name }}
-      | \[\[[^\[\]\n]{1,60}\]\]        # [[ name ]]
-      | <%[^%\n]{1,80}%>               # <%= name %>
-      | \{%[^%\n]{1,80}%\}             # {% name %}
-      | @@\w{2,40}@@                   # @@name@@
-      | \$\{[^{}\n]{1,60}\}            # ${name}
-      | \#\{[^{}\n]{1,60}\}            # #{name}
+    r"""\{\{[^{}\n]+\}\}          # {{ name }}
+      | \[\[[^\[\]\n]+\]\]        # [[ name ]]
+      | <%[^%\n]+%>               # <%= name %>
+      | \{%[^%\n]+%\}             # {% name %}
+      | @@\w+@@                   # @@name@@
+      | \$\{[^{}\n]+\}            # ${name}
+      | \#\{[^{}\n]+\}            # #{name}
       | %%[A-Za-z_]\w{1,40}%%          # %%name%%
       | (?<![\w%])%[A-Z][A-Z_]{2,40}%(?!\w)         # %NAME%
       | (?<!\w)__[A-Z][A-Z0-9_]{1,40}__(?!\w)       # __NAME__
       | (?<![A-Za-z])XXX[A-Z_]{2,40}XXX(?![A-Za-z]) # XXXNAMEXXX
-      | \[(?:INSERT|Insert|insert|YOUR|Your|your|ADD|Add|ENTER|Enter|REPLACE|Replace)\ [^\[\]\n]{1,60}\](?!\()
+      | \[(?:INSERT|Insert|insert|YOUR|Your|your|ADD|Add|ENTER|Enter|REPLACE|Replace)\ [^\[\]\n]+\](?!\()
       | (?<![\]\w!])\[[A-Z][A-Z0-9_]*(?:[ _-][A-Z0-9_]+){0,4}\](?![(\[:\w])  # [NAME]
-      | <(?:your|insert|enter|replace|add|my)[-_ ][^<>\n]{1,50}>
+      | <(?:your|insert|enter|replace|add|my)[-_ ][^<>\n]+>
       | <[a-z][a-z0-9]*(?:[-_ ][a-z0-9]+)*[-_ ](?:goes[-_ ]here|here|placeholder)>
       | <[A-Z][A-Z0-9]*(?:[_-][A-Z0-9]+)*>(?!</)
     """,

@@ -637,3 +637,12 @@ def test_the_filter_loses_no_line_of_the_trainer():
             all_ += 1
             reached += bool(seen)
     assert all_ > 1000 and reached >= 0.995 * all_
+
+
+def test_long_slots_addresses_tags_and_refusals():
+    assert residue.slot_coverage("About: [Insert a short description of the project, of what it does and of whom it serves in which regions here]") > 0.5
+    text = "Send it to 12 Upper Westminster-Hollingsworth Cottonwood-Featherstonehaugh Street, Flat 3, 10115 Saint-Germain-en-Laye am Rhein."
+    assert [k for k, _, _ in personal.spans_of(text)] == ["address"]
+    assert defects.is_empty('<img alt="" src="data:image/png;base64,' + "A" * 500 + '">')
+    question = "Explain " + " ".join(f"topic{n}" for n in range(80))
+    assert defects.defect_of(question, None, "I can not help with " + " ".join(f"topic{n}" for n in range(70)) + ".") == "refusal"
