@@ -303,12 +303,36 @@ def win_running_section(spark, sf_dir):
     return sections.running_sections(table(spark, sf_dir, "documents"))
 
 
-@named("gen_chunks")
+_CHUNKS = f"""{_SECTIONS},
+  named AS (SELECT doc_id, s, section_title, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY s) - 1 AS INT) AS section_no FROM sections),
+  held AS (SELECT doc_id, s, line, row_number() OVER (PARTITION BY doc_id, s ORDER BY i) AS n, count(*) OVER (PARTITION BY doc_id, s) AS c FROM marked WHERE NOT head),
+  bare AS (
+    SELECT doc_id, s, n, line, {q.strip('line')} AS x, sum(length(line) + 1) OVER w AS stop, sum(CASE WHEN starts_with({q.strip('line')}, '```') THEN 1 ELSE 0 END) OVER w % 2 AS fenced
+    FROM held WHERE NOT (n = c AND line = '') WINDOW w AS (PARTITION BY doc_id, s ORDER BY n)),
+  free AS (SELECT *, fenced = 0 AND max(CASE WHEN starts_with(x, '|') AND fenced = 0 THEN n ELSE 0 END) OVER w <= max(CASE WHEN x = '' THEN n ELSE 0 END) OVER w AS whole FROM bare WINDOW w AS (PARTITION BY doc_id, s ORDER BY n)),
+  cuts AS (
+    SELECT doc_id, s, CAST(0 AS BIGINT) AS a, CAST(0 AS BIGINT) AS pos FROM (SELECT DISTINCT doc_id, s FROM free)
+    UNION ALL
+    SELECT c.doc_id, c.s, x.a, x.pos FROM cuts c, LATERAL (SELECT min(n) AS a, CAST(min(stop) AS BIGINT) AS pos FROM free f WHERE f.doc_id = c.doc_id AND f.s = c.s AND f.n > c.a AND whole AND (stop - c.pos - 1) // 4 >= 1024) x WHERE x.a IS NOT NULL),
+  parts AS (
+    SELECT doc_id, s, chunk_no, string_agg(line, chr(10) ORDER BY n) AS text FROM (
+      SELECT f.*, (SELECT count(*) FROM cuts c WHERE c.doc_id = f.doc_id AND c.s = f.s AND c.a > 0 AND c.a < f.n) AS chunk_no FROM free f) GROUP BY doc_id, s, chunk_no),
+  chunked AS (
+    SELECT p.doc_id, n.section_no, n.section_title AS section, CAST(p.chunk_no AS INT) AS chunk_no, p.text
+    FROM parts p JOIN named n ON n.doc_id = p.doc_id AND n.s = p.s
+    WHERE p.chunk_no = 0 OR greatest(1, length(p.text) // 4) >= 512 OR p.chunk_no < (SELECT count(*) FROM cuts c WHERE c.doc_id = p.doc_id AND c.s = p.s AND c.a > 0))"""
+_UUID = """substring(h, 1, 8) || '-' || substring(h, 9, 4) || '-5' || substring(h, 14, 3) || '-' || printf('%02x', (('0x' || substring(h, 17, 2))::INT & 63) | 128) || substring(h, 19, 2) || '-' || substring(h, 21, 12)"""
+
+
+@named(
+    "gen_chunks",
+    f"WITH RECURSIVE {_CHUNKS} SELECT doc_id, section_no, section, chunk_no, text, {_UUID} AS chunk_id FROM (SELECT *, sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || encode(concat_ws('-', CAST(doc_id AS VARCHAR), section, CAST(chunk_no AS VARCHAR)))) AS h FROM chunked)",
+)
 def gen_chunks(spark, sf_dir):
     return sections.split_chunks(table(spark, sf_dir, "documents"))
 
 
-@named("win_chunk_index")
+@named("win_chunk_index", f"WITH RECURSIVE {_CHUNKS} SELECT doc_id, section_no, max(chunk_no) AS last_chunk, count(*) AS chunks FROM chunked GROUP BY ALL")
 def win_chunk_index(spark, sf_dir):
     return gen_chunks(spark, sf_dir).groupBy("doc_id", "section_no").agg(F.max("chunk_no").alias("last_chunk"), F.count("*").alias("chunks"))
 
@@ -642,7 +666,11 @@ def agg_crawl_stats(spark, sf_dir):
     return reports.crawl_stats(table(spark, sf_dir, "pages"))
 
 
-@named("agg_extract_stats")
+@named(
+    "agg_extract_stats",
+    f"""WITH RECURSIVE {_CHUNKS} SELECT documents, characters, sections, chunks, chunks / greatest(documents, 1) AS chunks_per_document FROM
+        (SELECT count(*) AS documents, CAST(coalesce(sum(length(text)), 0) AS BIGINT) AS characters FROM documents), (SELECT count(DISTINCT (doc_id, section_no)) AS sections, count(*) AS chunks FROM chunked)""",
+)
 def agg_extract_stats(spark, sf_dir):
     return reports.extraction_stats(gen_chunks(spark, sf_dir), table(spark, sf_dir, "documents"))
 
