@@ -38,3 +38,14 @@ def test_entry(spark):
 
     assert entry.entry(spark).count() > 0
     assert set(catalog.QUERIES) <= set(entry.queries())
+
+
+def test_chunks_equal_their_sql_at_small_sizes(spark, data):
+    from lathework.operators import sections
+
+    con = connect(data)
+    documents = spark.read.parquet(f"{data}/documents.parquet")
+    for most, least in ((64, 16), (20, 10)):
+        sql = catalog.ORACLE["gen_chunks"].replace(">= 1024", f">= {most}").replace(">= 512", f">= {least}")
+        got = sections.split_chunks(documents, most=most, least=least).toPandas()
+        assert got["chunk_no"].max() > 2 and rows(got) == rows(con.execute(sql).df())
