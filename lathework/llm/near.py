@@ -6,6 +6,7 @@ import math
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -64,7 +65,7 @@ def shingles_of(texts: list[str], k: int, table: WordNumbers) -> list[tuple[np.n
     """The sorted distinct shingle hashes of every text and how often each stands in it."""
     words = [words_of(t) for t in texts]
     sizes = [len(w) for w in words]
-    flat = np.fromiter((table[w] for own in words for w in own), dtype=np.uint64, count=sum(sizes))
+    flat = np.fromiter(map(table.__getitem__, chain.from_iterable(words)), dtype=np.uint64, count=sum(sizes))
     grams = run_hashes(flat, k)
     out, start = [], 0
     for size in sizes:
@@ -313,10 +314,17 @@ def _verify(pairs: DataFrame, rows: DataFrame, signed: DataFrame, s: Settings, s
     return cut_lineage(map_columns(both, columns, make, "a bigint, b bigint, jaccard double, weighted double"))
 
 
-def bridges(rows: DataFrame, s: Settings = PAIRS) -> DataFrame:
+def digests(rows: DataFrame, s: Settings) -> DataFrame:
+    """(id, copy, enough): a digest of every text, and whether it has the words of a shingle; written once."""
+    word, other = r"[\p{L}\p{N}_]", r"[^\p{L}\p{N}_]"
+    enough = F.col("text").rlike(f"(?:{word}+{other}+){{{s.shingle - 1}}}{word}")
+    return cut_lineage(rows.where("id is not null").select("id", F.unhex(F.md5(F.col("text").cast("binary"))).alias("copy"), enough.alias("enough")))
+
+
+def bridges(rows: DataFrame, s: Settings = PAIRS, copies: DataFrame | None = None) -> DataFrame:
     """(a, b, jaccard, weighted): links of alike texts, by their least ids, that join all of a group.
 
-    ``rows`` has ``id`` and ``text``. Every link is of two texts that are alike, and any two texts
+    ``rows`` has ``id`` and ``text``, ``copies`` their :func:`digests` where they are made already. Every link is of two texts that are alike, and any two texts
     that are alike and meet in a bucket are joined by a chain of them. They are not all links of a
     group, whose number grows with its square: :func:`degrees` counts those.
 
@@ -327,9 +335,9 @@ def bridges(rows: DataFrame, s: Settings = PAIRS) -> DataFrame:
     known, go through :func:`_across`.
     """
     spark = rows.sparkSession
-    bins = min(s.most_bins, max(s.bins, 1 << rows.count().bit_length()))
+    copies = digests(rows, s) if copies is None else copies
+    bins = min(s.most_bins, max(s.bins, 1 << copies.count().bit_length()))
     shared = spark.sparkContext.broadcast(Weights(*document_counts(rows, "text", s, bins), bins, s))
-    copies = rows.select("id", F.md5(F.col("text").cast("binary")).alias("copy")).where("id is not null")
     many = copies.groupBy("copy").agg(F.min("id").alias("rep"), F.count("*").alias("n")).where("n > 1").select("copy", "rep")
     others = cut_lineage(copies.join(many, "copy").where("id <> rep").select("id").distinct())
     signed = cut_lineage(_among(signatures(rows, s, shared), others, "id", s, "left_anti"))
@@ -472,10 +480,9 @@ def groups(df: DataFrame, id_column: str = "pair_id", columns: tuple[str, ...] =
     other columns are not read. Ids must tell rows apart; rows of one id count as one record.
     """
     rows = prepare(df, id_column, columns)
-    found = bridges(rows, s)
-    word, other = r"[\p{L}\p{N}_]", r"[^\p{L}\p{N}_]"
-    enough = rows.where("id is not null").where(F.col("text").rlike(f"(?:{word}+{other}+){{{s.shingle - 1}}}{word}"))
-    copies = enough.select("id", F.md5(F.col("text").cast("binary")).alias("copy"))
+    copies = digests(rows, s)
+    found = bridges(rows, s, copies)
+    copies = copies.where("enough").select("id", "copy")
     reps = copies.groupBy("copy").agg(F.min("id").alias("rep"), F.count("*").alias("n"))
     marked = components(found)
     labelled = reps.join(marked, reps["rep"] == marked["node"], "left")
