@@ -406,7 +406,12 @@ def gen_md_blocks(spark, sf_dir):
     return extract.markdown_table(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-@named("gen_md_examples")
+@named(
+    "gen_md_examples",
+    f"""SELECT key, block_no, CASE WHEN told <> '' THEN 'Write Python code that ' || lower(told) ELSE 'Show me this Python example: ' || base END AS instruction, '' AS input, code AS output FROM (
+          SELECT b.key, b.block_no, {q.strip("regexp_replace(b.context, '[#*`]', '', 'g')")} AS told, regexp_replace(regexp_extract(coalesce(d.title, ''), '([^/]*)$', 1), '(.)\\.[^.]*$', '\\1') AS base, b.code
+          FROM ({ORACLE['gen_md_blocks']}) b JOIN documents d ON d.doc_id = b.key WHERE length(b.code) >= 50)""",
+)
 def gen_md_examples(spark, sf_dir):
     rows = table(spark, sf_dir, "documents")
     return extract.markdown_samples(rows, "doc_id", "title", "text")
@@ -428,7 +433,11 @@ def gen_links(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", F.explode(web.links_of("html")).alias("href"))
 
 
-@named("gen_llm_samples")
+@named(
+    "gen_llm_samples",
+    f"""SELECT 'What does this say: ' || coalesce(list_filter(list_transform(regexp_split_to_array(text, '{_BREAK}'), lambda x: {q.strip('x')}), lambda x: x <> '')[1], '') AS instruction, '' AS input, {q.strip('text')} AS output, chunk_id
+        FROM chunks WHERE text IS NOT NULL""",
+)
 def gen_llm_samples(spark, sf_dir):
     chunks = table(spark, sf_dir, "chunks").select("doc_id", "chunk_id", "url", "text").where("text IS NOT NULL")
     ask = augment.with_failover([augment.stub_provider])
@@ -440,7 +449,18 @@ def gen_styles(spark, sf_dir):
     return augment.styles(samples(spark, sf_dir), "seq")
 
 
-@named("gen_code_sections")
+_PART = "CASE WHEN regexp_matches(x, '^(import |from )') THEN 'Imports' WHEN regexp_matches(x, '^def \\w') THEN 'Define ' || regexp_extract(x, '^def (\\w*)', 1) || '()' WHEN starts_with(x, 'def ') THEN 'Define function' WHEN regexp_matches(x, '^class \\w') THEN 'Define ' || regexp_extract(x, '^class (\\w*)', 1) || ' class' WHEN starts_with(x, 'class ') THEN 'Define class' END"
+
+
+@named(
+    "gen_code_sections",
+    f"""WITH {q.FILES}, split AS (SELECT key, string_split(coalesce(source, ''), chr(10)) AS l FROM files WHERE path LIKE '%.py'),
+        lines AS (SELECT key, i, l[i] AS x FROM (SELECT key, l, unnest(range(1, len(l) + 1)) AS i FROM split)),
+        named AS (SELECT *, {_PART} AS part FROM lines),
+        marked AS (SELECT *, part IS NOT NULL AND NOT (part = 'Imports' AND coalesce(last_value(part IGNORE NULLS) OVER (PARTITION BY key ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 'Setup') = 'Imports') AS cut FROM named),
+        placed AS (SELECT *, sum(CASE WHEN cut OR i = 1 THEN 1 ELSE 0 END) OVER (PARTITION BY key ORDER BY i) AS n FROM marked)
+        SELECT key, CAST(n - 1 AS INT) AS section_no, coalesce(max(CASE WHEN cut THEN part END), 'Setup') AS name, string_agg(x, chr(10) ORDER BY i) AS code FROM placed GROUP BY key, n""",
+)
 def gen_code_sections(spark, sf_dir):
     return extract.code_section_table(source_files(spark, sf_dir).where("path LIKE '%.py'"), "key", "source")
 
