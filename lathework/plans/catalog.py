@@ -189,7 +189,20 @@ def fn_urljoin(spark, sf_dir):
     return linkgraph.page_links(table(spark, sf_dir, "pages"))
 
 
-@named("fn_clean_html")
+def _clean_html_sql(x: str) -> str:
+    """The steps of :func:`web.clean_html` over the entities that the pages have."""
+    line = "' || chr(10) || '"
+    for entity, sign in (("&copy;", "©"), ("&amp;", "&")):
+        x = f"replace({x}, '{entity}', '{sign}')"
+    for pattern, new in (
+        ("(?s)<pre><code[^>]*>(.*?)</code></pre>", f"```{line}\\1{line}```"), ("<code>(.*?)</code>", "`\\1`"), ("(?s)<li>(.*?)</li>", f"- \\1{line}"), ("</?[ou]l>", ""), ("(?s)<p>(.*?)</p>", f"\\1{line}{line}"),
+        ("<br\\s*/?>", line), ('<a href="([^"]*)"[^>]*>(.*?)</a>', "[\\2](\\1)"), ("<h1>(.*?)</h1>", f"# \\1{line}"), ("<h2>(.*?)</h2>", f"## \\1{line}"), ("<h3>(.*?)</h3>", f"### \\1{line}"), ("<[^>]+>", ""), ("\\n{3,}", f"{line}{line}"),
+    ):
+        x = f"regexp_replace({x}, '{pattern}', '{new}', 'g')"
+    return f"coalesce({q.strip(x)}, '')"
+
+
+@named("fn_clean_html", f"SELECT page_id, {_clean_html_sql('html')} AS text FROM pages")
 def fn_clean_html(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", web.clean_html("html").alias("text"))
 
