@@ -457,7 +457,39 @@ def gen_llm_samples(spark, sf_dir):
     return augment.supervision(chunks, titles.chunk_prompt("{chunk}", "text"), ask).select("instruction", "input", "output", F.col("_meta.chunk_id").alias("chunk_id"))
 
 
-@named("gen_styles")
+def _literal(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _literals(texts) -> str:
+    return "[" + ", ".join(map(_literal, texts)) + "]"
+
+
+def _notes_sql(x: str) -> str:
+    found = "list_filter([" + ", ".join(f"CASE WHEN contains({x}, {_literal(sign)}) THEN {_literal(note)} END" for sign, note in augment.NOTES) + "], lambda n: n IS NOT NULL)"
+    return f"CASE WHEN len({found}) > 0 THEN chr(10) || chr(10) || '**What happens here:** ' || array_to_string({found}, ' ') ELSE '' END"
+
+
+def _styles_sql() -> str:
+    choice = lambda options, seed: f"{_literals(options)}[{q.pick('key', seed, len(options))}]"
+    block = "'```python' || chr(10) || code || chr(10) || '```'"
+    two = "chr(10) || chr(10)"
+    told = f"CASE WHEN {q.pick('key', 'explain', 10)} <= 7 THEN {_notes_sql('code')} ELSE '' END"
+    hint = f"CASE WHEN {q.pick('key', 'hint', 10)} <= 5 THEN {two} || '**Tip:** ' || {choice(augment.TIPS['python'], 'tip')} ELSE '' END"
+    end = choice(augment.CLOSINGS, "closing")
+    outputs = {
+        "conversational": f"{choice(augment.OPENERS, 'opener')} || {choice(augment.INTRODUCTIONS, 'intro')} || {two} || {block} || {told} || {hint} || CASE WHEN {end} <> '' THEN {two} || {end} ELSE '' END",
+        "tutorial": f"'## ' || task || {two} || '### Step 1: the code' || {two} || {block} || {_notes_sql('code')} || {two} || '### Step 2: try it' || {two} || 'Run it and compare the result with what you expect.'",
+        "quick_ref": block,
+    }
+    rows = " UNION ALL ".join(f"SELECT key, task, '{style}' AS style, {output} AS output FROM samples" for style, output in outputs.items())
+    bare = f"regexp_replace(lower(task), '^({'|'.join(titles.PREFIXES)})', '')"
+    varied = f"CASE {q.pick('name', 'vary', 5)} WHEN 1 THEN 'How do I ' || t || '?' WHEN 2 THEN 'What''s the best way to ' || t || '?' WHEN 3 THEN 'Can you show me how to ' || t || '?' WHEN 4 THEN 'I need to ' || t ELSE 'Help me ' || t END"
+    return f"""WITH samples AS (SELECT pair_id AS key, coalesce(instruction, '') AS task, coalesce(output, '') AS code FROM qa_pairs)
+        SELECT key, style, {varied} AS instruction, '' AS input, output, 'python' AS domain FROM (SELECT *, key || ':' || style AS name, {bare} AS t FROM ({rows}))"""
+
+
+@named("gen_styles", _styles_sql())
 def gen_styles(spark, sf_dir):
     return augment.styles(samples(spark, sf_dir), "seq")
 
@@ -483,12 +515,21 @@ def domains(spark, sf_dir):
     return samples(spark, sf_dir).withColumn("domain", domain)
 
 
-@named("gen_dpo_random")
+_PATTERNS = ", ".join("(" + ", ".join([*map(_literal, p), str(sorted(x for x in augment.PATTERNS if x[-1] == p[-1]).index(p))]) + ")" for p in augment.PATTERNS)
+_PATTERNS = f"patterns AS (SELECT * FROM (VALUES {_PATTERNS}) AS t(prompt, chosen, rejected, category, severity, domain, no))"
+
+
+@named(
+    "gen_dpo_random",
+    f"""WITH {_PATTERNS}, records AS (
+          SELECT pair_id AS key, coalesce(instruction, '') AS prompt, ['python', 'kubernetes', 'security', 'docker', 'none'][CAST(pair_id % 5 AS INT) + 1] AS domain, ('0x' || substring(md5('pattern' || CAST(pair_id AS VARCHAR)), 1, 8))::BIGINT AS digest FROM qa_pairs)
+        SELECT r.key, r.domain, r.prompt, p.chosen, p.rejected, p.category, p.severity FROM records r JOIN patterns p ON p.domain = r.domain AND p.no = r.digest % (SELECT count(*) FROM patterns x WHERE x.domain = r.domain)""",
+)
 def gen_dpo_random(spark, sf_dir):
     return augment.preference_pairs(domains(spark, sf_dir), "seq")
 
 
-@named("gen_dpo_static")
+@named("gen_dpo_static", f"WITH {_PATTERNS} SELECT prompt, chosen, rejected, category, severity, domain FROM patterns")
 def gen_dpo_static(spark, sf_dir):
     return augment.patterns(spark)
 
