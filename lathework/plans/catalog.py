@@ -371,7 +371,17 @@ def gen_py_examples_k8s(spark, sf_dir):
     return extract.cluster_samples(source_files(spark, sf_dir).where("path LIKE '%.py'"))
 
 
-@named("gen_py_examples_pytest")
+_DOC_LINE = q.strip("regexp_replace(" + q.strip("regexp_extract(coalesce(source, ''), '(?s)^" + _TRIPLE + "(.*?)" + _TRIPLE + "', 1)") + f", '{tx.WS}+', ' ', 'g')")
+
+
+@named(
+    "gen_py_examples_pytest",
+    f"""WITH {q.FILES}, asked AS (
+          SELECT key, source, list_slice(list_concat(CASE WHEN doc <> '' THEN ['Write pytest code to ' || lower(doc), 'Show me how to ' || lower(doc) || ' in pytest'] ELSE [] END,
+            CASE WHEN s <> '' THEN ['Give me an example of ' || lower(s) || ' with pytest'] ELSE [] END, ['Write a pytest test example', 'Show me pytest best practices']), 1, 2) AS a
+          FROM (SELECT key, source, {_STEM} AS s, {_DOC_LINE} AS doc FROM files WHERE path LIKE '%.py' AND length({q.strip(q.text('source'))}) >= 50))
+        SELECT key, CAST(i - 1 AS INT) AS part, a[i] AS instruction, '' AS input, source AS output FROM (SELECT *, unnest(range(1, len(a) + 1)) AS i FROM asked)""",
+)
 def gen_py_examples_pytest(spark, sf_dir):
     return extract.test_samples(source_files(spark, sf_dir).where("path LIKE '%.py'"))
 
