@@ -205,3 +205,45 @@ def test_crawl_is_breadth_first_with_limits(spark):
     assert got == [("http://h/a", 0, "http://h/a"), ("http://h/a", 1, "http://h/b"), ("http://h/a", 1, "http://h/c"), ("http://h/a", 2, "http://h/d"), ("http://x/z", 0, "http://x/z")]
     assert sorted(r["url"] for r in linkgraph.crawl(df, starts, most_pages=2).where("start = 'http://h/a'").collect()) == ["http://h/a", "http://h/b"]
     assert linkgraph.crawl(df, starts, most_depth=0).count() == 2 and linkgraph.crawl(df.limit(0), starts).count() == 0
+
+
+def test_cluster_and_rst_samples(spark):
+    body = '"""List all pods.\n\nMore of it."""\n# note\nimport client\n\ndef show(space):\n    """Print the pods of a namespace."""\n    print(client.list(space))\n\ndef _hidden():\n    return 1\n'
+    files = spark.createDataFrame([(1, "k8s/list_pods.py", body), (2, "bad.py", "def ("), (3, "empty.py", None)], "key bigint, path string, source string")
+    got = sorted((r["kind"], r["part"], r["instruction"], r["output"][:20]) for r in extract.cluster_samples(files).collect())
+    whole, rest = [g for g in got if g[0] == "file"], [g for g in got if g[0] != "file"]
+    assert len(whole) >= 2 and len({g[2] for g in whole}) == len(whole) and {g[3] for g in whole} == {body[:20]}
+    assert [(k, p) for k, p, _, _ in rest] == [("function", 0), ("question", 0), ("question", 1)] and rest[0][3].startswith("def show(space):")
+    assert rest[1][2] == "How can I list all pods.?" and rest[2][2:] == ("What does list pods do?", "List all pods.\n\nMore")
+    rst = "Pods\n====\n\nList them\n\n.. code-block:: python\n\n    for pod in client.list('default'):\n        print(pod.metadata.name)\n"
+    rows = extract.rst_samples(spark.createDataFrame([(1, rst), (2, None), (3, "")], "key bigint, source string")).orderBy("part").collect()
+    assert [(r["block_no"], r["part"], r["instruction"]) for r in rows] == [(0, 0, "Write code to list them"), (0, 1, "Show me how to list them")]
+    assert rows[0]["output"] == "for pod in client.list('default'):\n    print(pod.metadata.name)"
+
+
+def test_page_answers_have_their_code(spark):
+    from lathework.functions import web
+
+    html = "<title>Retry Guide</title><main>" + "word " * 60 + '<pre><code class="language-python">for n in range(3):\n    retry(n &lt; 2)</code></pre></main>'
+    df = spark.createDataFrame([("http://docs.python.example/a", html, "x"), ("http://h/b", None, "x"), (None, "", "x")], "url string, html string, title string")
+    blocks = F.transform(web.code_blocks_of("html"), lambda b: F.struct(web.detect_language(b["classes"], b["code"]).alias("language"), b["code"].alias("code")))
+    crawled = df.select("url", web.netloc("url").alias("domain"), F.lit(0).alias("depth"), web.html_title("html").alias("title"), web.content_select("html").alias("content"), blocks.alias("code_blocks"))
+    rows = qa.from_pages(crawled).collect()
+    assert len(rows) == 1 and rows[0]["instruction"] == "Retry Guide?" and rows[0]["tags"][0] == "python"
+    assert rows[0]["output"].endswith("Example code:\n\n```python\nfor n in range(3):\n    retry(n < 2)\n```\n") and rows[0]["metadata"]["code_blocks"] == "1"
+
+
+def test_reports_contexts_and_templates(spark, tmp_path):
+    from lathework.operators import augment, evaluate
+
+    paired = spark.createDataFrame([(1, "a", 50.0, 70.0), (2, "b", 60.0, 40.0)], "question_id bigint, category string, base double, tuned double").withColumn("diff", F.col("tuned") - F.col("base"))
+    evaluate.write_report(evaluate.markdown_report(evaluate.by_category(paired), evaluate.summary(paired), "Run"), str(tmp_path / "r"))
+    lines = "".join(p.read_text() for p in (tmp_path / "r").glob("part*")).splitlines()
+    assert lines[0] == "# Run" and lines[2] == "Questions: 2" and lines[3] == "Mean: 55.0 -> 55.0 (+0.0)" and lines[7:] == ["| a | 50.0 | 70.0 | +20.0 |", "| b | 60.0 | 40.0 | -20.0 |"]
+    told = [r["line"] for r in evaluate.comparison_report(paired).orderBy("place").collect()]
+    assert told[4:] == ["| 1 | 50.0 | 70.0 | 20.0 |", "| 2 | 60.0 | 40.0 | -20.0 |"]
+    asks = spark.createDataFrame([("x",), ("y",), ("z",), (None,)], "title string")
+    found = spark.createDataFrame([("x", "about", ["one", "", None, "two", "three"]), ("y", "", [])], "query string, abstract string, related array<string>")
+    assert {r["title"]: r["context"] for r in augment.with_context(asks, found, "title").collect()} == {"x": "about\none", "y": None, "z": None, None: None}
+    rows = augment.template_pairs(spark).collect()
+    assert len(rows) == 5 and {r["score"] for r in rows} == {100} and len({r["tags"][0] for r in rows}) == 4
