@@ -72,6 +72,10 @@ def counts_of(words: Iterable[str]) -> dict[str, int]:
     return out
 
 
+# Letters by which a language is told from those that share its small words.
+LETTERS = {"pt": "ãõâ", "es": "ñ¿¡", "de": "ßäöü", "sv": "åäö", "pl": "ąćęłńśźż", "fr": "èêëçœùû", "it": "òìù"}
+
+
 def language_of(prose: str, words: list[str], least: int = 2) -> tuple[str | None, dict[str, int]]:
     """The language of a prose text (None if unsure) and the evidence for every language."""
     counts = counts_of(words)
@@ -86,8 +90,11 @@ def language_of(prose: str, words: list[str], least: int = 2) -> tuple[str | Non
     if latin < least:
         return None, counts
     ranked = sorted(counts.items(), key=lambda x: -x[1])
-    if len(ranked) > 1 and ranked[0][1] == ranked[1][1]:
-        return None, counts
+    even = [code for code, n in ranked if n == ranked[0][1]]
+    if len(even) > 1:  # told by their letters, if at all
+        low = prose.lower()
+        marks = sorted(((sum(map(low.count, LETTERS.get(code, ""))), code) for code in even), reverse=True)
+        return (marks[0][1] if marks[0][0] > marks[1][0] else None), counts
     return ranked[0][0], counts
 
 

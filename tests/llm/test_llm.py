@@ -666,3 +666,9 @@ def test_long_slots_addresses_tags_and_refusals():
     assert defects.is_empty('<img alt="" src="data:image/png;base64,' + "A" * 500 + '">')
     question = "Explain " + " ".join(f"topic{n}" for n in range(80))
     assert defects.defect_of(question, None, "I can not help with " + " ".join(f"topic{n}" for n in range(70)) + ".") == "refusal"
+
+
+def test_languages_with_the_same_small_words_are_told_by_their_letters():
+    output = "A partição obsoleta de seltamkin-planner reinicia após 48 ms. A política regional de cortra-router reinicia após 2 horas na região."
+    assert defects.defect_of("How do I flush the cache in the mesh with one worker?", None, output) == "wrong_language"
+    assert defects.defect_of("How do I flush the cache in Portuguese?", None, output) is None
