@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections import deque
+from collections import Counter
 from difflib import SequenceMatcher
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lathework.functions.batches import map_columns
 from lathework.functions.keys import hash_normalized
 from lathework.functions.text import has_repeated_sentences, or_empty, repeated_phrases
 from lathework.operators.filters import long_enough
@@ -145,41 +147,113 @@ BLOCK_ROWS = 2_000
 
 
 class _Grams:
-    """Counts of runs of characters, by which most texts are known not to be similar.
+    """Counts of characters and of runs of three, by which most texts are known not to be similar.
 
     A ratio above t of two texts of S characters together means over t S / 2 matched characters in
-    at most (1 - t) S + 1 blocks, so their common runs of n characters are over
-    (2 n - 1) t S / 2 - (n - 1) (S + 1). Runs that share a place can only raise a count.
+    B blocks. Between two blocks a character is left over, so B is at most (1 - t) S + 1. Every
+    block but one at the start of both texts also begins from a character that the matcher does not
+    take for popular (in a kept text of 200 or more: over one in a hundred), and no place is in two
+    blocks, so B is at most one more than what the texts share of those. A block of n characters has
+    n - 2 runs of three, so the common runs are over t S / 2 - 2 B. What shares a place, or a
+    popular character counted as another, can only raise a count.
     """
 
+    CHARS, RUNS, MOST = 128, 2048, 65_535
+
     def __init__(self, threshold: float) -> None:
-        self.steps = [(1, 128), (3, 2048), (2, 1024)]
         self.threshold = threshold
 
-    def of(self, text: str) -> list:
+    def of(self, text: str) -> tuple:
+        """Counts of characters, of those that are not popular, and of runs of three."""
         import numpy as np
 
-        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
-        out = []
-        for n, places in self.steps:
-            runs = np.zeros(max(0, len(codes) - n + 1), dtype=np.uint64)
-            for i in range(n):
-                runs = runs * np.uint64(1_000_003) + codes[i : i + len(runs)]
-            out.append(np.bincount((runs % np.uint64(places)).astype(np.int64), minlength=places))
-        return out
-
-    def similar(self, length: int, grams: list, kept: deque) -> list[int]:
-        """Places in ``kept`` of (length, grams, matcher) that can be similar, the last first."""
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        chars = np.bincount(codes % np.uint32(self.CHARS), minlength=self.CHARS).astype(np.int32)
+        rare, most = chars, len(codes) // 100 + 1
+        if len(codes) >= 200 and text.isascii():  # a place is a character
+            rare = np.where(chars > most, 0, chars)
+        elif len(codes) >= 200:
+            _, where, counts = np.unique(codes, return_inverse=True, return_counts=True)
+            rare = np.bincount(codes[(counts <= most)[where]] % np.uint32(self.CHARS), minlength=self.CHARS).astype(np.int32)
+        runs = (codes[:-2] * np.uint32(961) + codes[1:-1] * np.uint32(31) + codes[2:]) * np.uint32(2_654_435_761) >> np.uint32(21)
+        return chars, rare, np.bincount(runs, minlength=self.RUNS).clip(max=self.MOST).astype(np.uint16)
+
+    def similar(self, length: int, grams: tuple, kept: list) -> list[int]:
+        """Places in ``kept`` of (length, grams) that can be similar, the last first."""
         import numpy as np
 
-        t, left = self.threshold, [i for i, k in enumerate(kept) if 2 * min(length, k[0]) > self.threshold * (length + k[0])]
-        for step, (n, _) in enumerate(self.steps):
-            if not left:
-                break
-            common = np.minimum(np.stack([kept[i][1][step] for i in left]), grams[step]).sum(axis=1)
-            total = np.array([length + kept[i][0] for i in left])
-            left = [i for i, ok in zip(left, common >= (2 * n - 1) * t * total / 2 - (n - 1) * (total + 1) - 1e-9) if ok]
-        return left[::-1]
+        if not kept:
+            return []
+        return self.among(length, grams, np.array([k[0] for k in kept]), *[np.stack([k[1][i] for k in kept]) for i in range(3)])
+
+    def among(self, length: int, grams: tuple, sizes, chars, rare, runs) -> list[int]:
+        """The same of kept texts by the arrays of their lengths and counts."""
+        import numpy as np
+
+        t = self.threshold
+        left = np.flatnonzero(2 * np.minimum(sizes, length) > t * (sizes + length) - 1e-6)
+        if len(left):
+            left = left[2 * np.minimum(chars[left], grams[0]).sum(axis=1) > t * (sizes[left] + length) - 1e-6]
+        if len(left):
+            total = sizes[left] + length
+            blocks = np.minimum((1 - t) * total, np.minimum(rare[left], grams[0]).sum(axis=1)) + 1
+            common = np.minimum(runs[left], grams[2]).sum(axis=1, dtype=np.int64)
+            # counts that end at MOST tell nothing of two longer texts
+            left = left[(common > t * total / 2 - 2 * blocks - 1e-6) | (np.minimum(sizes[left], length) > self.MOST)]
+        return left[::-1].tolist()
+
+
+class _Recent:
+    """The last kept texts."""
+
+    def __init__(self, threshold: float, window: int) -> None:
+        import numpy as np
+
+        self.grams, self.window, self.n = _Grams(threshold), window, 0
+        self.kept: list = [None] * window  # (order, text), the place of the n-th is n modulo window
+        self.matchers: list = [None] * window
+        self.sizes = np.zeros(window, dtype=np.int64)
+        self.counts = [np.zeros((window, _Grams.CHARS), dtype=np.int32), np.zeros((window, _Grams.CHARS), dtype=np.int32), np.zeros((window, _Grams.RUNS), dtype=np.uint16)]
+        self.texts: Counter = Counter()
+
+    def last(self, most: int) -> list:
+        """The last ``most`` (order, text), the oldest first."""
+        return [self.kept[i % self.window] for i in range(max(0, self.n - min(most, self.window)), self.n)]
+
+    def add(self, at, text: str, grams: tuple) -> None:
+        if not self.window:
+            return
+        i = self.n % self.window
+        if self.kept[i]:
+            old = self.kept[i][1]
+            self.texts[old] -= 1
+            if not self.texts[old]:
+                del self.texts[old]
+        self.texts[text] += 1
+        self.kept[i], self.matchers[i], self.sizes[i] = (at, text), None, len(text)
+        for counts, own in zip(self.counts, grams):
+            counts[i] = own
+        self.n += 1
+
+    def keep(self, at, text: str) -> bool:
+        """Whether a text is similar to none; it is kept then."""
+        t = self.grams.threshold
+        if self.texts[text] and t < 1:
+            return False
+        own, full = self.grams.of(text), min(self.n, self.window)
+        for i in self.grams.among(len(text), own, self.sizes[:full], *[c[:full] for c in self.counts]):
+            old = self.kept[i][1]
+            if self.matchers[i] is None:
+                self.matchers[i] = (SequenceMatcher(None), _masks(old))
+                self.matchers[i][0].set_seq2(old)
+            matcher, masks = self.matchers[i]
+            # matched characters are a common subsequence
+            if 2 * _common(masks, len(old), text) > t * (len(old) + len(text)):
+                matcher.set_seq1(text)
+                if matcher.ratio() > t:
+                    return False
+        self.add(at, text, own)
+        return True
 
 
 def _masks(text: str) -> dict[str, int]:
@@ -200,41 +274,43 @@ def _common(masks: dict[str, int], size: int, text: str) -> int:
     return size - row.bit_count()
 
 
-def _pass_over(rows, recent: list[str], threshold: float, window: int) -> tuple[list, list[str]]:
-    """The ordered pass over one block: which rows are kept, and the last kept outputs behind it.
+def _pass_over(rows, before: list, threshold: float, window: int) -> tuple[list, list]:
+    """The ordered pass over one block: which rows are kept, and the last texts kept in it.
 
-    ``rows`` are (order, key, text, skip, seen) of one group; ``seen`` tells that a block before kept the key.
+    ``rows`` are (order, key, text, seen) of one group; ``seen`` tells that a row of the key is kept
+    before the block. ``before`` are (order, text) of the last kept before it.
     """
-    grams = _Grams(threshold)
-    kept: deque = deque(maxlen=window)
-
-    def add(text: str, own: list) -> None:
-        matcher = SequenceMatcher(None)
-        matcher.set_seq2(text)
-        kept.append((len(text), own, matcher, text, _masks(text)))
-
-    for text in recent[-window:] if window else []:
-        add(text, grams.of(text))
-    keys, out = set(), []
-    for order, key, text, skip, seen in sorted(rows, key=lambda r: r[0]):
-        good = not (skip or seen or key is not None and key in keys)
-        if good:
-            own = grams.of(text)
-            for i in grams.similar(len(text), own, kept):
-                size, _, matcher, _, masks = kept[i]
-                # matched characters are a common subsequence
-                if 2 * _common(masks, size, text) <= threshold * (size + len(text)):
-                    continue
-                matcher.set_seq1(text)
-                if matcher.ratio() > threshold:
-                    good = False
-                    break
-            else:
-                add(text, own)
-                if key is not None:
-                    keys.add(key)
-        out.append((order, good))
-    return out, [k[3] for k in kept]
+    recent = _Recent(threshold, window)
+    for at, text in before[-window:] if window else []:
+        recent.add(at, text, recent.grams.of(text))
+    keys, out, known = set(), [], recent.n
+    for at, key, text, seen in sorted(rows, key=lambda r: r[0]):
+        good = not (seen or key is not None and key in keys) and recent.keep(at, text)
+        if good and key is not None:
+            keys.add(key)
+        out.append((at, good))
+    return out, recent.last(recent.n - known)
+
+
+def _windows(window: int):
+    """Makes the fold of blocks in order to (block, order) of the last kept before each."""
+
+    def make():
+        kept, last = [], None
+
+        def fold(blocks, firsts, lasts, tails):
+            nonlocal kept, last
+            out = [], []
+            for block, first, end, tail in zip(blocks, firsts, lasts, tails):
+                if first == last:
+                    out[0].extend([block] * len(kept))
+                    out[1].extend(kept)
+                kept, last = ((kept if end == last else []) + (tail or []))[-window:] if window else [], end
+            return out
+
+        return fold
+
+    return make
 
 
 def near_recent(
@@ -246,58 +322,68 @@ def near_recent(
     case) has a similarity above ``threshold`` to one of the last ``window`` kept outputs before.
 
     What is kept depends on what was kept. The rows are cut in blocks by ``order``; every block is
-    passed over at once, with what the block before has left behind as far as it is known; blocks
-    for which that has changed are passed over again, until nothing changes. After n rounds the
-    first n blocks are right whatever was assumed, and mostly two or three rounds do, since a block
-    of many rows ends with outputs of its own. No task ever sees more than a block and a window.
-    ``group`` names a column whose values are passed over apart; a large one goes over many blocks.
-    ``order`` must be unique; null outputs count as empty; null keys are no keys.
+    passed over at once, at first as if nothing was kept before it but the first row of every key.
+    From what the blocks have kept follows what is kept before each; blocks for which that has
+    changed are passed over again, until nothing changes. After n rounds the first n blocks are
+    right whatever was assumed, and mostly three rounds do, since a block of many rows ends with
+    outputs of its own, and blocks that keep nothing hand on what they were given. No task ever sees more
+    than a block and a window. ``group`` names a column whose values are passed over apart; a large
+    one goes over many blocks. ``order`` must be unique; null outputs count as empty; null keys are
+    no keys.
     """
     kind = df.schema[order].dataType.simpleString()
     apart = or_empty(df[group].cast("string")) if group else F.lit("")
-    packed = df.select(
-        df[order].alias("at"), apart.alias("grp"), (key if key is not None else F.lit(None)).cast("string").alias("key"), F.lower(or_empty(df[output])).alias("text"), F.coalesce(skip, F.lit(False)).alias("skip") if skip is not None else F.lit(False).alias("skip")
-    )
-    parts = max(1, -(-df.count() // block_rows))
+    candidates = df if skip is None else df.where(~F.coalesce(skip, F.lit(False)))
+    packed = cut_lineage(candidates.select(df[order].alias("at"), apart.alias("grp"), (key if key is not None else F.lit(None)).cast("string").alias("key"), F.lower(or_empty(df[output])).alias("text")))
+    parts = max(1, -(-packed.count() // block_rows))
     rows = cut_lineage(packed.repartitionByRange(parts, "grp", "at").withColumn("block", F.spark_partition_id()))
-    before = Window.orderBy("block")  # over one short row a block
-    chain = cut_lineage(rows.select("block").distinct().withColumn("before", F.lag("block").over(before)))
-    twice = cut_lineage(rows.where("key IS NOT NULL").groupBy("grp", "key").agg(F.count("*").alias("n")).where("n > 1").select("grp", "key"))
-    doubtful = cut_lineage(rows.join(twice, ["grp", "key"]).select("block", "at", "grp", "key"))
-    result = f"block int, at {kind}, kept boolean, recent array<string>, given string"  # recent begins with its group
+    twice = rows.where("key IS NOT NULL").groupBy("grp", "key").agg(F.count("*").alias("n"), F.min("at").alias("least")).where("n > 1").select("grp", "key", "least")
+    doubtful = cut_lineage(rows.select("block", "at", "grp", "key").join(twice, ["grp", "key"]))
+    # a row for every row, with its text if it is one of the last kept, and one for every block
+    result = f"block int, at {kind}, kept boolean, text string, given string, first string, last string"
 
     def walk(frame, state):
         import pandas as pd
 
-        recent, given = ([], "") if state.empty else (list(state["recent"].iloc[0]), state["given"].iloc[0])
-        made, left = [], recent
+        given, seen = state["given"].iloc[0], set(state["seen"].iloc[0])
+        before = list(zip(state["ats"].iloc[0], state["texts"].iloc[0]))
+        made, tail, name, first = [], [], None, frame["grp"].min()
+        frame["seen"] = frame["at"].isin(seen)
         for name, part in frame.groupby("grp"):  # in order
-            before = left[1:] if left and left[0] == name else []
-            own, left = _pass_over(part[["at", "key", "text", "skip", "seen"]].itertuples(index=False, name=None), before, threshold, window)
+            own, tail = _pass_over(part[["at", "key", "text", "seen"]].itertuples(index=False, name=None), before if name == first else [], threshold, window)
             made += own
-            left = [name, *left]
-        block = int(frame["block"].iloc[0])
-        out = pd.DataFrame({"block": block, "at": [a for a, _ in made] + [None], "kept": [k for _, k in made] + [None], "recent": [None] * len(made) + [left], "given": [None] * len(made) + [given]})
+        texts, n = dict(tail), len(made)
+        out = pd.DataFrame({"block": int(frame["block"].iloc[0]), "at": [a for a, _ in made] + [None], "kept": [k for _, k in made] + [None], "text": [texts.get(a) for a, _ in made] + [None], "given": [None] * n + [given], "first": [None] * n + [first], "last": [None] * n + [name]})
         return out.astype({"at": frame["at"].dtype.name.replace("int64", "Int64"), "kept": "boolean"})
 
+    def states(recent: DataFrame | None, marked: DataFrame, blocks: DataFrame) -> DataFrame:
+        """(block, ats, texts, seen, given) of every block: the last kept before it, and its rows of keys kept before it."""
+        none = F.array().cast(f"array<struct<at:{kind},text:string>>")
+        out = blocks.join(marked.groupBy("block").agg(F.sort_array(F.collect_list("at")).alias("seen")), "block", "left")
+        out = out.join(recent, "block", "left") if recent is not None else out.withColumn("recent", none)
+        out = out.withColumn("recent", F.coalesce("recent", none))
+        out = out.select("block", F.col("recent")["at"].alias("ats"), F.col("recent")["text"].alias("texts"), F.coalesce("seen", F.array().cast(f"array<{kind}>")).alias("seen"))
+        return out.withColumn("given", F.md5(F.to_json(F.struct("ats", "seen")).cast("binary")))
+
+    blocks = cut_lineage(rows.select("block").distinct())
     done: DataFrame | None = None
     while True:
         if done is None:
-            state = chain.select("block", F.array().cast("array<string>").alias("recent"), F.lit("").alias("given"))
-            seen = doubtful.select("at").limit(0)
+            state = states(None, doubtful.where("at > least"), blocks)
         else:
-            first = done.where("kept").join(doubtful.select("at", "grp", "key"), "at").groupBy("grp", "key").agg(F.min("block").alias("first"))
-            marked = doubtful.join(first, ["grp", "key"]).where("first < block")
-            seen = marked.select("at")
-            flags = marked.groupBy("block").agg(F.md5(F.array_join(F.sort_array(F.collect_list(F.col("at").cast("string"))), ",").cast("binary")).alias("flags"))
-            left = done.where("recent IS NOT NULL").select(F.col("block").alias("before"), "recent")
-            state = chain.join(left, "before", "left").join(flags, "block", "left").select("block", F.coalesce("recent", F.array().cast("array<string>")).alias("recent"), F.coalesce("flags", F.lit("")).alias("flags"))
-            given = F.when((F.size("recent") == 0) & (F.col("flags") == ""), "").otherwise(F.md5(F.concat_ws("\x1e", "flags", F.to_json("recent")).cast("binary")))
-            old = done.where("recent IS NOT NULL").select("block", F.col("given").alias("old"))
-            state = cut_lineage(state.select("block", "recent", given.alias("given")).join(old, "block").where("given <> old").drop("old"))
+            first = done.where("kept").join(doubtful.select("at", "grp", "key"), "at").groupBy("grp", "key").agg(F.min("block").alias("before"))
+            marked = doubtful.join(first, ["grp", "key"]).where("before < block")
+            tails = done.where("text IS NOT NULL").select("block", "at", "text")
+            ends = done.where("given IS NOT NULL").select("block", "first", "last", "given")
+            chain = ends.join(tails.groupBy("block").agg(F.sort_array(F.collect_list("at")).alias("tail")), "block", "left")
+            chain = chain.repartition(1).sortWithinPartitions("block")  # a short row a block
+            windows = map_columns(chain, ["block", "first", "last", "tail"], _windows(window), f"block int, at {kind}")
+            recent = windows.join(tails.drop("block"), "at").groupBy("block").agg(F.sort_array(F.collect_list(F.struct("at", "text"))).alias("recent"))
+            old = ends.select("block", F.col("given").alias("old"))
+            state = cut_lineage(states(recent, marked, blocks).join(old, "block").where("given <> old").drop("old"))
             if not state.limit(1).count():
                 break
-        now = rows.join(state.select("block"), "block", "left_semi").join(seen.select("at", F.lit(True).alias("seen")), "at", "left").withColumn("seen", F.coalesce("seen", F.lit(False)))
+        now = rows if done is None else rows.join(state.select("block"), "block", "left_semi")
         fresh = now.groupBy("block").cogroup(state.groupBy("block")).applyInPandas(lambda a, b: walk(a, b), result)
         done = cut_lineage(fresh if done is None else done.join(state.select("block"), "block", "left_anti").unionByName(fresh))
     kept = done.where("kept").select(F.col("at").alias("_at"))

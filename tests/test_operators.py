@@ -180,6 +180,39 @@ def test_grams_lose_no_similar_text():
             assert 2 * dedup._common(dedup._masks(b), len(b), a) > 0.85 * (len(a) + len(b))
 
 
+def long_text(rng, words, n):
+    return " ".join(rng.choice(words) for _ in range(n))
+
+
+def test_grams_leave_few_of_long_unlike_texts_and_lose_no_similar():
+    rng = random.Random(7)
+    words = ["".join(rng.choice("etaoinshrdlucmfwypvbgkjqxz0123"[: rng.choice((8, 16, 30))]) for _ in range(rng.randint(2, 9))) for _ in range(900)] + ["größe", "\u4f60\u597d"]
+    grams = dedup._Grams(0.85)
+    texts = [long_text(rng, words, rng.randint(90, 130)) for _ in range(60)]
+    kept = [(len(t), grams.of(t)) for t in texts]
+    assert sum(len(grams.similar(*k, kept[:i])) for i, k in enumerate(kept)) < 10
+    similar = 0
+    for _ in range(800):
+        a = long_text(rng, words[:: rng.choice((1, 40, 300))], rng.randint(20, 120)).split(" ")
+        b = list(a)
+        for _ in range(rng.randint(0, 30)):
+            i = rng.randrange(len(b))
+            b[i : i + rng.randint(0, 2)] = rng.choice([[], [rng.choice(words)], ["e" + b[i]], [b[i][1:]]])
+        a, b = " ".join(a), " ".join(b)
+        if SequenceMatcher(None, a, b).ratio() > 0.85:
+            similar += 1
+            assert grams.similar(len(a), grams.of(a), [(len(b), grams.of(b))]) == [0]
+    assert similar > 100
+
+
+@pytest.mark.parametrize("block", [4, 1000])
+def test_near_recent_of_empty_and_null_outputs(spark, block):
+    outputs = ["", None, "some text of its own", "", "another one of them", None, "SOME text of its own", "\U0001f600 \u4f60", "\U0001f600 \u4f60"]
+    df = spark.createDataFrame(list(enumerate(outputs)), "seq bigint, output string")
+    got = sorted(r["seq"] for r in dedup.near_recent(df, block_rows=block).collect())
+    assert got == one_pass([(i, i, (t or "").lower(), False) for i, t in enumerate(outputs)]) == [0, 2, 4, 7]
+
+
 def test_long_chains_are_finished_in_slices(spark):
     edges = [(f"i{(k + 1) // 2}", f"o{k // 2}", k) for k in range(90)]
     df = spark.createDataFrame(edges, "left string, right string, seq bigint")
