@@ -213,6 +213,18 @@ def test_near_recent_of_empty_and_null_outputs(spark, block):
     assert got == one_pass([(i, i, (t or "").lower(), False) for i, t in enumerate(outputs)]) == [0, 2, 4, 7]
 
 
+def test_near_recent_of_few_outputs_takes_few_rounds(spark, monkeypatch):
+    rng = random.Random(9)
+    texts = [long_text(rng, [f"{c}{n}" for n in range(50)], 12) for c in "abcdef"]
+    rows = [(n, n, t, False) for n, t in enumerate(t for _ in range(14) for t in rng.sample(texts, len(texts)))]
+    written = []
+    real = dedup.cut_lineage
+    monkeypatch.setattr(dedup, "cut_lineage", lambda df: written.append(1) or real(df))
+    df = spark.createDataFrame([(r[0], r[2]) for r in rows], "seq bigint, output string")
+    got = sorted(r["seq"] for r in dedup.near_recent(df, block_rows=6).collect())
+    assert got == one_pass(rows) and len(written) <= 14  # two a round
+
+
 def test_long_chains_are_finished_in_slices(spark):
     edges = [(f"i{(k + 1) // 2}", f"o{k // 2}", k) for k in range(90)]
     df = spark.createDataFrame(edges, "left string, right string, seq bigint")
