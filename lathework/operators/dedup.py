@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from difflib import SequenceMatcher
 from functools import cached_property
 
@@ -165,95 +164,139 @@ class _Grams:
 
     def of(self, text: str) -> tuple:
         """Counts of characters, of those that are not popular, and of runs of three."""
+        return tuple(x[0] for x in self.many([text]))
+
+    def many(self, texts: list[str]) -> tuple:
+        """The same of several texts, a row each; counts end at ``MOST``."""
+        import numpy as np
+
+        n = len(texts)
+        sizes = np.array([len(t) for t in texts], dtype=np.int64)
+        codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        row = np.repeat(np.arange(n), sizes)
+        # a column a character: those of ASCII, then the others that there are
+        others, where = np.unique(codes[codes >= self.CHARS], return_inverse=True)
+        column = codes.astype(np.int64)
+        column[codes >= self.CHARS] = self.CHARS + where
+        wide = self.CHARS + len(others)
+        counts = np.bincount(row * wide + column, minlength=n * wide).reshape(n, wide)
+        most = np.where(sizes >= 200, sizes // 100 + 1, sizes)
+        rare = self._folded(np.where(counts > most[:, None], 0, counts), others)
+        starts = np.ones(len(codes), dtype=bool)  # the last two places of a text begin no run
+        ends = np.cumsum(sizes)
+        starts[ends[sizes > 0] - 1] = starts[ends[sizes > 1] - 2] = False
+        at = np.flatnonzero(starts)
+        runs = np.empty(0, dtype=np.int64)
+        if len(at):
+            runs = ((codes[at] * np.uint32(961) + codes[at + 1] * np.uint32(31) + codes[at + 2]) * np.uint32(2_654_435_761) >> np.uint32(21)).astype(np.int64)
+        runs = np.bincount(row[at] * self.RUNS + runs, minlength=n * self.RUNS).reshape(n, self.RUNS)
+        return self._folded(counts, others), rare, np.minimum(runs, self.MOST).astype(np.uint16)
+
+    def _folded(self, counts, others):
+        """Counts by the place of a character among ``CHARS``."""
         import numpy as np
 
-        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        chars = np.bincount(codes % np.uint32(self.CHARS), minlength=self.CHARS).astype(np.int32)
-        rare, most = chars, len(codes) // 100 + 1
-        if len(codes) >= 200 and text.isascii():  # a place is a character
-            rare = np.where(chars > most, 0, chars)
-        elif len(codes) >= 200:
-            _, where, counts = np.unique(codes, return_inverse=True, return_counts=True)
-            rare = np.bincount(codes[(counts <= most)[where]] % np.uint32(self.CHARS), minlength=self.CHARS).astype(np.int32)
-        runs = (codes[:-2] * np.uint32(961) + codes[1:-1] * np.uint32(31) + codes[2:]) * np.uint32(2_654_435_761) >> np.uint32(21)
-        return chars, rare, np.bincount(runs, minlength=self.RUNS).clip(max=self.MOST).astype(np.uint16)
+        out = counts[:, : self.CHARS].copy()
+        if len(others):
+            np.add.at(out.T, others % self.CHARS, counts[:, self.CHARS :].T)
+        return np.minimum(out, self.MOST).astype(np.uint16)
 
     def similar(self, length: int, grams: tuple, kept: list) -> list[int]:
         """Places in ``kept`` of (length, grams) that can be similar, the last first."""
         import numpy as np
 
-        if not kept:
-            return []
-        return self.among(length, grams, np.array([k[0] for k in kept]), *[np.stack([k[1][i] for k in kept]) for i in range(3)])
+        sizes = np.array([*[k[0] for k in kept], length])
+        return self.pairs(sizes, *[np.stack([*[k[1][i] for k in kept], grams[i]]) for i in range(3)], len(kept)).get(0, [])
 
-    def among(self, length: int, grams: tuple, sizes, chars, rare, runs) -> list[int]:
-        """The same of kept texts by the arrays of their lengths and counts."""
+    def pairs(self, sizes, chars, rare, runs, known: int) -> dict[int, list[int]]:
+        """For every text after the first ``known``, from 0 on, the places of those before it that can be similar, the last first."""
         import numpy as np
 
         t = self.threshold
-        left = np.flatnonzero(2 * np.minimum(sizes, length) > t * (sizes + length) - 1e-6)
-        if len(left):
-            left = left[2 * np.minimum(chars[left], grams[0]).sum(axis=1) > t * (sizes[left] + length) - 1e-6]
-        if len(left):
-            total = sizes[left] + length
-            blocks = np.minimum((1 - t) * total, np.minimum(rare[left], grams[0]).sum(axis=1)) + 1
-            common = np.minimum(runs[left], grams[2]).sum(axis=1, dtype=np.int64)
-            # counts that end at MOST tell nothing of two longer texts
-            left = left[(common > t * total / 2 - 2 * blocks - 1e-6) | (np.minimum(sizes[left], length) > self.MOST)]
-        return left[::-1].tolist()
+        own, old = (2 * np.minimum(sizes[known:, None], sizes) > t * (sizes[known:, None] + sizes) - 1e-6).nonzero()
+        before = old < own + known
+        own, old = own[before] + known, old[before]
+
+        def shared(counts, step: int):
+            out = np.empty(len(own), dtype=np.int64)
+            for i in range(0, len(own), step):  # what is taken stays in the cache
+                least = np.minimum(counts.take(own[i : i + step], axis=0), counts.take(old[i : i + step], axis=0))
+                # at most the shorter length; longer texts than MOST are never told apart by counts
+                out[i : i + step] = np.add.reduce(least, axis=1, dtype=np.uint16)
+            return out
+
+        def lengths():
+            least = np.minimum(sizes[own], sizes[old])
+            return least, sizes[own] + sizes[old], least > self.MOST
+
+        _, total, long = lengths()
+        good = (2 * shared(chars, 512) > t * total - 1e-6) | long
+        own, old = own[good], old[good]
+        least, total, long = lengths()
+        need = t * total / 2 - 2 * (np.minimum((1 - t) * total, shared(rare, 512)) + 1) - 1e-6
+        good = (need < least) | long  # there are no more runs than that
+        own, old, need, long = own[good], old[good], need[good], long[good]
+        good = (shared(runs, 64) > need) | long
+        out: dict[int, list[int]] = {}
+        for x, y in zip((own[good] - known).tolist()[::-1], old[good].tolist()[::-1]):
+            out.setdefault(x, []).append(y)
+        return out
 
 
 class _Recent:
-    """The last kept texts."""
+    """The last kept texts, which begin with the (order, text) of ``before``."""
+
+    def __init__(self, threshold: float, window: int, before: list) -> None:
+        self.grams, self.window, self.keys = _Grams(threshold), window, set()
+        self.kept: list = before[-window:] if window else []
+        self.matchers: list = [None] * len(self.kept)
+        self.counts = self._counted([text for _, text in self.kept])
 
-    def __init__(self, threshold: float, window: int) -> None:
+    def _counted(self, texts: list[str]) -> list:
+        """Lengths and counts, a row a text."""
         import numpy as np
 
-        self.grams, self.window, self.n = _Grams(threshold), window, 0
-        self.kept: list = [None] * window  # (order, text), the place of the n-th is n modulo window
-        self.matchers: list = [None] * window
-        self.sizes = np.zeros(window, dtype=np.int64)
-        self.counts = [np.zeros((window, _Grams.CHARS), dtype=np.int32), np.zeros((window, _Grams.CHARS), dtype=np.int32), np.zeros((window, _Grams.RUNS), dtype=np.uint16)]
-        self.texts: Counter = Counter()
-
-    def last(self, most: int) -> list:
-        """The last ``most`` (order, text), the oldest first."""
-        return [self.kept[i % self.window] for i in range(max(0, self.n - min(most, self.window)), self.n)]
-
-    def add(self, at, text: str, grams: tuple) -> None:
-        if not self.window:
-            return
-        i = self.n % self.window
-        if self.kept[i]:
-            old = self.kept[i][1]
-            self.texts[old] -= 1
-            if not self.texts[old]:
-                del self.texts[old]
-        self.texts[text] += 1
-        self.kept[i], self.matchers[i], self.sizes[i] = (at, text), None, len(text)
-        for counts, own in zip(self.counts, grams):
-            counts[i] = own
-        self.n += 1
-
-    def keep(self, at, text: str) -> bool:
-        """Whether a text is similar to none; it is kept then."""
+        return [np.array([len(t) for t in texts], dtype=np.int64), *self.grams.many(texts)]
+
+    def keep(self, rows: list) -> list[bool]:
+        """Which of the next (order, key, text) are kept: those of a new key that are similar to none."""
+        import numpy as np
+
+        known = len(self.kept)
+        texts, matchers = self.kept + [(at, text) for at, _, text in rows], self.matchers + [None] * len(rows)
+        counts, possible = self.counts, {}
+        if self.window:
+            counts = [np.concatenate(x) for x in zip(counts, self._counted([text for _, _, text in rows]))]
+            possible = self.grams.pairs(*counts, known)
+        good, places = [True] * known, list(range(known))  # places are those of the kept
+        for n, (_, key, text) in enumerate(rows):
+            first = places[-self.window] if self.window and len(places) >= self.window else 0
+            old = [i for i in possible.get(n, ()) if i >= first and good[i]]
+            good.append((key is None or key not in self.keys) and not self._similar(text, old, texts, matchers))
+            if good[-1]:
+                places.append(known + n)
+                if key is not None:
+                    self.keys.add(key)
+        last = places[-self.window :] if self.window else []
+        self.kept, self.matchers, self.counts = [texts[i] for i in last], [matchers[i] for i in last], [x[last] for x in counts]
+        return good[known:]
+
+    def _similar(self, text: str, places: list[int], texts: list, matchers: list) -> bool:
         t = self.grams.threshold
-        if self.texts[text] and t < 1:
-            return False
-        own, full = self.grams.of(text), min(self.n, self.window)
-        for i in self.grams.among(len(text), own, self.sizes[:full], *[c[:full] for c in self.counts]):
-            old = self.kept[i][1]
-            if self.matchers[i] is None:
-                self.matchers[i] = (SequenceMatcher(None), _masks(old))
-                self.matchers[i][0].set_seq2(old)
-            matcher, masks = self.matchers[i]
+        if t < 1 and any(texts[i][1] == text for i in places):
+            return True
+        for i in places:
+            old = texts[i][1]
+            if matchers[i] is None:
+                matchers[i] = (SequenceMatcher(None), _masks(old))
+                matchers[i][0].set_seq2(old)
+            matcher, masks = matchers[i]
             # matched characters are a common subsequence
             if 2 * _common(masks, len(old), text) > t * (len(old) + len(text)):
                 matcher.set_seq1(text)
                 if matcher.ratio() > t:
-                    return False
-        self.add(at, text, own)
-        return True
+                    return True
+        return False
 
 
 def _masks(text: str) -> dict[str, int]:
@@ -280,16 +323,27 @@ def _pass_over(rows, before: list, threshold: float, window: int) -> tuple[list,
     ``rows`` are (order, key, text, seen) of one group; ``seen`` tells that a row of the key is kept
     before the block. ``before`` are (order, text) of the last kept before it.
     """
-    recent = _Recent(threshold, window)
-    for at, text in before[-window:] if window else []:
-        recent.add(at, text, recent.grams.of(text))
-    keys, out, known = set(), [], recent.n
-    for at, key, text, seen in sorted(rows, key=lambda r: r[0]):
-        good = not (seen or key is not None and key in keys) and recent.keep(at, text)
-        if good and key is not None:
-            keys.add(key)
-        out.append((at, good))
-    return out, recent.last(recent.n - known)
+    recent, out, tail = _Recent(threshold, window, before), [], []
+    rows = sorted(rows, key=lambda r: r[0])
+    for part in _parts([(at, key, text) for at, key, text, seen in rows if not seen]):
+        for (at, _, text), good in zip(part, recent.keep(part)):
+            out.append((at, good))
+            if good:
+                tail.append((at, text))
+    return out + [(at, False) for at, _, _, seen in rows if seen], tail[-window:] if window else []
+
+
+def _parts(rows: list, most: int = 128, chars: int = 1_000_000):
+    """Rows whose texts are counted at once."""
+    part, size = [], 0
+    for row in rows:
+        if part and (len(part) == most or size + len(row[2]) > chars):
+            yield part
+            part, size = [], 0
+        part.append(row)
+        size += len(row[2])
+    if part:
+        yield part
 
 
 def _windows(window: int):
@@ -322,12 +376,13 @@ def near_recent(
     case) has a similarity above ``threshold`` to one of the last ``window`` kept outputs before.
 
     What is kept depends on what was kept. The rows are cut in blocks by ``order``; every block is
-    passed over at once, at first as if nothing was kept before it but the first row of every key.
-    From what the blocks have kept follows what is kept before each; blocks for which that has
-    changed are passed over again, until nothing changes. After n rounds the first n blocks are
-    right whatever was assumed, and mostly three rounds do, since a block of many rows ends with
-    outputs of its own, and blocks that keep nothing hand on what they were given. No task ever sees more
-    than a block and a window. ``group`` names a column whose values are passed over apart; a large
+    passed over at once, at first after what a pass over the last rows of the block before keeps, and as
+    if the first row of every key was kept. From what the blocks have kept follows what is kept before
+    each; blocks for which that is not what they were given are passed over again, until nothing
+    changes. After n rounds the first n blocks are right whatever was assumed, and mostly one round
+    does for nearly all, since what is in the window after twice its rows seldom depends on rows before
+    them; blocks that keep nothing hand on what they were given. No task ever sees more than a block
+    and a window. ``group`` names a column whose values are passed over apart; a large
     one goes over many blocks. ``order`` must be unique; null outputs count as empty; null keys are
     no keys.
     """
@@ -356,30 +411,45 @@ def near_recent(
         out = pd.DataFrame({"block": int(frame["block"].iloc[0]), "at": [a for a, _ in made] + [None], "kept": [k for _, k in made] + [None], "text": [texts.get(a) for a, _ in made] + [None], "given": [None] * n + [given], "first": [None] * n + [first], "last": [None] * n + [name]})
         return out.astype({"at": frame["at"].dtype.name.replace("int64", "Int64"), "kept": "boolean"})
 
-    def states(recent: DataFrame | None, marked: DataFrame, blocks: DataFrame) -> DataFrame:
+    def states(recent: DataFrame, marked: DataFrame, blocks: DataFrame) -> DataFrame:
         """(block, ats, texts, seen, given) of every block: the last kept before it, and its rows of keys kept before it."""
         none = F.array().cast(f"array<struct<at:{kind},text:string>>")
         out = blocks.join(marked.groupBy("block").agg(F.sort_array(F.collect_list("at")).alias("seen")), "block", "left")
-        out = out.join(recent, "block", "left") if recent is not None else out.withColumn("recent", none)
-        out = out.withColumn("recent", F.coalesce("recent", none))
+        out = out.join(recent, "block", "left").withColumn("recent", F.coalesce("recent", none))
         out = out.select("block", F.col("recent")["at"].alias("ats"), F.col("recent")["text"].alias("texts"), F.coalesce("seen", F.array().cast(f"array<{kind}>")).alias("seen"))
         return out.withColumn("given", F.md5(F.to_json(F.struct("ats", "seen")).cast("binary")))
 
-    blocks = cut_lineage(rows.select("block").distinct())
+    def ends(frame):
+        """What is kept of the last group of the last rows of a block, for the block after it."""
+        import pandas as pd
+
+        last = frame[frame["grp"] == frame["grp"].max()]
+        tail = _pass_over(last[["at", "key", "text", "seen"]].itertuples(index=False, name=None), [], threshold, window)[1]
+        return pd.DataFrame({"block": int(frame["block"].iloc[0]) + 1, "first": last["grp"].iloc[0], "at": [a for a, _ in tail], "text": [t for _, t in tail]}).astype({"at": frame["at"].dtype, "block": "int32"})
+
+    def guess() -> DataFrame:
+        """(block, recent) of what is likely to be kept before every block."""
+        back = Window.partitionBy("block").orderBy(F.desc("grp"), F.desc("at"))
+        late = rows.withColumn("back", F.row_number().over(back)).where(F.col("back") <= 2 * window + 10).drop("back")
+        late = late.join(doubtful.where("at > least").select("at", F.lit(True).alias("seen")), "at", "left").withColumn("seen", F.coalesce("seen", F.lit(False)))
+        kept = late.groupBy("block").applyInPandas(lambda f: ends(f), f"block int, first string, at {kind}, text string")
+        return kept.join(blocks, ["block", "first"]).groupBy("block").agg(F.sort_array(F.collect_list(F.struct("at", "text"))).alias("recent"))
+
+    blocks = cut_lineage(rows.groupBy("block").agg(F.min("grp").alias("first")))
     done: DataFrame | None = None
     while True:
         if done is None:
-            state = states(None, doubtful.where("at > least"), blocks)
+            state = states(guess(), doubtful.where("at > least"), blocks)
         else:
             first = done.where("kept").join(doubtful.select("at", "grp", "key"), "at").groupBy("grp", "key").agg(F.min("block").alias("before"))
             marked = doubtful.join(first, ["grp", "key"]).where("before < block")
             tails = done.where("text IS NOT NULL").select("block", "at", "text")
-            ends = done.where("given IS NOT NULL").select("block", "first", "last", "given")
-            chain = ends.join(tails.groupBy("block").agg(F.sort_array(F.collect_list("at")).alias("tail")), "block", "left")
+            given = done.where("given IS NOT NULL").select("block", "first", "last", "given")
+            chain = given.join(tails.groupBy("block").agg(F.sort_array(F.collect_list("at")).alias("tail")), "block", "left")
             chain = chain.repartition(1).sortWithinPartitions("block")  # a short row a block
             windows = map_columns(chain, ["block", "first", "last", "tail"], _windows(window), f"block int, at {kind}")
             recent = windows.join(tails.drop("block"), "at").groupBy("block").agg(F.sort_array(F.collect_list(F.struct("at", "text"))).alias("recent"))
-            old = ends.select("block", F.col("given").alias("old"))
+            old = given.select("block", F.col("given").alias("old"))
             state = cut_lineage(states(recent, marked, blocks).join(old, "block").where("given <> old").drop("old"))
             if not state.limit(1).count():
                 break

@@ -225,6 +225,32 @@ def test_near_recent_of_few_outputs_takes_few_rounds(spark, monkeypatch):
     assert got == one_pass(rows) and len(written) <= 14  # two a round
 
 
+@pytest.mark.parametrize(("window", "threshold"), [(0, 0.85), (3, 0.85), (100, 0.85), (100, 0.5)])
+def test_a_pass_over_parts_is_one_pass(window, threshold):
+    rng = random.Random(11)
+    words = [f"{c}{n}" for c in ("ab", "größe", "\u4f60", "x") for n in range(40)]
+    rows = []
+    for n in range(400):
+        t = long_text(rng, words, rng.randint(0, 60)) if n < 5 or rng.random() < 0.6 else rows[rng.randrange(max(0, n - 150), n)][2]
+        rows.append((n, rng.choice("abcdefgh") if rng.random() < 0.1 else None, t + rng.choice(["", " end", " of it"]), rng.random() < 0.05))
+    got, tail = dedup._pass_over(rows[::-1], [], threshold, window)
+    kept = one_pass([(n, n if k is None else k, t, s) for n, k, t, s in rows], window, threshold) if window else None
+    assert window == 0 or sorted(at for at, good in got if good) == kept
+    assert len(got) == len(rows) and [at for at, _ in tail] == (kept[-window:] if window else [])
+
+
+def test_near_recent_passes_over_unlike_outputs_once(spark, monkeypatch):
+    rng = random.Random(13)
+    texts = [long_text(rng, [f"{c}{n}" for c in "abcdef" for n in range(50)], 12) for _ in range(150)]
+    rows = [(n, n, texts[n] if n % 10 else texts[n - n % 20 + 1], False) for n in range(150)]
+    written = []
+    real = dedup.cut_lineage
+    monkeypatch.setattr(dedup, "cut_lineage", lambda df: written.append(1) or real(df))
+    df = spark.createDataFrame([(r[0], r[2]) for r in rows], "seq bigint, output string")
+    got = sorted(r["seq"] for r in dedup.near_recent(df, window=5, block_rows=30).collect())
+    assert got == one_pass(rows, 5) and len(got) < 150 and len(written) == 6  # four before the only round, its result, and that no block is left
+
+
 def test_long_chains_are_finished_in_slices(spark):
     edges = [(f"i{(k + 1) // 2}", f"o{k // 2}", k) for k in range(90)]
     df = spark.createDataFrame(edges, "left string, right string, seq bigint")
